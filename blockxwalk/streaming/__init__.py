@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The workload is a batch crosswalk over static layers (street centrelines, tax
+parcels, address directory).  It has no event time, no unbounded input and no
+incremental state, so there is no Structured Streaming operator to offer; all
+stages are batch DataFrame plans.  Re-running the batch pipeline on a new
+release of the layers is the update path.
+"""
