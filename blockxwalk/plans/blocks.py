@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geometry import clean_parts, drop_zm
+from ..functions.geometry import clean_parts
 from ..functions.text import (extract_or_null, feet_to_miles, int_text, is_finite, na_text,
                               row_max, row_min, to_double, trim_ws, truncate)
 from ..operators.aggregates import (concat_distinct, concat_distinct_many, count_by, count_if0,
@@ -35,7 +35,7 @@ def dissolve_parts(streets: DataFrame) -> DataFrame:
     """Long form of the block geometry: one row per distinct line part of a block.
 
     This is the scalable shape of the dissolve (no per-block collection)."""
-    parts = streets.select(KEY, F.explode(clean_parts(drop_zm("geom"))).alias("part"))
+    parts = streets.select(KEY, F.explode(clean_parts("geom")).alias("part"))
     return parts.distinct()
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geometry import clean_parts, drop_zm, reproject, srid_of, with_srid
+from ..functions.geometry import clean_parts, clean_parts_sql, drop_zm_sql, reproject_sql, srid_of, with_srid
 from ..functions.text import label, not_blank, not_in_keep_null
 from ..operators.aggregates import count_by, n_distinct_na, six_number
 from ..operators.joins import restrict
@@ -98,7 +98,7 @@ def id_crosswalk(streets: DataFrame) -> DataFrame:
 def lines(streets: DataFrame) -> DataFrame:
     """Segment lines for spatial work: x/y only, repeated vertices and empty parts dropped."""
     out = streets.select("segment_id", "physical_id", "legacy_id",
-                         clean_parts(drop_zm("geom")).alias("geom"))
+                         clean_parts("geom").alias("geom"))
     srid = srid_of(streets, "geom")
     return with_srid(out, "geom", srid) if srid is not None else out
 
@@ -117,10 +117,10 @@ LABEL_COLUMNS = {
 def map_layer(streets: DataFrame, template: str = LABEL_ZIP_STREETS) -> DataFrame:
     """Inspection layer: lon/lat line geometry plus a formatted hover label."""
     src = srid_of(streets, "geom")
-    geom = clean_parts(drop_zm("geom"))
+    geom = clean_parts_sql(drop_zm_sql("geom"))
     if src is not None and src != SRID_WGS84:
-        geom = reproject(geom, src, SRID_WGS84)
-    out = streets.select("segment_id", "physical_id", geom.alias("geom"),
+        geom = reproject_sql(geom, src, SRID_WGS84)
+    out = streets.select("segment_id", "physical_id", F.expr(geom).alias("geom"),
                          label(template, *LABEL_COLUMNS[template]).alias("label_text"))
     return with_srid(out, "geom", SRID_WGS84)
 
