@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.keys import with_bbl_key
 from ..functions.text import paste_na
 from ..operators.aggregates import combine_rows, count_by, count_if0, n_distinct_na, share, six_number
-from ..operators.joins import inner, left_outer, restrict
+from ..operators.joins import inner, join_keys, left_outer, restrict
 
 KEY = "physical_id"
 
@@ -45,38 +45,80 @@ def bin_to_bbl(pad: DataFrame) -> DataFrame:
 
 
 def bin_to_physical(pad: DataFrame, b2p: DataFrame) -> DataFrame:
-    return inner(bin_to_bbl(pad), b2p.select("bbl_chr", KEY), "bbl_chr").select("bin", "bbl_chr", KEY).distinct()
+    """(BIN, BBL, block): both sides are distinct, so their join is too."""
+    return inner(bin_to_bbl(pad), block_bbl_pairs(b2p), "bbl_chr", null_safe=False).select("bin", "bbl_chr", KEY)
 
 
-def bin_summary(b2phys: DataFrame) -> DataFrame:
-    return b2phys.agg(F.count(F.lit(1)).cast("bigint").alias("bin_physical_pairs"),
-                      n_distinct_na("bin").alias("distinct_bins"),
-                      n_distinct_na(KEY).alias("physical_ids_with_bins"))
+def bin_summary(pad: DataFrame, b2p: DataFrame) -> DataFrame:
+    """Pairs, distinct BINs and blocks with BINs of ``bin_to_physical`` --
+    computed from per-BBL counts, without expanding the many-to-many join."""
+    pairs = block_bbl_pairs(b2p)
+    per_bbl = bins_per_bbl(pad)
+    linked = inner(pairs, per_bbl, "bbl_chr", null_safe=False)
+    s = linked.agg(F.coalesce(F.sum("n_bins_bbl"), F.lit(0)).cast("bigint").alias("bin_physical_pairs"),
+                   F.countDistinct(KEY).cast("bigint").alias("physical_ids_with_bins"))
+    bins = join_keys(bin_to_bbl(pad), pairs.select("bbl_chr").distinct(), "bbl_chr", "left_semi", null_safe=False)
+    return combine_rows(s, bins.agg(n_distinct_na("bin").alias("distinct_bins"))) \
+        .select("bin_physical_pairs", "distinct_bins", "physical_ids_with_bins")
 
 
-def address_list(pad: DataFrame, b2p: DataFrame) -> DataFrame:
-    """Every directory address with its block: house number (low, else high) + street."""
+def bbl_addresses(pad: DataFrame) -> DataFrame:
+    """Distinct directory addresses per BBL: house number (low, else high) + street."""
     a = with_bbl_key(pad, "bbl_chr", "boro", "block", "lot").select("bbl_chr", "bin",
                    F.coalesce("lhnd", "hhnd").alias("house_num"), F.col("stname").alias("street_name"),
                    "boro", F.col("zipcode").alias("zip"))
     a = a.withColumn("address", paste_na("house_num", "street_name")).filter(F.col("bbl_chr").isNotNull())
-    j = inner(a, b2p.select("bbl_chr", KEY), "bbl_chr")
-    return j.select(KEY, "address", "bin", "bbl_chr", "boro", "zip").distinct()
+    return a.select("bbl_chr", "address", "bin", "boro", "zip").distinct()
+
+
+def address_list(pad: DataFrame, b2p: DataFrame) -> DataFrame:
+    """Every directory address with its block(s)."""
+    j = inner(bbl_addresses(pad), block_bbl_pairs(b2p), "bbl_chr", null_safe=False)
+    return j.select(KEY, "address", "bin", "bbl_chr", "boro", "zip")
+
+
+def block_bbl_pairs(b2p: DataFrame) -> DataFrame:
+    return b2p.select("bbl_chr", KEY).distinct()
+
+
+def bins_per_bbl(pad: DataFrame) -> DataFrame:
+    return count_by(bin_to_bbl(pad), "bbl_chr", name="n_bins_bbl")
+
+
+def addresses_per_bbl(pad: DataFrame) -> DataFrame:
+    return count_by(bbl_addresses(pad), "bbl_chr", name="n_addr_bbl")
+
+
+def _per_block_from_bbl(b2p: DataFrame, per_bbl: DataFrame, value: str, out: str) -> DataFrame:
+    """Per-block count of a (BBL, block)-expanded table without expanding it.
+
+    Each expanded row carries its BBL, so rows from different BBLs never
+    coincide and the distinct count per block is the sum of per-BBL distinct
+    counts over the block's BBLs.  A BBL holding a third of all rows is
+    reduced to one count row before it meets the pairs."""
+    j = inner(block_bbl_pairs(b2p), per_bbl, "bbl_chr", null_safe=False)
+    return j.groupBy(KEY).agg(F.sum(value).cast("bigint").alias(out))
+
+
+def addr_per_block(pad: DataFrame, b2p: DataFrame) -> DataFrame:
+    """Rows of ``address_list`` per block."""
+    return _per_block_from_bbl(b2p, addresses_per_bbl(pad), "n_addr_bbl", "n_addresses")
 
 
-def addr_per_block(addresses: DataFrame) -> DataFrame:
-    return count_by(addresses, KEY, name="n_addresses")
+def bins_per_block(pad: DataFrame, b2p: DataFrame) -> DataFrame:
+    """Rows of ``bin_to_physical`` per block."""
+    return _per_block_from_bbl(b2p, bins_per_bbl(pad), "n_bins_bbl", "n_bins")
 
 
 def addr_per_block_summary(per_block: DataFrame) -> DataFrame:
     return six_number(per_block, "n_addresses")
 
 
-def master_full(master: DataFrame, b2p: DataFrame, b2phys: DataFrame, addresses: DataFrame) -> DataFrame:
+def master_full(master: DataFrame, b2p: DataFrame, pad: DataFrame) -> DataFrame:
     """Master table plus BBL / BIN / address counts (NULL where a block has none)."""
     m = left_outer(master, count_by(b2p, KEY, name="n_bbls"), KEY)
-    m = left_outer(m, count_by(b2phys, KEY, name="n_bins"), KEY)
-    return left_outer(m, count_by(addresses, KEY, name="n_addresses"), KEY)
+    m = left_outer(m, bins_per_block(pad, b2p), KEY)
+    return left_outer(m, addr_per_block(pad, b2p), KEY)
 
 
 def master_full_summary(mf: DataFrame) -> DataFrame:

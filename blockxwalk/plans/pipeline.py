@@ -233,7 +233,7 @@ class BlockCrosswalk:
 
     @cached_property
     def bin_summary(self):
-        return D.bin_summary(self.bin_to_physical)
+        return D.bin_summary(self.pad_addr, self.bbl_to_physical)
 
     @cached_property
     def address_list(self):
@@ -241,7 +241,7 @@ class BlockCrosswalk:
 
     @cached_property
     def addr_per_block(self):
-        return D.addr_per_block(self.address_list)
+        return D.addr_per_block(self.pad_addr, self.bbl_to_physical)
 
     @cached_property
     def addr_per_block_summary(self):
@@ -249,7 +249,7 @@ class BlockCrosswalk:
 
     @cached_property
     def master_full(self):
-        return D.master_full(self.master, self.bbl_to_physical, self.bin_to_physical, self.address_list)
+        return D.master_full(self.master, self.bbl_to_physical, self.pad_addr)
 
     @cached_property
     def master_full_summary(self):

@@ -19,9 +19,20 @@ from . import streets as S
 from .pipeline import BlockCrosswalk
 
 
+# One pipeline per (application, folder): the inputs and the cascade's wave
+# tables are written once per session and shared by every query built on them.
+_PIPELINES: dict[tuple[str, str], BlockCrosswalk] = {}
+
+
 def crosswalk(spark: SparkSession, sf_dir: str, **kw) -> BlockCrosswalk:
-    i = Inputs(spark, sf_dir)
-    return BlockCrosswalk(i.segments, i.parcels, i.pad_addr, i.pad_bill, i.overrides, **kw)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if kw or key not in _PIPELINES:
+        i = Inputs(spark, sf_dir)
+        x = BlockCrosswalk(i.segments, i.parcels, i.pad_addr, i.pad_bill, i.overrides, **kw)
+        if kw:
+            return x
+        _PIPELINES[key] = x
+    return _PIPELINES[key]
 
 
 def _no_geom(df: DataFrame) -> DataFrame:
