@@ -1,0 +1,60 @@
+import json
+import os
+
+from pyspark.sql import functions as F
+
+from blockxwalk.schemas import PAD_ADDR
+from blockxwalk.sources.readers import (clean_names, ensure_overrides, read_delimited, read_features,
+                                        read_overrides, snake_case)
+from blockxwalk.sources.sinks import geojson_lines, write_table
+
+
+def test_snake_case():
+    assert [snake_case(x) for x in ["BoroCode", "L_ZIP", "Shape_Length", "SegmentID", "2nd col", "pct%"]] == \
+        ["boro_code", "l_zip", "shape_length", "segment_id", "x2nd_col", "pct_percent"]
+
+
+def test_clean_names_dedup(spark):
+    df = spark.createDataFrame([(1, 2, 3)], "`A B` int, `a_b` int, SHAPE int")
+    assert clean_names(df, keep=("SHAPE",)).columns == ["a_b", "a_b_2", "SHAPE"]
+
+
+def test_read_delimited_keeps_leading_zeros(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "pad.csv")
+    with open(p, "w") as f:
+        f.write("boro,block,lot,segid,BIN,lhnd,hhnd,stname,zipcode\n1,12,5,0012345,1000001,10,20,MAIN ST,01234\n")
+    r = read_delimited(spark, p, PAD_ADDR).first()
+    assert r.segid == "0012345" and r.zipcode == "01234" and r.block == 12 and r.bin == 1000001
+
+
+def test_overrides_template_created_once(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "manual")
+    assert ensure_overrides(spark, p) is True
+    assert ensure_overrides(spark, p) is False
+    df = read_overrides(spark, p)
+    assert df.count() == 0 and df.columns[0] == "physical_id"
+
+
+def test_read_features_wkt(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "lines")
+    spark.createDataFrame([(1, "LINESTRING (0 0, 3 4)")], "SegmentID int, SHAPE string").write.parquet(p)
+    df = read_features(spark, p, 2263, geom_col="SHAPE")
+    assert df.columns == ["segment_id", "geom"]
+    assert df.schema["geom"].metadata == {"srid": 2263}
+    assert [(v.x, v.y) for v in df.first().geom[0]] == [(0.0, 0.0), (3.0, 4.0)]
+
+
+def test_csv_sink_writes_na(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "out")
+    df = spark.createDataFrame([(1, None, ["a", "b"])], "k int, v string, arr array<string>")
+    write_table(df, p, fmt="csv")
+    txt = "".join(open(os.path.join(p, f)).read() for f in os.listdir(p) if f.endswith(".csv"))
+    assert "1,NA,a;b" in txt
+
+
+def test_geojson_lines(spark):
+    df = spark.createDataFrame([(7, [[{"x": 1.0, "y": 2.0}, {"x": 3.0, "y": 4.0}]])],
+                               "segment_id int, geom array<array<struct<x:double,y:double>>>")
+    feat = json.loads(geojson_lines(df).first().value)
+    assert feat["geometry"]["coordinates"] == [[[1.0, 2.0], [3.0, 4.0]]]
+    assert feat["properties"] == {"segment_id": 7}
