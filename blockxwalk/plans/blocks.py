@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.geometry import clean_parts
 from ..functions.text import (extract_or_null, feet_to_miles, int_text, is_finite, na_text,
                               row_max, row_min, to_double, trim_ws, truncate)
-from ..operators.aggregates import (concat_distinct, concat_distinct_many, count_by, count_if0,
-                                    mode_by, n_distinct_na, sum0, top1_by)
+from ..operators.aggregates import concat_distinct_many, count_by, count_if0, n_distinct_na, sum0, top1_by
 from ..operators.joins import left_outer, merge_overrides, remaining
 from ..operators.ordering import sample_n
 from ..operators.setops import bind_rows
@@ -51,16 +50,36 @@ def physical_blocks(streets: DataFrame, order: str = "segment_id", with_geom: bo
     """One row per physical block.
 
     n_segments, total_length_ft (NULL lengths skipped), ``streets`` (distinct
-    street names in segment order, "; "-joined), and the modal left-side
-    borough, community district and census tract (NULL can be the mode; ties
-    go to the smallest value).
+    street names in order of first segment, "; "-joined, NULL printed NA),
+    and the modal left-side borough, community district and census tract
+    (NULL can be the mode; ties go to the smallest value).
+
+    One pass, two shuffles: each segment becomes four (attribute, value) rows,
+    pre-aggregated on the pair (count, first segment, length) -- spreading a
+    hot block over many tasks -- then rolled up once per block with
+    conditional aggregates.  No joins, so a NULL block id is simply a group.
     """
-    base = streets.groupBy(KEY).agg(F.count(F.lit(1)).cast("bigint").alias("n_segments"),
-                                    sum0("shape_length").cast("double").alias("total_length_ft"))
-    names = concat_distinct(streets, KEY, ["street"], order, "; ", "streets")
-    out = left_outer(base, names, KEY)
-    for value, name in (("l_boro", "boro"), ("l_cd", "cd"), ("lct2020", "ct2020")):
-        out = left_outer(out, mode_by(streets, KEY, value, name), KEY)
+    def row(a, vs=None, vi=None):
+        return F.struct(F.lit(a).alias("a"),
+                        (F.col(vs) if vs else F.lit(None).cast("string")).alias("vs"),
+                        (F.col(vi) if vi else F.lit(None).cast("int")).alias("vi"))
+
+    stacked = streets.select(KEY, order, "shape_length", F.inline(F.array(
+        row(0, vs="street"), row(1, vi="l_boro"), row(2, vi="l_cd"), row(3, vs="lct2020"))))
+    pairs = stacked.groupBy(KEY, "a", "vs", "vi").agg(
+        F.count(F.lit(1)).alias("n"), F.min(order).alias("first"), F.sum("shape_length").alias("len"))
+    is_a = lambda i: F.col("a") == i
+
+    def mode(i, v):
+        return F.min(F.when(is_a(i), F.struct((-F.col("n")).alias("k0"), F.col(v).isNull().alias("k1"),
+                                              F.col(v).alias("v"))))["v"]
+
+    out = pairs.groupBy(KEY).agg(
+        F.sum(F.when(is_a(0), F.col("n"))).cast("bigint").alias("n_segments"),
+        F.coalesce(F.sum(F.when(is_a(0), F.col("len"))), F.lit(0.0)).cast("double").alias("total_length_ft"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.when(is_a(0), F.struct("first", na_text("vs").alias("s"))))),
+                                 lambda x: x["s"]), "; ").alias("streets"),
+        mode(1, "vi").alias("boro"), mode(2, "vi").alias("cd"), mode(3, "vs").alias("ct2020"))
     if with_geom:
         out = left_outer(out, dissolve(streets), KEY)
     return out

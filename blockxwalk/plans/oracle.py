@@ -150,8 +150,8 @@ CTES: list[tuple[str, str]] = [
     # --- blocks
     ("pb_base", "SELECT physical_id, CAST(count(*) AS BIGINT) AS n_segments, "
                 "CAST(coalesce(sum(shape_length), 0) AS DOUBLE) AS total_length_ft FROM cs GROUP BY physical_id"),
-    ("pb_st", "SELECT physical_id, string_agg(v, '; ' ORDER BY f NULLS FIRST, v) AS streets FROM "
-              f"(SELECT physical_id, {na('street')} AS v, min(segment_id) AS f FROM cs GROUP BY 1, 2) GROUP BY physical_id"),
+    ("pb_st", f"SELECT physical_id, string_agg({na('street')}, '; ' ORDER BY f NULLS FIRST, {na('street')}) AS streets "
+              "FROM (SELECT physical_id, street, min(segment_id) AS f FROM cs GROUP BY 1, 2) GROUP BY physical_id"),
     ("pb_boro", "SELECT physical_id, l_boro AS boro FROM (SELECT physical_id, l_boro, row_number() OVER (PARTITION BY "
                 "physical_id ORDER BY n DESC, l_boro ASC NULLS LAST) AS rn FROM (SELECT physical_id, l_boro, count(*) "
                 "AS n FROM cs GROUP BY 1, 2)) WHERE rn = 1"),
