@@ -72,9 +72,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def write_table(df: DataFrame, name: str) -> str:
-    """Write ``df`` as parquet under the shared checkpoint folder; return the path."""
-    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    """Write ``df`` as parquet under the shared checkpoint folder; return the path.
+
+    A table produced by fewer tasks than the cluster has cores would come back
+    as that few files / row groups, and every later scan of it would run on
+    that few tasks; such tables are spread over ``defaultParallelism``
+    partitions first (large tables are written as they are).
+    """
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/tables/{name}-{uuid.uuid4().hex}"
+    par = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < par:
+        df = df.repartition(par)
     df.write.mode("overwrite").parquet(path)
     return path
 
