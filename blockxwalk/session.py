@@ -71,20 +71,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def write_table(df: DataFrame, name: str) -> str:
+def write_table(df: DataFrame, name: str, spread: bool = False) -> str:
     """Write ``df`` as parquet under the shared checkpoint folder; return the path.
 
-    A table produced by fewer tasks than the cluster has cores would come back
-    as that few files / row groups, and every later scan of it would run on
-    that few tasks; such tables are spread over ``defaultParallelism``
-    partitions first (large tables are written as they are).
+    ``spread=True`` first distributes the rows round-robin over
+    ``defaultParallelism`` partitions: a table produced by a single task (e.g.
+    derived from one small file) would otherwise come back as one file / row
+    group and every later scan of it would be a single task.
     """
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/tables/{name}-{uuid.uuid4().hex}"
-    par = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < par:
-        df = df.repartition(par)
+    if spread:
+        df = df.repartition(spark.sparkContext.defaultParallelism)
     df.write.mode("overwrite").parquet(path)
     return path
 
