@@ -105,15 +105,11 @@ def concat_distinct_many(df: DataFrame, key: str, specs: dict[str, tuple[Sequenc
     second (the order of ``c(left, right)``).  NULL prints as ``NA``.
     ``count_of = {count_name: out_name}`` adds the number of distinct values.
     """
-    pieces = []
-    for a_idx, (name, (cols_, _sep)) in enumerate(specs.items()):
-        for side, c in enumerate(cols_):
-            pieces.append(df.select(
-                F.col(key), F.lit(a_idx).alias("_a"), na_text(c).alias("_v"),
-                F.struct(F.lit(side).alias("side"), F.col(order).alias("ord")).alias("_o")))
-    stacked = pieces[0]
-    for p in pieces[1:]:
-        stacked = stacked.unionByName(p)
+    # one scan: every row becomes one (attribute, side, value) row per source column
+    rows = [F.struct(F.lit(a_idx).alias("_a"), na_text(c).alias("_v"),
+                     F.struct(F.lit(side).alias("side"), F.col(order).alias("ord")).alias("_o"))
+            for a_idx, (_name, (cols_, _sep)) in enumerate(specs.items()) for side, c in enumerate(cols_)]
+    stacked = df.select(key, F.inline(F.array(*rows)))
     first = stacked.groupBy(key, "_a", "_v").agg(F.min("_o").alias("_o"))
     # one collect per key holding only distinct values, sorted by (attribute, first appearance)
     allv = first.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_a", "_o", "_v"))).alias("_all"))
