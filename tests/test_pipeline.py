@@ -90,3 +90,14 @@ def test_oracle_spot_check(spark, name):
     assert sorted(df.columns) == sorted(dcols)
     assert len(srows) == len(drows)
     assert digest(df.columns, srows) == digest(dcols, drows)
+
+
+def test_write_all_outputs(spark, xw, tmp_dir):
+    from blockxwalk.sources.sinks import OUTPUTS, write_all, write_map_layer
+    paths = write_all(xw, tmp_dir)
+    assert set(paths) == set(OUTPUTS) | {"physical_blocks"}
+    assert spark.read.parquet(paths["master_block_list_full"]).count() == xw.master_full.count()
+    blocks = spark.read.parquet(paths["physical_blocks"])
+    assert "wkt" in blocks.columns and blocks.filter(F.col("wkt").startswith("MULTILINESTRING")).count() > 0
+    write_map_layer(xw.map_layer("nypd"), tmp_dir + "/map")
+    assert spark.read.text(tmp_dir + "/map").count() == xw.map_layer("nypd").count()
