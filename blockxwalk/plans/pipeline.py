@@ -6,9 +6,10 @@ action; attributes are memoised so that every consumer shares one logical
 sub-plan (and Spark reuses the identical exchanges when several outputs are
 computed in one job).
 
-``write_all(out_dir)`` is the production entry: each output is written as a
-table, and downstream stages read the written table, so lineage is cut at
-every stage boundary and a lost executor only re-runs the current stage.
+``sources.sinks.write_all(x, out_dir)`` is the production entry: every
+output is written as a table.  The cascade writes each wave to the shared
+checkpoint folder, so the outputs depend on short plans over written tables
+and a lost executor only re-runs the current stage.
 """
 
 from __future__ import annotations
