@@ -101,3 +101,14 @@ def test_write_all_outputs(spark, xw, tmp_dir):
     assert "wkt" in blocks.columns and blocks.filter(F.col("wkt").startswith("MULTILINESTRING")).count() > 0
     write_map_layer(xw.map_layer("nypd"), tmp_dir + "/map")
     assert spark.read.text(tmp_dir + "/map").count() == xw.map_layer("nypd").count()
+
+
+def test_filters_pushed_and_columns_pruned(spark, xw):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")  # untruncated scan metadata
+    q = xw.city_streets.select("segment_id", "physical_id")
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "PushedFilters: [" in plan and "EqualTo(status,2)" in plan and "EqualTo(segment_typ,U)" in plan
+    scan = [line for line in plan.splitlines() if "FileScan parquet" in line][0]
+    read = scan.split("ReadSchema: ")[1]
+    assert "street" not in read and "geom" not in read      # only the needed columns are read
