@@ -35,6 +35,29 @@ CACHE_PIECES, CACHE_CHARS = 300_000, 64
 #: The split pattern of byte-level BPE (fixed value).
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+#: Code points that a newer Unicode version counts as letters or numbers and the
+#: split pattern, by Unicode 16, doesn't (fixed values).
+NOT_YET_LETTERS = (
+    "\\u0558\\u058b-\\u058c\\u088f\\u0c5c\\u0cdc\\u208f\\u209d-\\u209f\\ua7ce-\\ua7cf\\ua7d2\\ua7d4\\ua7dd\\ua7e2\\ua7f1\\uab6c-\\uab6d"
+    "\\U000107bb-\\U000107bf\\U00010940-\\U00010959\\U00010ec5-\\U00010ec7\\U00010ed9-\\U00010eee\\U00011b0a\\U00011db0-\\U00011ddb\\U00011df1"
+    "\\U00016ea0-\\U00016eb8\\U00016ebb-\\U00016ed3\\U00016ff2-\\U00016ff3\\U000187f8-\\U000187ff\\U00018cd6-\\U00018cda\\U00018d09-\\U00018d20"
+    "\\U00018d80-\\U00018df2\\U00018e00-\\U00019191\\U000191a0-\\U000191d2\\U0001b123-\\U0001b128\\U0001b168\\U0001d6a6\\U0001df1f-\\U0001df24"
+    "\\U0001df2b-\\U0001df81\\U0001df90-\\U0001df96\\U0001dfcd-\\U0001dfff\\U0001e6c0-\\U0001e6de\\U0001e6e0-\\U0001e6e2\\U0001e6e4-\\U0001e6e5"
+    "\\U0001e6e7-\\U0001e6ed\\U0001e6f0-\\U0001e6f4\\U0001e6fe-\\U0001e6ff\\U0002b73a-\\U0002b73f\\U0002b81e\\U0002cea2-\\U0002cead"
+    "\\U000323b0-\\U00033479\\U0003d000-\\U0003fc3f"
+)
+NOT_YET_NUMBERS = "\\U00011de0-\\U00011de9\\U0001246f\\U00012475-\\U0001247f\\U00012550-\\U00012686\\U00016ff4-\\U00016ff6"
+
+
+def splitter():
+    """A function that splits a text into the pattern's pieces, by Unicode 16 whatever the version of ``regex``."""
+    usual = regex.compile(SPLIT).findall
+    letter, number = rf"(?![{NOT_YET_LETTERS}])\p{{L}}", rf"(?![{NOT_YET_NUMBERS}])\p{{N}}"
+    other = rf"(?:[^\s\p{{L}}\p{{N}}]|[{NOT_YET_LETTERS}{NOT_YET_NUMBERS}])"
+    exact = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?(?:{letter})+| ?(?:{number})+| ?{other}+|\s+(?!\S)|\s+").findall
+    odd = regex.compile(f"[{NOT_YET_LETTERS}{NOT_YET_NUMBERS}]").search
+    return lambda text: usual(text) if text.isascii() or not odd(text) else exact(text)
+
 
 def default_vocabulary() -> str:
     import public_tokenizers
@@ -100,7 +123,7 @@ class Encoder(dict):
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
         self.vocabulary = vocabulary
-        self.pieces = regex.compile(SPLIT).findall
+        self.pieces = splitter()
         self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(vocabulary.special, key=len, reverse=True))) + ")") if vocabulary.special else None
 
     def __missing__(self, piece: str) -> bytes:
