@@ -56,7 +56,15 @@ def splitter():
     other = rf"(?:[^\s\p{{L}}\p{{N}}]|[{NOT_YET_LETTERS}{NOT_YET_NUMBERS}])"
     exact = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?(?:{letter})+| ?(?:{number})+| ?{other}+|\s+(?!\S)|\s+").findall
     odd = regex.compile(f"[{NOT_YET_LETTERS}{NOT_YET_NUMBERS}]").search
-    return lambda text: usual(text) if text.isascii() or not odd(text) else exact(text)
+
+    def split(text: str) -> list[str]:
+        try:
+            text.encode("latin-1")  # a quick way to see that nothing odd is in it
+        except UnicodeEncodeError:
+            return exact(text) if odd(text) else usual(text)
+        return usual(text)
+
+    return split
 
 
 def default_vocabulary() -> str:
