@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, toxicity, urls
+from . import bpe, secrets, toxicity, urls
 from .common import read_table
 
 
@@ -21,6 +21,15 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scan every document for secrets."""
+    base = F.filter("spans", lambda x: x["k"] < 3)
+    count = lambda k: F.size(F.filter("spans", lambda x: x["k"] == k)).cast("long")
+    return secrets.scan(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
+        F.sha2(secrets.joined(base), 256).alias("base_sha256"), secrets.joined(F.col("spans")).alias("spans"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score every document; learn from the labels that aren't held out."""
     docs = read_table(spark, sf_dir, "documents")
@@ -40,6 +49,7 @@ def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secrets": op1_secrets,
     "op4_toxicity": op4_toxicity,
     "op7_urls": op7_urls,
     "op10_bpe": op10_bpe,
