@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
-__all__ = ["column", "map_batches", "materialize", "normal_text", "read_table", "slices"]
+__all__ = ["column", "let", "map_batches", "materialize", "normal_text", "read_table", "slices"]
 
 #: Characters that one Python-side step looks at together; an Arrow batch with
 #: more is worked through in slices, so memory follows the longest text only.
@@ -31,6 +31,11 @@ def normal_text(name: str = "text") -> Column:
     return F.coalesce(column(name).cast("string"), F.lit(""))
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once: in a lambda, an expression that is named twice runs twice."""
+    return F.transform(F.array(value), lambda x: use(x))[0]
+
+
 def slices(texts: list[str], most: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
     """Ranges (from, to) of ``texts`` of about ``most`` characters, one text at least."""
     start, size = 0, 0

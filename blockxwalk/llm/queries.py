@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, secrets, toxicity, urls
+from . import bpe, fingerprints, secrets, toxicity, urls
 from .common import read_table
 
 
@@ -30,6 +30,12 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secrets.joined(base), 256).alias("base_sha256"), secrets.joined(F.col("spans")).alias("spans"))
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint every document and its edited text."""
+    pairs = fingerprints.edited(read_table(spark, sf_dir, "documents"))
+    return fingerprints.compare(pairs).withColumnRenamed("id", "doc_id")
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score every document; learn from the labels that aren't held out."""
     docs = read_table(spark, sf_dir, "documents")
@@ -50,6 +56,7 @@ def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
+    "op3_fingerprints": op3_fingerprints,
     "op4_toxicity": op4_toxicity,
     "op7_urls": op7_urls,
     "op10_bpe": op10_bpe,

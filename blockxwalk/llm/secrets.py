@@ -24,7 +24,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, normal_text
+from .common import column, let, normal_text
 
 #: Base kinds in their order (fixed patterns of the contract).
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -102,9 +102,9 @@ def high_entropy(candidate: Column, alphabet: str, window: int, bits: float) ->
                         F.when((start >= 0) & (state["sum"] <= most), hits).otherwise(state["hits"]).alias("hits"), state["i"].alias("i"))
 
     # what enters at each place and what leaves (0: nothing yet)
-    moves = F.transform(codes, lambda c, i: F.struct(c.alias("new"), F.when(i >= window, F.element_at(codes, F.greatest(i - window + 1, F.lit(1)))).otherwise(F.lit(0)).alias("old"), i.alias("i")))
+    moves = let(codes, lambda all: F.transform(all, lambda c, i: F.struct(c.alias("new"), F.when(i >= window, F.element_at(all, F.greatest(i - window + 1, F.lit(1)))).otherwise(F.lit(0)).alias("old"), i.alias("i"))))
     start = F.struct(zero.alias("counts"), F.lit(0).cast("long").alias("sum"), none.alias("hits"), F.lit(-1).alias("i"))
-    return F.aggregate(moves, start, lambda s, x: mark(step(s, x)), lambda s: s["hits"])
+    return F.aggregate(moves, start, lambda s, x: let(step(s, x), mark), lambda s: s["hits"])
 
 
 def _entropy_spans(found: Column, kind: tuple, allow: tuple[str, ...]) -> Column:
