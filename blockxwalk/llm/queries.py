@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, secrets, toxicity, urls
+from . import bpe, chat, fingerprints, secrets, toxicity, urls
 from .common import read_table
 
 
@@ -30,6 +30,17 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secrets.joined(base), 256).alias("base_sha256"), secrets.joined(F.col("spans")).alias("spans"))
 
 
+#: A conversation that looks like another template's control strings (fixed value of the contract).
+HARD_CHAT = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Format every conversation, and a hard one."""
+    hard = spark.createDataFrame(HARD_CHAT, "conv_id long, turn long, role string, text string")
+    both = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(hard)
+    return chat.digests(chat.encode_pages(both))
+
+
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint every document and its edited text."""
     pairs = fingerprints.edited(read_table(spark, sf_dir, "documents"))
@@ -56,6 +67,7 @@ def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
+    "op2_chat": op2_chat,
     "op3_fingerprints": op3_fingerprints,
     "op4_toxicity": op4_toxicity,
     "op7_urls": op7_urls,
