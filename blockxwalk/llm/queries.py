@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, fingerprints, secrets, toxicity, urls
+from . import bpe, chat, fingerprints, mixing, secrets, toxicity, urls
 from .common import read_table
 
 
@@ -65,12 +65,18 @@ def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(read_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replicate all documents to source weights of volume ** 0.5, in a global random order."""
+    return mixing.mix(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_chat": op2_chat,
     "op3_fingerprints": op3_fingerprints,
     "op4_toxicity": op4_toxicity,
     "op7_urls": op7_urls,
+    "op8_mixing": op8_mixing,
     "op10_bpe": op10_bpe,
 }
 
@@ -80,4 +86,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_mixing": mixing.MIX_SQL}
