@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, fingerprints, mixing, secrets, toxicity, urls
+from . import bpe, chat, fingerprints, mixing, neardup, secrets, toxicity, urls
 from .common import read_table
 
 
@@ -56,6 +56,12 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"), "sentences")
 
 
+def op6_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every document."""
+    rows, _ = neardup.classes(read_table(spark, sf_dir, "documents"))
+    return rows.select(F.col("id").alias("doc_id"), "class_id")
+
+
 #: Fixed values of the contract.
 URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]
 
@@ -75,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat": op2_chat,
     "op3_fingerprints": op3_fingerprints,
     "op4_toxicity": op4_toxicity,
+    "op6_neardup": op6_neardup,
     "op7_urls": op7_urls,
     "op8_mixing": op8_mixing,
     "op10_bpe": op10_bpe,
