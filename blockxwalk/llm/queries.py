@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, fingerprints, mixing, neardup, secrets, toxicity, urls
+from . import ann, bpe, chat, fingerprints, mixing, neardup, secrets, toxicity, urls
 from .common import read_table
 
 
@@ -76,6 +76,11 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents"))
 
 
+def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every row whose id is divisible by 20, among all rows."""
+    return ann.search(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_chat": op2_chat,
@@ -84,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_neardup": op6_neardup,
     "op7_urls": op7_urls,
     "op8_mixing": op8_mixing,
+    "op9_ann": op9_ann,
     "op10_bpe": op10_bpe,
 }
 
