@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat, fingerprints, mixing, neardup, secrets, toxicity, urls
+from . import ann, bpe, chat, fingerprints, mixing, neardup, pii, secrets, toxicity, urls
 from .common import read_table
 
 
@@ -56,6 +56,14 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"), "sentences")
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Find personal data in every document."""
+    docs = read_table(spark, sf_dir, "documents")
+    base = F.filter("spans", lambda x: x["k"] < len(pii.BASE))
+    count = lambda k: F.size(F.filter("spans", lambda x: x["k"] == k)).cast("long").alias(f"n_{pii.BASE[k]}")
+    return pii.find(docs, pii.fit(docs)).select("doc_id", *map(count, range(len(pii.BASE))), F.sha2(pii.joined(base), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"))
+
+
 def op6_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate class of every document."""
     rows, _ = neardup.classes(read_table(spark, sf_dir, "documents"))
@@ -86,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat": op2_chat,
     "op3_fingerprints": op3_fingerprints,
     "op4_toxicity": op4_toxicity,
+    "op5_pii": op5_pii,
     "op6_neardup": op6_neardup,
     "op7_urls": op7_urls,
     "op8_mixing": op8_mixing,
