@@ -13,14 +13,21 @@ Bands of ``ROWS`` registers make buckets.  Candidates pass the signature's
 estimate, then the exact Jaccard similarity of the shingle sets: ``SIMILARITY`` or
 more is a link.  Classes are the connected components of the links.
 
-No bucket is compared pair by pair.  Within a bucket only nodes of different
-components matter.  If at most ``FEW`` of its nodes are outside its largest
-component, these are compared with the other components' nodes; that settles
-the bucket.  In a larger one all are compared with a pivot, the node with most
-neighbours in all its buckets (the original of many copies, as a rule).  What
-that leaves in several components is dealt anew by one more band: nodes that are
-that similar share many bands.  After ``DEPTH`` bands a bucket gets one more pivot
-after the other until it is settled.  Nothing is capped or sampled.
+Only a bucket of ``SMALL`` nodes at most is compared pair by pair, and of these
+only nodes of different components.  In larger ones every node u is compared
+with one reference b: of all its buckets' nodes the one with most neighbours (the
+original of many copies, as a rule), and the reference that prevails in its
+bucket.  From |u|, |u & b| and the same of v follows which pairs u, v of that
+reference can still be links:
+
+* if they share no shingle outside b, they share min(|u & b|, |v & b|) at most;
+  the few pairs for which that is enough are joined by their sizes;
+* else they share shingles outside b, and so many that one is among the first
+  |u - b| - (0.8 |u| - |u & b|) + 1 of each (prefix filter): those shingles make
+  the buckets of the next round, for nodes of different components alone.
+
+Rounds end when no bucket holds several components.  From round ``DEPTH`` on a
+large bucket gets one reference after the other.  Nothing is capped or sampled.
 
 Defined results: null text reads as empty; texts without words are copies if
 they are equal; repeated rows are copies; a class's id is its least document id
@@ -44,7 +51,7 @@ BANDS, ROWS = 20, 4
 REGISTERS = BANDS * ROWS
 #: Agreeing registers that a candidate needs; a pair of similarity 0.8 agrees in 64 of 80, fewer than 44 are 5.6 deviations off.
 LEAST_AGREEING = 44
-FEW, DEPTH = 16, 4
+SMALL, DEPTH = 32, 8
 #: A key with more than this part of a table's rows (and these rows) is joined by broadcast: there are fewer than 1 / HOT such keys.
 HOT, HOT_ROWS = 1 / 500, 2000
 #: Ids up to so many are broadcast (16 bytes each); more are joined by a shuffle.
@@ -193,17 +200,22 @@ def _estimated(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return rows.select("a", "b", "sa", "sb").mapInArrow(run, "a binary, b binary")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, jaccard) of the pairs whose shingle sets are similar enough.
+def _overlaps(pairs: DataFrame, sets: DataFrame, prefix: bool) -> DataFrame:
+    """(a, b, both, na, nb, added): shared and own shingles of the pairs (written, distinct).
 
-    A node with many partners (b after turning) has its set sent once for each
+    added (if ``prefix``): of a's shingles outside b, as many as a partner's of the
+    same b must meet.  A node with many partners has its set sent once for each
     256 of them, to as many tasks.
     """
-    pairs = materialize(pairs, "candidates")
     degree = pairs.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n"))
     degree = materialize(degree.withColumn("parts", F.ceil(F.col("n") / 256).cast("int")), "degrees")
-    rows = attach(pairs, degree.select(F.col("node").alias("a"), F.col("parts").alias("pa"), "n"), "a", "n")
-    rows = attach(rows, degree.select(F.col("node").alias("b"), F.col("parts").alias("pb"), "n"), "b", "n")
+    many = degree.where("parts > 1").select("node", "parts")  # fewer than 1 / 128 of the pairs
+    rows = pairs
+    for x in "ab":
+        if many.isEmpty():
+            rows = rows.withColumn(f"p{x}", F.lit(1))
+        else:
+            rows = attach(rows, degree.select(F.col("node").alias(x), F.col("parts").alias(f"p{x}"), "n"), x, "n")
     rows = rows.select("a", "b", F.pmod(F.xxhash64("b"), F.col("pa")).cast("int").alias("ka"), F.pmod(F.xxhash64("a"), F.col("pb")).cast("int").alias("kb"))
     dealt = sets.join(degree.select("node", "parts"), "node").select("node", "set", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("k"))
     rows = rows.join(dealt.select(F.col("node").alias("a"), F.col("k").alias("ka"), F.col("set").alias("sa")), ["a", "ka"])
@@ -211,20 +223,29 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = []
+            both, na, nb, added = [], [], [], []
             for x, y in zip(b.column("sa"), b.column("sb")):
                 x, y = np.frombuffer(x.as_buffer(), np.uint32), np.frombuffer(y.as_buffer(), np.uint32)
-                if len(x) > len(y):
-                    x, y = y, x
-                both = 0
-                if len(x) >= SIMILARITY * len(y) - 1:
-                    at = np.searchsorted(y, x)
-                    both = int((y[np.minimum(at, len(y) - 1)] == x).sum()) if len(y) else 0
-                found.append(both / max(1, len(x) + len(y) - both))
-            j = np.array(found)
-            yield pa.RecordBatch.from_arrays([*b.select(["a", "b"]).columns, pa.array(j)], ["a", "b", "jaccard"]).filter(pa.array(j >= SIMILARITY))
+                shared = y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x if len(x) and len(y) else np.zeros(len(x), bool)
+                n = int(shared.sum())
+                both.append(n)
+                na.append(len(x))
+                nb.append(len(y))
+                if prefix:
+                    own = x[~shared]
+                    added.append(own[:max(0, len(own) - max(1, int(np.ceil(SIMILARITY * len(x) - 1e-9)) - n) + 1)].view(np.int32))
+            ends = np.concatenate([[0], np.cumsum([len(x) for x in added])]) if prefix else np.zeros(b.num_rows + 1)
+            values = np.concatenate(added) if added else np.zeros(0, np.int32)
+            yield pa.RecordBatch.from_arrays([*b.select(["a", "b"]).columns, *(pa.array(x, pa.int32()) for x in (both, na, nb)),
+                                              pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values))], ["a", "b", "both", "na", "nb", "added"])
+
+    return rows.select("a", "b", "sa", "sb").mapInArrow(run, "a binary, b binary, both int, na int, nb int, added array<int>")
+
 
-    return rows.select("a", "b", "sa", "sb").mapInArrow(run, "a binary, b binary, jaccard double")
+def _links(overlaps: DataFrame) -> DataFrame:
+    """(a, b, jaccard) of the pairs that are similar enough."""
+    jaccard = F.col("both") / F.greatest(F.col("na") + F.col("nb") - F.col("both"), F.lit(1))
+    return overlaps.select("a", "b", jaccard.alias("jaccard")).where(F.col("jaccard") >= SIMILARITY)
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -266,78 +287,112 @@ def components(links: DataFrame) -> DataFrame:
             return labels.select("node", "comp")
 
 
-def _with_components(buckets: DataFrame, comps: DataFrame | None) -> DataFrame:
+def _with_components(rows: DataFrame, comps: DataFrame | None) -> DataFrame:
+    """The rows (.., node) with the column comp."""
     if comps is None:
-        return buckets.withColumn("comp", F.col("node"))
-    return buckets.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        return rows.withColumn("comp", F.col("node"))
+    return rows.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+
+
+def _unsettled(rows: DataFrame) -> DataFrame:
+    """(key, node, comp, size) of the buckets with several components."""
+    mixed = rows.groupBy("key").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi")
+    mixed = materialize(mixed.select("key", "size", F.col("size").alias("n")), "unsettled")
+    return materialize(attach(rows.select("key", "node", "comp"), mixed, "key", "n"), "rows")
+
+
+def _shared(rows: DataFrame) -> DataFrame:
+    """The rows whose key isn't theirs alone."""
+    keys = materialize(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "shared-keys")
+    return semi(rows, keys, "key")
+
+
+def _small_pairs(rows: DataFrame) -> DataFrame:
+    """Pairs of nodes of different components in small buckets."""
+    own = rows.where(F.col("size") <= SMALL).groupBy("key").agg(F.array_sort(F.collect_list(F.struct("node", "comp"))).alias("all"))  # SMALL at most
+    others = own.select("all", F.explode("all").alias("x"))
+    others = others.select("x", F.explode(F.filter("all", lambda y: (y["node"] > F.col("x.node")) & (y["comp"] != F.col("x.comp")))).alias("y"))
+    return others.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+
+
+def _references(large: DataFrame) -> DataFrame:
+    """(a, b): the nodes of the large buckets, each with its buckets' references."""
+    degree = materialize(large.groupBy("node").agg(F.sum("size").alias("degree")), "degree")
+    large = large.join(degree, "node")
+    top = materialize(large.groupBy("key").agg(F.first("size").alias("n"), F.max(F.struct("degree", "node")).alias("top")), "tops")
+    own = attach(large.select("key", "node"), top, "key", "n").groupBy("node").agg(F.max("top").alias("ref"))
+    own = materialize(own, "own-references")
+    main = large.select("key", "node", "size").join(own, "node").groupBy("key", "ref").agg(F.count("*").alias("m"), F.first("size").alias("n"))
+    main = main.groupBy("key").agg(F.first("n").alias("n"), F.max(F.struct("m", "ref")).alias("main"))
+    main = materialize(main.select("key", "n", F.col("main.ref.node").alias("b")), "references")
+    return attach(large.select("key", F.col("node").alias("a")), main, "key", "n").where("a != b").select("a", "b").distinct()
+
+
+def _by_size(star: DataFrame) -> DataFrame:
+    """Pairs that can be links though they share nothing outside their reference.
+
+    That needs 1.8 min(both) >= 0.8 (|u| + |v|).  If u is no link of b, v is
+    smaller than b, in a range of sizes that u gives.
+    """
+    k = (1 + SIMILARITY) / SIMILARITY
+    far = star.where(F.col("both") < SIMILARITY * (F.col("na") + F.col("nb") - F.col("both")))
+    least, most = F.ceil(SIMILARITY * F.col("na") - 1e-9).cast("int"), F.floor(k * F.col("both") - F.col("na") + 1e-9).cast("int")
+    u = far.where(least <= most).select("b", F.col("a").alias("u"), F.col("na").alias("nu"), F.explode(F.sequence(least, most)).alias("nv"))
+    v = star.select("b", F.col("a").alias("v"), F.col("na").alias("nv"), F.col("both").alias("both_v")).where(k * F.col("both_v") >= F.col("nv") * (1 + SIMILARITY) - 1e-9)
+    found = u.join(v, ["b", "nv"]).where((F.col("u") != F.col("v")) & (k * F.col("both_v") >= F.col("nu") + F.col("nv") - 1e-9))
+    return found.select(F.col("u").alias("a"), F.col("v").alias("b"))
 
 
 def link(nodes: DataFrame, sets_of) -> tuple[DataFrame | None, DataFrame | None]:
-    """All links (a, b, jaccard) between nodes (node, bands, sig), and the components of the linked nodes."""
-    keys = nodes.select("node", F.posexplode("bands").alias("band", "key"))
-    shared = keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    shared = materialize(shared, "shared-keys")
-    total = shared.count()
-    if not total:
+    """All links (a, b, jaccard) that join components, of nodes (node, bands, sig); and the components of the linked nodes."""
+    buckets = materialize(_shared(nodes.select("node", F.explode("bands").alias("key"))), "buckets")
+    if buckets.isEmpty():
         return None, None
-    rows = keys.join(F.broadcast(shared.select("key")) if total <= BROADCAST_IDS else shared.select("key"), "key", "left_semi")
-    buckets = materialize(rows.select("key", "node", F.array("band").alias("used")), "buckets")
     sets = materialize(sets_of(buckets.select("node").distinct()), "sets")
-    links = tested = comps = None
-    depth = 1
+    links = comps = None
+    depth = 0
+
+    def extend(new: DataFrame) -> None:
+        nonlocal links, comps
+        links = materialize(new if links is None else links.unionByName(new), "links")
+        comps = None if links.isEmpty() else materialize(components(links), "components")
+
+    def compared(pairs: DataFrame) -> DataFrame:
+        """The links among pairs, which the signatures' estimate goes through first."""
+        pairs = materialize(_cut(pairs), "pairs")
+        return _links(_overlaps(materialize(_estimated(pairs, nodes), "candidates"), sets, False))
+
     while True:
-        now = materialize(_with_components(buckets, comps), "bucket-components")
-        parts = now.groupBy("key", "comp").agg(F.count("*").alias("m")).groupBy("key").agg(
-            F.max(F.struct("m", "comp")).alias("largest"), F.sum("m").alias("size"), F.count("*").alias("n_comps"))
-        parts = materialize(parts.where("n_comps > 1").select("key", F.col("largest.comp").alias("main"), "size", (F.col("size") - F.col("largest.m")).alias("rest")), "parts")
-        few = parts.where(F.col("rest") <= FEW)
-        many = parts.where(F.col("rest") > FEW)
-        # the few nodes outside the largest component, with all of other components
-        members = attach(now, few.select("key", "main", "size"), "key", "size")
-        members = materialize(members, "members") if not few.isEmpty() else members
-        outside = members.where("comp != main").groupBy("key").agg(F.collect_list(F.struct("node", "comp")).alias("others"))  # FEW at most
-        found = attach(members.drop("main"), few.join(outside, "key").select("key", "others", "size"), "key", "size")
-        pairs = found.select("node", "comp", F.explode("others").alias("o")).where("comp != o.comp").select(F.col("node").alias("a"), F.col("o.node").alias("b"))
-        star = None
-        if not many.isEmpty():
-            large = materialize(attach(now, many.select("key", "size"), "key", "size"), "large")
-            # a node's neighbours in all its buckets
-            degree = attach(large, many.select("key", F.col("size").alias("own"), "size"), "key", "size").groupBy("node").agg(F.sum("own").alias("degree"))
-            pivots = large.join(degree, "node").groupBy("key").agg(F.max(F.struct("degree", "node", "comp")).alias("p"))
-            pivots = materialize(pivots.join(many.select("key", "size"), "key").select("key", F.col("p.node").alias("pivot"), F.col("p.comp").alias("pivot_comp"), "size"), "pivots")
-            star = attach(large, pivots, "key", "size")
-            pairs = pairs.unionByName(star.where("comp != pivot_comp").select(F.col("node").alias("a"), F.col("pivot").alias("b")))
-        pairs = _cut(pairs)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "pairs")
-        new = materialize(_verified(_estimated(pairs, nodes), sets), "links")
-        links = new if links is None else materialize(links.unionByName(new), "links")
-        if links.isEmpty():
-            comps = None
-        else:
-            comps = materialize(components(links), "components")
-        if star is None:
+        depth += 1
+        rows = _unsettled(_with_components(buckets, comps))
+        if rows.isEmpty():
+            return links, comps
+        found = compared(_small_pairs(rows))
+        large = rows.where(F.col("size") > SMALL)
+        if large.isEmpty():
+            extend(found)
             return (None, None) if comps is None else (links, comps)
-        tested = pairs if tested is None else materialize(tested.unionByName(pairs), "tested")
         if depth < DEPTH:
-            # what is still in several components goes by one more band
-            depth += 1
-            left = _unsettled(_with_components(large.drop("comp"), comps))
-            left = left.join(nodes.select("node", "bands"), "node")
-            more = left.select("node", "used", "bands", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band")).where(~F.array_contains("used", F.col("band")))
-            more = more.select("node", "bands", F.array_sort(F.concat("used", F.array("band"))).alias("used"))
-            more = more.select(F.xxhash64("used", F.transform("used", lambda k: F.element_at("bands", k + 1))).alias("key"), "node", "used").dropDuplicates(["key", "node"])
-            buckets = materialize(more, "buckets")
+            star = materialize(_references(large), "star-pairs")
+        else:  # one reference after the other, until the bucket is settled
+            pivot = large.groupBy("key").agg(F.first("size").alias("n"), F.min("node").alias("b"))
+            pivot = materialize(pivot, "pivots")
+            buckets = materialize(attach(large, pivot, "key", "n").select("key", "node", "b"), "pivot-rows")
+            star = materialize(buckets.where("node != b").select(F.col("node").alias("a"), "b").distinct(), "star-pairs")
+        star = materialize(_overlaps(star, sets, depth < DEPTH), "star")
+        extend(found.unionByName(_links(star)))
+        if depth < DEPTH:
+            extend(compared(_apart(_by_size(star), comps)))
+            buckets = materialize(_shared(star.select(F.col("a").alias("node"), F.explode("added").alias("s"), "b").select("node", F.xxhash64("b", "s").alias("key"))), "buckets")
         else:
-            # deeper there are no bands that tell: one pivot after the other
-            buckets = materialize(_unsettled(_with_components(star.where("node != pivot").select("key", "node", "used"), comps)), "buckets")
+            buckets = buckets.where("node != b").select("key", "node")
 
 
-def _unsettled(rows: DataFrame) -> DataFrame:
-    """(key, node, used) of the buckets in which there are several components."""
-    mixed = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")).where("lo != hi")
-    return attach(rows.select("key", "node", "used"), mixed.select("key", "size"), "key", "size")
+def _apart(pairs: DataFrame, comps: DataFrame | None) -> DataFrame:
+    """The pairs of nodes of different components."""
+    for x in "ab":
+        pairs = _with_components(pairs.withColumnRenamed(x, "node"), comps).withColumnRenamed("node", x).withColumnRenamed("comp", f"c{x}")
+    return pairs.where("ca != cb").select("a", "b")
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame | None]:

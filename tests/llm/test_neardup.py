@@ -91,18 +91,20 @@ def test_against_all_pairs(spark):
     assert len(set(same(spark, docs))) < len(docs) - 20
 
 
-def test_large_groups_and_buckets(spark, monkeypatch):
-    """One group of many near copies, one passage in many documents; buckets go through pivots, more bands, and one pivot after the other."""
-    monkeypatch.setattr(neardup, "FEW", 2)
-    monkeypatch.setattr(neardup, "DEPTH", 2)
-    monkeypatch.setattr(neardup, "BANDS", 20)
+@pytest.mark.parametrize("depth", [8, 2])
+def test_large_groups_and_buckets(spark, monkeypatch, depth):
+    """Many near copies of one text, some of which have copies of their own; one passage in many documents."""
+    monkeypatch.setattr(neardup, "SMALL", 3)
+    monkeypatch.setattr(neardup, "DEPTH", depth)
     monkeypatch.setattr(neardup, "HOT_ROWS", 5)
     rng = random.Random(4)
     base = [f"b{i}" for i in range(200)]
-    docs = [(10_000 + i, " ".join(edit(rng, base, 6))) for i in range(80)] + [(20_000, " ".join(base))]
+    near = [edit(rng, base, rng.randrange(1, 12)) for _ in range(60)]
+    near += [edit(rng, near[rng.randrange(20)], rng.randrange(1, 4)) for _ in range(30)] + [base[:-k] for k in range(1, 40, 6)]
+    docs = [(10_000 + i, " ".join(w)) for i, w in enumerate(near)] + [(20_000, " ".join(base))]
     passage = [f"p{i}" for i in range(90)]
-    docs += [(30_000 + i, " ".join(passage + [f"x{i}_{k}" for k in range(25)])) for i in range(60)]
-    same(spark, docs)
+    docs += [(30_000 + i, " ".join(passage + [f"x{i // 2}_{k}_{i % 2 if k < 4 else 0}" for k in range(25)])) for i in range(50)]
+    assert len(set(same(spark, docs))) > 20
 
 
 def test_null_and_repeated_ids(spark):
