@@ -10,6 +10,9 @@ held-out sample queries the recall against brute force reaches ``RECALL``, and
 until they hold more than ``k`` rows.  In the parts the inner products are
 computed in full and the nearest are reranked by exact double precision.
 
+A query's floor, the k-th score among the sample's rows in its parts, keeps the
+blocks from passing on what can't be among its nearest.
+
 A part is worked through in blocks of rows and blocks of queries (by hashes of
 their ids), so that no task gets more than two blocks, however many rows or
 queries a part or one often repeated vector has.
@@ -181,11 +184,11 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
     x = np.unique(_matrix(taken.column("v"), dim), axis=0)
     x = x[np.random.default_rng(0).permutation(len(x))]
     index = fit(x, n, k)
-    shared = spark.sparkContext.broadcast(index["net"])
+    shared = spark.sparkContext.broadcast((index["net"], x))
     parts, probes = index["parts"], index["probes"]
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net = shared.value
+        net, _ = shared.value
         for b in batches:
             if b.num_rows:
                 best = np.zeros(b.num_rows, np.int32) if net is None else routes(net, _matrix(b.column(1), dim)).argmax(axis=1).astype(np.int32)
@@ -197,26 +200,30 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
     blocks = np.maximum(1, -(-size // BLOCK)).astype(np.int32)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net = shared.value
+        net, known = shared.value
+        home = np.zeros(len(known), int) if net is None else routes(net, known).argmax(axis=1)
         for b in batches:
-            if not b.num_rows:
-                continue
-            if net is None:
-                order = np.zeros((b.num_rows, 1), int)
-            else:
-                order = np.argsort(-routes(net, _matrix(b.column(1), dim)), axis=1, kind="stable")
-            held = np.cumsum(size[order], axis=1)
-            need = np.maximum(probes, (held <= k).sum(axis=1) + 1).clip(max=parts)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([o[:c] for o, c in zip(order, need)], pa.list_(pa.int32()))], ["id", "v", "to"])
-
-    queries = indexed.where("q").select("id", "v").mapInArrow(route, "id long, v array<double>, to array<int>")
-    queries = materialize(queries.select("id", "v", F.explode("to").alias("part")), "ann-queries")
+            for i in range(0, b.num_rows, 256):
+                part = b.slice(i, 256)
+                q = _matrix(part.column(1), dim)
+                order = np.zeros((len(q), 1), int) if net is None else np.argsort(-routes(net, q), axis=1, kind="stable")
+                held = np.cumsum(size[order], axis=1)
+                need = np.maximum(probes, (held <= k).sum(axis=1) + 1).clip(max=parts)
+                # no result is below the score of k of the sample's rows that the query will meet (one more, as one may be its own)
+                met = np.zeros((len(q), parts), bool)
+                met[np.arange(len(q))[:, None], order] = np.arange(order.shape[1]) < need[:, None]
+                s = np.where(met[:, home], q @ known.T, -np.inf)
+                floor = np.partition(s, s.shape[1] - k - 1, axis=1)[:, s.shape[1] - k - 1] if s.shape[1] > k else np.full(len(q), -np.inf)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(floor), pa.array([o[:c] for o, c in zip(order, need)], pa.list_(pa.int32()))], ["id", "v", "floor", "to"])
+
+    queries = indexed.where("q").select("id", "v").mapInArrow(route, "id long, v array<double>, floor double, to array<int>")
+    queries = materialize(queries.select("id", "v", "floor", F.explode("to").alias("part")), "ann-queries")
     asked = {r["part"]: r["n"] for r in queries.groupBy("part").agg(F.count("*").alias("n")).collect()}  # MAX_PARTS rows at most
     query_blocks = [max(1, -(-asked.get(p, 0) // BLOCK)) for p in range(parts)]
     by_part = lambda values: F.array(*[F.lit(int(b)) for b in values])
     row_blocks, ask_blocks = F.element_at(by_part(blocks), F.col("part") + 1), F.element_at(by_part(query_blocks), F.col("part") + 1)
     own_block = lambda n, salt: F.pmod(F.xxhash64("id", F.lit(salt)), n).cast("int")
-    left = queries.select("id", "v", "part", own_block(ask_blocks, 5).alias("qb"), F.explode(F.sequence(F.lit(0), row_blocks - 1)).alias("cb"))
+    left = queries.select("id", "v", "floor", "part", own_block(ask_blocks, 5).alias("qb"), F.explode(F.sequence(F.lit(0), row_blocks - 1)).alias("cb"))
     wanted = indexed.where(by_part([asked.get(p, 0) for p in range(parts)])[F.col("part")] > 0)
     right = wanted.select("id", "v", "part", own_block(row_blocks, 7).alias("cb"), F.explode(F.sequence(F.lit(0), ask_blocks - 1)).alias("qb"))
     keys = ["part", "qb", "cb"]
@@ -224,7 +231,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
     def compare(a: pa.Table, b: pa.Table) -> pa.Table:
         if not a.num_rows or not b.num_rows:
             return pa.table({"query_id": pa.array([], pa.int64()), "vec": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
-        return _nearest(a.column("id").to_numpy(), _matrix(a.column("v"), dim), b.column("id").to_numpy(), _matrix(b.column("v"), dim), k)
+        return _nearest(a.column("id").to_numpy(), _matrix(a.column("v"), dim), a.column("floor").to_numpy(), b.column("id").to_numpy(), _matrix(b.column("v"), dim), k)
 
     near = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(compare, "query_id long, vec long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec"))
@@ -232,8 +239,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
     return near.select("query_id", F.col("rank").cast("int").alias("rank"), F.col("vec").alias(id_col), "score")
 
 
-def _nearest(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, k: int) -> pa.Table:
-    """The k nearest of a block's rows for each of its queries, scores summed exactly."""
+def _nearest(qid: np.ndarray, q: np.ndarray, floor: np.ndarray, cid: np.ndarray, c: np.ndarray, k: int) -> pa.Table:
+    """The k nearest of a block's rows for each of its queries, none below the query's floor, scores summed exactly."""
     # equal vectors are compared once; of their ids the k + 1 smallest can be needed (one may be the query's)
     order = np.lexsort((cid,))
     cid, c = cid[order], c[order]
@@ -250,7 +257,7 @@ def _nearest(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, k:
         for r in range(len(s)):
             slack = bound * max(1e-300, np.abs(q[i + r]).max())
             found = []
-            for u in np.flatnonzero(s[r] >= least[r] - 2 * slack):
+            for u in np.flatnonzero(s[r] >= max(least[r], floor[i + r]) - 2 * slack):
                 exact = math.fsum(q[i + r] * unique[u])
                 found += [(-exact, int(x)) for x in members[u] if x != qid[i + r]]
             found.sort()

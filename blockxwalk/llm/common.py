@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -10,14 +11,28 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
-__all__ = ["column", "let", "map_batches", "materialize", "normal_text", "read_table", "slices"]
+__all__ = ["column", "importable", "let", "map_batches", "materialize", "normal_text", "read_table", "slices"]
 
 #: Characters that one Python-side step looks at together; an Arrow batch with
 #: more is worked through in slices, so memory follows the longest text only.
 SLICE_CHARS = 4_000_000
 
 
+def importable(spark: SparkSession) -> None:
+    """Let the Python workers find this package where the driver has found it.
+
+    That serves local sessions and clusters with a shared folder; elsewhere the
+    package is shipped with the job (``--py-files``).
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

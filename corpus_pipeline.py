@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blockxwalk.llm import bpe, mixing, neardup, pii, toxicity
-from blockxwalk.llm.common import materialize, read_table
+from blockxwalk.llm.common import importable, materialize, read_table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,11 +27,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of each near-duplicate class."""
+    importable(spark)
     return neardup.keep_one(docs)
 
 
 def cover_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by their kind; ``n_chars`` follows."""
+    importable(spark)
     return pii.redact(docs, pii.fit(docs))
 
 
@@ -45,6 +47,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every copy, and digests of them and of the text decoded from them."""
+    importable(spark)
     shared = bpe.share(spark)
     both = bpe.decode(bpe.encode(docs, shared=shared), shared=shared)
     return both.select(
