@@ -2,7 +2,7 @@
 
 from .keys import bbl_from_number, bbl_key, segid_key  # noqa: F401
 from .text import (  # noqa: F401
-    digits, either_in, extract_or_null, feet_to_miles, int_text, is_finite, label, na_text,
+    digits, extract_or_null, feet_to_miles, int_text, is_finite, label, na_text,
     not_blank, not_in_keep_null, pad_left, paste_na, plain_digits, row_max, row_min,
     to_double, trim_ws, truncate,
 )

@@ -16,6 +16,8 @@ ColumnOrName = Column | str
 NA_TEXT = "NA"
 # Whitespace class: ASCII whitespace plus Unicode separators (NBSP etc.).
 _WS = r"[\s\p{Z}]"
+# Text that already is a plain integer.
+_PLAIN = r"^-?[0-9]+$"
 
 
 def col(c: ColumnOrName) -> Column:
@@ -57,11 +59,10 @@ def truncate(c: ColumnOrName, width: int = 40, ellipsis: str = "...") -> Column:
 
 
 def int_text(c: ColumnOrName) -> Column:
-    """Number as text: integral doubles print without a fraction (``100`` not ``100.0``)."""
+    """Number as text: integral values of any size print without fraction or exponent (``100``, not ``100.0``)."""
     x = col(c)
-    d = x.cast("double")
-    integral = (d == F.floor(d)) & (F.abs(d) < F.lit(1e15))
-    return F.when(integral, d.cast("bigint").cast("string")).otherwise(x.cast("string"))
+    d, s = x.cast("double"), x.cast("string")
+    return F.when(s.rlike(_PLAIN), s).when(F.rint(d) == d, F.format_string("%.0f", d)).otherwise(s)
 
 
 def na_text(c: ColumnOrName) -> Column:
@@ -112,8 +113,9 @@ def row_max(*cols: ColumnOrName) -> Column:
 
 
 def plain_digits(c: ColumnOrName) -> Column:
-    """Number -> integer digits without exponent notation (``1000120007``, not ``1.000120007E9``)."""
-    return col(c).try_cast("decimal(38,0)").cast("string")
+    """Number -> integer digits without exponent notation (``1000120007``, not ``1.000120007E9``), of any size."""
+    s, d = col(c).cast("string"), col(c).try_cast("double")
+    return F.when(s.rlike(_PLAIN), s).when(d.isNotNull() & ~F.isnan(d) & (F.abs(d) < F.lit(float("inf"))), F.format_string("%.0f", d))
 
 
 def feet_to_miles(c: ColumnOrName) -> Column:
@@ -123,10 +125,3 @@ def feet_to_miles(c: ColumnOrName) -> Column:
 def not_in_keep_null(c: ColumnOrName, values) -> Column:
     """Exclusion filter that *keeps* NULL (``NOT IN`` in SQL would drop it)."""
     return ~F.coalesce(col(c).isin(list(values)), F.lit(False))
-
-
-def either_in(left: ColumnOrName, right: ColumnOrName, values) -> Column:
-    """Left or right value (trimmed) in a small literal set; NULLs are non-members."""
-    vals = list(values)
-    return (F.coalesce(trim_ws(left).isin(vals), F.lit(False))
-            | F.coalesce(trim_ws(right).isin(vals), F.lit(False)))

@@ -3,9 +3,9 @@
 Each query is written independently of the Spark code path: plain joins,
 GROUP BY, window ranking and string aggregation over the driver tables, with
 the domain tables rebuilt from the same recipe text as CTEs.  The spatial
-waves are brute-force distance joins (every parcel against every line,
-narrowed only by an exact bounding-box condition) using the same distance
-formula text as Spark, so distances agree bit for bit.
+waves are brute-force distance joins (every parcel against every line part,
+narrowed only by an exact bounding-box condition); the distance of a line and a
+rectangle, with or without a hole, is a closed form that Spark's path doesn't use.
 
 ``oracle_sql()`` returns ``{query_name: sql}``.  Each SQL text is
 ``WITH <only the CTEs it needs> SELECT ...``.
@@ -44,7 +44,7 @@ def bbl_key(b, bl, lt):
 
 
 def bbl_from_number(x):
-    s = pad_left(digits(f"CAST(CAST({x} AS DECIMAL(38,0)) AS VARCHAR)"), 10)
+    s = pad_left(digits(f"printf('%.0f', CAST({x} AS DOUBLE))"), 10)
     return f"(CASE WHEN {x} IS NULL THEN NULL ELSE substring({s}, 1, 10) END)"
 
 
@@ -57,8 +57,7 @@ def na(c):
 
 
 def int_text(x):
-    return (f"(CASE WHEN {x} = floor({x}) AND abs({x}) < 1e15 THEN CAST(CAST({x} AS BIGINT) AS VARCHAR) "
-            f"ELSE CAST({x} AS VARCHAR) END)")
+    return f"(CASE WHEN {x} = round({x}) THEN printf('%.0f', CAST({x} AS DOUBLE)) ELSE CAST({x} AS VARCHAR) END)"
 
 
 NUM_RX = r"^(?i)[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf(inity)?)$"
@@ -122,9 +121,10 @@ CTES: list[tuple[str, str]] = [
     ("fx_overrides", fixtures.render("manual_overrides")),
     ("cs", f"SELECT * FROM fx_segments WHERE {DRIVABLE} AND {EXCL}"),
     # spatial forms: lines with a usable part (two distinct vertices), rectangle parcels
-    ("ln", "SELECT segment_id, physical_id, CAST(x1 AS DOUBLE) AS x1, CAST(y1 AS DOUBLE) AS y1, "
-           "CAST(x2 AS DOUBLE) AS x2, CAST(y2 AS DOUBLE) AS y2, least(x1, x2) AS minx, greatest(x1, x2) AS maxx, "
-           "least(y1, y2) AS miny, greatest(y1, y2) AS maxy FROM cs WHERE NOT (x1 = x2 AND y1 = y2)"),
+    ("ln", "SELECT DISTINCT *, least(x1, x2) AS minx, greatest(x1, x2) AS maxx, least(y1, y2) AS miny, greatest(y1, y2) AS maxy FROM ("
+           "SELECT segment_id, physical_id, CAST(x1 AS DOUBLE) AS x1, CAST(y1 AS DOUBLE) AS y1, CAST(x2 AS DOUBLE) AS x2, "
+           "CAST(y2 AS DOUBLE) AS y2 FROM cs UNION ALL SELECT segment_id, physical_id, CAST(x3 AS DOUBLE), CAST(y3 AS DOUBLE), "
+           "CAST(x4 AS DOUBLE), CAST(y4 AS DOUBLE) FROM cs WHERE x3 IS NOT NULL) WHERE NOT (x1 = x2 AND y1 = y2)"),
     ("pk", f"SELECT *, {bbl_key('boro_code', 'block', 'lot')} AS bbl_chr, {bbl_from_number('appbbl')} AS appbbl_chr, "
            "CAST(xmin AS DOUBLE) AS pxmin, CAST(ymin AS DOUBLE) AS pymin, CAST(xmax AS DOUBLE) AS pxmax, "
            "CAST(ymax AS DOUBLE) AS pymax FROM fx_parcels"),
@@ -196,25 +196,25 @@ CTES: list[tuple[str, str]] = [
            "(addr_high - addr_low > 500 AND addr_low IS NOT NULL) OR (addr_high - addr_low = 0 AND addr_low IS NOT NULL) "
            "OR addr_low IS NULL) n LEFT JOIN pb b ON n.physical_id IS NOT DISTINCT FROM b.physical_id"),
     ("xw", f"SELECT DISTINCT {XWALK} FROM cs"),
-    ("bis_v", "SELECT physical_id, a, v, min(k) AS f FROM ("
-              f"SELECT physical_id, 0 AS a, {na('segment_id')} AS v, segment_id AS k FROM xw UNION ALL "
-              f"SELECT physical_id, 1, {na('generic_id')}, segment_id FROM xw UNION ALL "
-              f"SELECT physical_id, 2, {na('fdnyid')}, segment_id FROM xw UNION ALL "
-              f"SELECT physical_id, 3, {na('l_block_face_id')}, segment_id FROM xw UNION ALL "
-              f"SELECT physical_id, 3, {na('r_block_face_id')}, 1000000000000000 + segment_id FROM xw UNION ALL "
-              f"SELECT physical_id, 4, {na('lct2020')}, segment_id FROM xw UNION ALL "
-              f"SELECT physical_id, 4, {na('rct2020')}, 1000000000000000 + segment_id FROM xw UNION ALL "
-              f"SELECT physical_id, 5, {na('lcb2020')}, segment_id FROM xw UNION ALL "
-              f"SELECT physical_id, 5, {na('rcb2020')}, 1000000000000000 + segment_id FROM xw"
+    ("bis_v", "SELECT physical_id, a, v, min({'side': side, 'k': k}) AS f FROM ("
+              f"SELECT physical_id, 0 AS a, {na('segment_id')} AS v, 0 AS side, segment_id AS k FROM xw UNION ALL "
+              f"SELECT physical_id, 1, {na('generic_id')}, 0, segment_id FROM xw UNION ALL "
+              f"SELECT physical_id, 2, {na('fdnyid')}, 0, segment_id FROM xw UNION ALL "
+              f"SELECT physical_id, 3, {na('l_block_face_id')}, 0, segment_id FROM xw UNION ALL "
+              f"SELECT physical_id, 3, {na('r_block_face_id')}, 1, segment_id FROM xw UNION ALL "
+              f"SELECT physical_id, 4, {na('lct2020')}, 0, segment_id FROM xw UNION ALL "
+              f"SELECT physical_id, 4, {na('rct2020')}, 1, segment_id FROM xw UNION ALL "
+              f"SELECT physical_id, 5, {na('lcb2020')}, 0, segment_id FROM xw UNION ALL "
+              f"SELECT physical_id, 5, {na('rcb2020')}, 1, segment_id FROM xw"
               ") GROUP BY physical_id, a, v"),
     ("bis", "SELECT physical_id, "
-            "string_agg(v, ';' ORDER BY f, v) FILTER (WHERE a = 0) AS segment_ids, "
+            "string_agg(v, ';' ORDER BY f.side, f.k, v) FILTER (WHERE a = 0) AS segment_ids, "
             "CAST(count(*) FILTER (WHERE a = 0) AS BIGINT) AS n_segments, "
-            "string_agg(v, ';' ORDER BY f, v) FILTER (WHERE a = 1) AS generic_ids, "
-            "string_agg(v, ';' ORDER BY f, v) FILTER (WHERE a = 2) AS fdny_ids, "
-            "string_agg(v, ';' ORDER BY f, v) FILTER (WHERE a = 3) AS block_face_ids, "
-            "string_agg(v, ';' ORDER BY f, v) FILTER (WHERE a = 4) AS census_tracts_2020, "
-            "string_agg(v, ';' ORDER BY f, v) FILTER (WHERE a = 5) AS census_blocks_2020 FROM bis_v GROUP BY physical_id"),
+            "string_agg(v, ';' ORDER BY f.side, f.k, v) FILTER (WHERE a = 1) AS generic_ids, "
+            "string_agg(v, ';' ORDER BY f.side, f.k, v) FILTER (WHERE a = 2) AS fdny_ids, "
+            "string_agg(v, ';' ORDER BY f.side, f.k, v) FILTER (WHERE a = 3) AS block_face_ids, "
+            "string_agg(v, ';' ORDER BY f.side, f.k, v) FILTER (WHERE a = 4) AS census_tracts_2020, "
+            "string_agg(v, ';' ORDER BY f.side, f.k, v) FILTER (WHERE a = 5) AS census_blocks_2020 FROM bis_v GROUP BY physical_id"),
     ("mb", "SELECT b.physical_id, b.n_segments, b.total_length_ft, b.boro, b.cd, b.ct2020, n.block_name, "
            "n.primary_street, n.addr_low, n.addr_high, n.name_source, s.census_tracts_2020, s.census_blocks_2020 "
            "FROM pb b LEFT JOIN nm n ON b.physical_id IS NOT DISTINCT FROM n.physical_id "
@@ -241,17 +241,50 @@ CTES: list[tuple[str, str]] = [
 ]
 
 
+def _seg_meets_rect(x0, y0, x1, y1):
+    """Whether line l meets the closed rectangle, by the range of its parameter inside each strip."""
+    def strip(a, d, lo, hi):
+        t = (f"(({lo} - {a}) / nullif({d}, 0))", f"(({hi} - {a}) / nullif({d}, 0))")
+        return (f"(CASE WHEN {d} = 0 THEN CASE WHEN {a} BETWEEN {lo} AND {hi} THEN 0 ELSE 2 END ELSE least({t[0]}, {t[1]}) END)",
+                f"(CASE WHEN {d} = 0 THEN 1 ELSE greatest({t[0]}, {t[1]}) END)")
+    (xa, xb), (ya, yb) = strip("l.x1", "(l.x2 - l.x1)", x0, x1), strip("l.y1", "(l.y2 - l.y1)", y0, y1)
+    return f"greatest(0, {xa}, {ya}) <= least(1, {xb}, {yb})"
+
+
+def _rect_dist():
+    """Closed-form distance of line l and rectangle p, which may have a rectangular hole."""
+    def end(x, y):  # end point to rectangle
+        return f"sqrt(pow(greatest(p.pxmin - {x}, 0, {x} - p.pxmax), 2) + pow(greatest(p.pymin - {y}, 0, {y} - p.pymax), 2))"
+
+    def corner(x, y):  # corner to line: by its foot's parameter, kept in [0, 1]
+        dx, dy = "(l.x2 - l.x1)", "(l.y2 - l.y1)"
+        t = f"greatest(0, least(1, (({x} - l.x1) * {dx} + ({y} - l.y1) * {dy}) / ({dx} * {dx} + {dy} * {dy})))"
+        return f"sqrt(pow({x} - l.x1 - {t} * {dx}, 2) + pow({y} - l.y1 - {t} * {dy}, 2))"
+
+    def in_hole(x, y):
+        return f"({x} > p.hx0 AND {x} < p.hx1 AND {y} > p.hy0 AND {y} < p.hy1)"
+
+    ends = [("l.x1", "l.y1"), ("l.x2", "l.y2")]
+    apart = ", ".join([end(*e) for e in ends] + [corner(x, y) for x in ("p.pxmin", "p.pxmax") for y in ("p.pymin", "p.pymax")])
+    hole = ", ".join(f"{x} - p.hx0, p.hx1 - {x}, {y} - p.hy0, p.hy1 - {y}" for x, y in ends)
+    return (f"CASE WHEN p.hx0 IS NOT NULL AND {in_hole(*ends[0])} AND {in_hole(*ends[1])} THEN least({hole}) "
+            f"WHEN {_seg_meets_rect('p.pxmin', 'p.pymin', 'p.pxmax', 'p.pymax')} THEN 0.0 ELSE least({apart}) END")
+
+
+POLY = "bbl_chr, pxmin, pymin, pxmax, pymax, hx0, hy0, hx1, hy1"
+
+
 def _pairs_within(parcels: str, radius: float) -> str:
-    d = geosql.rect_line_dist("p.pxmin", "p.pymin", "p.pxmax", "p.pymax", "l.x1", "l.y1", "l.x2", "l.y2")
+    """The nearest part of each line key, by distinct parcel row."""
     r = float(radius)
-    return (f"SELECT p.bbl_chr, p.pxmin, p.pymin, p.pxmax, p.pymax, l.segment_id, l.physical_id, {d} AS dist_ft "
-            f"FROM {parcels} p JOIN ln l ON l.maxx >= p.pxmin - {r} AND l.minx <= p.pxmax + {r} "
-            f"AND l.maxy >= p.pymin - {r} AND l.miny <= p.pymax + {r}")
+    return (f"SELECT {POLY}, segment_id, physical_id, min(dist_ft) AS dist_ft FROM (SELECT p.*, l.segment_id, l.physical_id, {_rect_dist()} AS dist_ft "
+            f"FROM (SELECT DISTINCT {POLY} FROM {parcels}) p JOIN ln l ON l.maxx >= p.pxmin - {r} AND l.minx <= p.pxmax + {r} "
+            f"AND l.maxy >= p.pymin - {r} AND l.miny <= p.pymax + {r}) GROUP BY ALL")
 
 
 def _nearest(pairs: str) -> str:
     return ("SELECT bbl_chr, segment_id, physical_id, min(dist_ft) AS dist_ft FROM (SELECT *, row_number() OVER "
-            "(PARTITION BY bbl_chr, pxmin, pymin, pxmax, pymax ORDER BY dist_ft, segment_id, physical_id) AS rn "
+            f"(PARTITION BY {POLY} ORDER BY dist_ft, segment_id, physical_id) AS rn "
             f"FROM {pairs}) WHERE rn = 1 GROUP BY bbl_chr, segment_id, physical_id")
 
 
@@ -287,14 +320,17 @@ CTES += [
 
 
 def _vertices(src: str, template: str, cols) -> str:
-    """Flat vertex rows of a reprojected 2-vertex line layer (oracle of map layers)."""
+    """Flat vertex rows of a reprojected layer of lines of one or two parts (oracle of map layers)."""
     lab = label(template, cols)
     rows = []
-    for i, (x, y) in enumerate((("x1", "y1"), ("x2", "y2"))):
-        xs, ys = f"CAST({x} AS DOUBLE)", f"CAST({y} AS DOUBLE)"
-        lon, t, phi0 = geosql.lcc_inverse_parts(xs, ys)
-        rows.append(f"SELECT segment_id, {lab} AS label_text, CAST(0 AS BIGINT) AS part_no, CAST({i} AS BIGINT) "
-                    f"AS vertex_no, {lon} AS lon, {t} AS t, {phi0} AS ph0 FROM {src} WHERE NOT (x1 = x2 AND y1 = y2)")
+    first = "NOT (x1 = x2 AND y1 = y2)"
+    parts = ((("x1", "y1"), ("x2", "y2")), "0", first), ((("x3", "y3"), ("x4", "y4")), f"CASE WHEN {first} THEN 1 ELSE 0 END", "x3 IS NOT NULL")
+    for ends, part, usable in parts:
+        for i, (x, y) in enumerate(ends):
+            xs, ys = f"CAST({x} AS DOUBLE)", f"CAST({y} AS DOUBLE)"
+            lon, t, phi0 = geosql.lcc_inverse_parts(xs, ys)
+            rows.append(f"SELECT segment_id, {lab} AS label_text, CAST({part} AS BIGINT) AS part_no, CAST({i} AS BIGINT) "
+                        f"AS vertex_no, {lon} AS lon, {t} AS t, {phi0} AS ph0 FROM {src} WHERE {usable}")
     layers = "SELECT * FROM (" + " UNION ALL ".join(rows) + ")"
     # unrolled latitude iteration, one layer per step
     prev = "ph0"
