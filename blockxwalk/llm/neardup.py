@@ -14,20 +14,20 @@ estimate, then the exact Jaccard similarity of the shingle sets: ``SIMILARITY``
 more is a link.  Classes are the connected components of the links.
 
 Only a bucket of ``SMALL`` nodes at most is compared pair by pair, and of these
-only nodes of different components.  In larger ones every node u is compared
-with one reference b: of all its buckets' nodes the one with most neighbours (the
-original of many copies, as a rule), and the reference that prevails in its
-bucket.  From |u|, |u & b| and the same of v follows which pairs u, v of that
-reference can still be links:
+only nodes of different components.  The nodes of larger ones are grouped by the
+node with most neighbours that they meet.  A group's reference R is the set of
+the shingles that most of a sample of its nodes have (any set would be right); all
+its nodes are compared with R, and with the node that is most like R.  From |u|,
+|u & R| and the same of v follows which pairs u, v of the group can still be links:
 
-* if they share no shingle outside b, they share min(|u & b|, |v & b|) at most;
+* if they share no shingle outside R, they share min(|u & R|, |v & R|) at most;
   the few pairs for which that is enough are joined by their sizes;
-* else they share shingles outside b, and so many that one is among the first
-  |u - b| - (0.8 |u| - |u & b|) + 1 of each (prefix filter): those shingles make
+* else they share shingles outside R, and so many that one is among the first
+  |u - R| - (0.8 |u| - |u & R|) + 1 of each (prefix filter): those shingles make
   the buckets of the next round, for nodes of different components alone.
 
-Rounds end when no bucket holds several components.  From round ``DEPTH`` on a
-large bucket gets one reference after the other.  Nothing is capped or sampled.
+Rounds end when no bucket holds several components.  From round ``DEPTH`` on all
+nodes of a large bucket are compared with one after the other.  Nothing is capped or sampled.
 
 Defined results: null text reads as empty; texts without words are copies if
 they are equal; repeated rows are copies; a class's id is its least document id
@@ -52,6 +52,8 @@ REGISTERS = BANDS * ROWS
 #: Agreeing registers that a candidate needs; a pair of similarity 0.8 agrees in 64 of 80, fewer than 44 are 5.6 deviations off.
 LEAST_AGREEING = 44
 SMALL, DEPTH = 32, 8
+#: Nodes of a group that its reference is made of, about.
+REFERENCE_NODES = 48
 #: A key with more than this part of a table's rows (and these rows) is joined by broadcast: there are fewer than 1 / HOT such keys.
 HOT, HOT_ROWS = 1 / 500, 2000
 #: Ids up to so many are broadcast (16 bytes each); more are joined by a shuffle.
@@ -200,26 +202,24 @@ def _estimated(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return rows.select("a", "b", "sa", "sb").mapInArrow(run, "a binary, b binary")
 
 
-def _overlaps(pairs: DataFrame, sets: DataFrame, prefix: bool) -> DataFrame:
-    """(a, b, both, na, nb, added): shared and own shingles of the pairs (written, distinct).
+def _overlaps(pairs: DataFrame, sets: DataFrame, others: DataFrame, prefix: bool) -> DataFrame:
+    """(a, b, both, na, nb, added): shared and own shingles of the pairs (written, distinct), a in sets, b in others.
 
     added (if ``prefix``): of a's shingles outside b, as many as a partner's of the
-    same b must meet.  A node with many partners has its set sent once for each
-    256 of them, to as many tasks.
+    same b must meet.  A set with many partners is sent once for each 256 of
+    them, to as many tasks.
     """
-    degree = pairs.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n"))
-    degree = materialize(degree.withColumn("parts", F.ceil(F.col("n") / 256).cast("int")), "degrees")
-    many = degree.where("parts > 1").select("node", "parts")  # fewer than 1 / 128 of the pairs
     rows = pairs
-    for x in "ab":
-        if many.isEmpty():
-            rows = rows.withColumn(f"p{x}", F.lit(1))
-        else:
-            rows = attach(rows, degree.select(F.col("node").alias(x), F.col("parts").alias(f"p{x}"), "n"), x, "n")
-    rows = rows.select("a", "b", F.pmod(F.xxhash64("b"), F.col("pa")).cast("int").alias("ka"), F.pmod(F.xxhash64("a"), F.col("pb")).cast("int").alias("kb"))
-    dealt = sets.join(degree.select("node", "parts"), "node").select("node", "set", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("k"))
-    rows = rows.join(dealt.select(F.col("node").alias("a"), F.col("k").alias("ka"), F.col("set").alias("sa")), ["a", "ka"])
-    rows = rows.join(dealt.select(F.col("node").alias("b"), F.col("k").alias("kb"), F.col("set").alias("sb")), ["b", "kb"])
+    for x, y, table in (("a", "b", sets), ("b", "a", others)):
+        degree = rows.groupBy(x).agg(F.count("*").alias("n"))
+        degree = materialize(degree.select(x, F.ceil(F.col("n") / 256).cast("int").alias("parts"), "n"), "degrees")
+        own = table.withColumnRenamed("node", x).withColumnRenamed("set", f"s{x}")
+        if degree.where("parts > 1").isEmpty():
+            rows = rows.join(own, x)
+            continue
+        dealt = own.join(degree.select(x, "parts"), x).select(x, f"s{x}", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("k"))
+        rows = attach(rows, degree, x, "n").withColumn("k", F.pmod(F.xxhash64(y), F.col("parts")).cast("int")).drop("parts")
+        rows = rows.join(dealt, [x, "k"]).drop("k")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -315,31 +315,49 @@ def _small_pairs(rows: DataFrame) -> DataFrame:
     return others.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
 
 
-def _references(large: DataFrame) -> DataFrame:
-    """(a, b): the nodes of the large buckets, each with its buckets' references."""
+def _groups(large: DataFrame) -> DataFrame:
+    """(a, b): the nodes of the large buckets, each with the node b that names its buckets' groups."""
     degree = materialize(large.groupBy("node").agg(F.sum("size").alias("degree")), "degree")
     large = large.join(degree, "node")
     top = materialize(large.groupBy("key").agg(F.first("size").alias("n"), F.max(F.struct("degree", "node")).alias("top")), "tops")
     own = attach(large.select("key", "node"), top, "key", "n").groupBy("node").agg(F.max("top").alias("ref"))
-    own = materialize(own, "own-references")
     main = large.select("key", "node", "size").join(own, "node").groupBy("key", "ref").agg(F.count("*").alias("m"), F.first("size").alias("n"))
     main = main.groupBy("key").agg(F.first("n").alias("n"), F.max(F.struct("m", "ref")).alias("main"))
-    main = materialize(main.select("key", "n", F.col("main.ref.node").alias("b")), "references")
-    return attach(large.select("key", F.col("node").alias("a")), main, "key", "n").where("a != b").select("a", "b").distinct()
+    main = materialize(main.select("key", "n", F.col("main.ref.node").alias("b")), "group-names")
+    return attach(large.select("key", F.col("node").alias("a")), main, "key", "n").select("a", "b").distinct()
 
 
-def _by_size(star: DataFrame) -> DataFrame:
-    """Pairs that can be links though they share nothing outside their reference.
+def _references(groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """(node, set): by group b the shingles that most of a sample of its nodes have."""
+    size = materialize(groups.groupBy("b").agg(F.count("*").alias("n"), F.ceil(F.count("*") / REFERENCE_NODES).cast("int").alias("every"), F.min(F.xxhash64("a", F.lit(9))).alias("first")), "group-sizes")
+    taken = attach(groups, size, "b", "n")
+    h = F.xxhash64("a", F.lit(9))
+    taken = taken.where((F.pmod(h, F.col("every")) == 0) | (h == F.col("first"))).select("b", F.col("a").alias("node")).join(sets, "node")
 
-    That needs 1.8 min(both) >= 0.8 (|u| + |v|).  If u is no link of b, v is
-    smaller than b, in a range of sizes that u gives.
+    def most(b: pa.Table) -> pa.Table:
+        members = [np.frombuffer(x.as_buffer(), np.uint32) for x in b.column("set").combine_chunks()]
+        found, n = np.unique(np.concatenate(members), return_counts=True)
+        return pa.table({"node": b.column("b").slice(0, 1), "set": pa.array([found[2 * n > len(members)].tobytes()], pa.binary())})
+
+    return taken.select("b", "set").groupBy("b").applyInArrow(most, "node binary, set binary")
+
+
+def _by_size(star: DataFrame, comps: DataFrame | None) -> DataFrame:
+    """Pairs of different components that can be links though they share nothing outside their group's reference.
+
+    That needs 1.8 min(both) >= 0.8 (|u| + |v|), which u turns into a range of
+    sizes of v.  Nodes in the largest component of a group meet the others only.
     """
     k = (1 + SIMILARITY) / SIMILARITY
-    far = star.where(F.col("both") < SIMILARITY * (F.col("na") + F.col("nb") - F.col("both")))
-    least, most = F.ceil(SIMILARITY * F.col("na") - 1e-9).cast("int"), F.floor(k * F.col("both") - F.col("na") + 1e-9).cast("int")
-    u = far.where(least <= most).select("b", F.col("a").alias("u"), F.col("na").alias("nu"), F.explode(F.sequence(least, most)).alias("nv"))
-    v = star.select("b", F.col("a").alias("v"), F.col("na").alias("nv"), F.col("both").alias("both_v")).where(k * F.col("both_v") >= F.col("nv") * (1 + SIMILARITY) - 1e-9)
-    found = u.join(v, ["b", "nv"]).where((F.col("u") != F.col("v")) & (k * F.col("both_v") >= F.col("nu") + F.col("nv") - 1e-9))
+    rows = _with_components(star.withColumnRenamed("a", "node"), comps)
+    sizes = materialize(rows.groupBy("b", "comp").agg(F.count("*").alias("m")).groupBy("b").agg(F.sum("m").alias("n"), F.max(F.struct("m", "comp")).alias("main")), "group-components")
+    rows = attach(rows, sizes.select("b", "n", F.col("main.comp").alias("main")), "b", "n")
+    rows = materialize(rows.where(k * F.col("both") >= (1 + SIMILARITY) * F.col("na") - 1e-9).select("b", "node", "na", "both", "comp", (F.col("comp") == F.col("main")).alias("inside")), "near-reference")
+    least = F.ceil(SIMILARITY * F.col("na") - 1e-9).cast("int")
+    most = F.floor(F.least(F.col("na") / SIMILARITY, k * F.col("both") - F.col("na")) + 1e-9).cast("int")
+    u = rows.where(~F.col("inside") & (least <= most)).select("b", F.col("node").alias("u"), F.col("comp").alias("cu"), F.col("na").alias("nu"), F.explode(F.sequence(least, most)).alias("nv"))
+    v = rows.select("b", F.col("node").alias("v"), F.col("comp").alias("cv"), F.col("na").alias("nv"), F.col("both").alias("both_v"))
+    found = u.join(v, ["b", "nv"]).where((F.col("cu") != F.col("cv")) & (k * F.col("both_v") >= F.col("nu") + F.col("nv") - 1e-9))
     return found.select(F.col("u").alias("a"), F.col("v").alias("b"))
 
 
@@ -360,7 +378,7 @@ def link(nodes: DataFrame, sets_of) -> tuple[DataFrame | None, DataFrame | None]
     def compared(pairs: DataFrame) -> DataFrame:
         """The links among pairs, which the signatures' estimate goes through first."""
         pairs = materialize(_cut(pairs), "pairs")
-        return _links(_overlaps(materialize(_estimated(pairs, nodes), "candidates"), sets, False))
+        return _links(_overlaps(materialize(_estimated(pairs, nodes), "candidates"), sets, sets, False))
 
     while True:
         depth += 1
@@ -372,27 +390,25 @@ def link(nodes: DataFrame, sets_of) -> tuple[DataFrame | None, DataFrame | None]
         if large.isEmpty():
             extend(found)
             return (None, None) if comps is None else (links, comps)
-        if depth < DEPTH:
-            star = materialize(_references(large), "star-pairs")
-        else:  # one reference after the other, until the bucket is settled
-            pivot = large.groupBy("key").agg(F.first("size").alias("n"), F.min("node").alias("b"))
-            pivot = materialize(pivot, "pivots")
-            buckets = materialize(attach(large, pivot, "key", "n").select("key", "node", "b"), "pivot-rows")
-            star = materialize(buckets.where("node != b").select(F.col("node").alias("a"), "b").distinct(), "star-pairs")
-        star = materialize(_overlaps(star, sets, depth < DEPTH), "star")
-        extend(found.unionByName(_links(star)))
-        if depth < DEPTH:
-            extend(compared(_apart(_by_size(star), comps)))
-            buckets = materialize(_shared(star.select(F.col("a").alias("node"), F.explode("added").alias("s"), "b").select("node", F.xxhash64("b", "s").alias("key"))), "buckets")
-        else:
-            buckets = buckets.where("node != b").select("key", "node")
-
-
-def _apart(pairs: DataFrame, comps: DataFrame | None) -> DataFrame:
-    """The pairs of nodes of different components."""
-    for x in "ab":
-        pairs = _with_components(pairs.withColumnRenamed(x, "node"), comps).withColumnRenamed("node", x).withColumnRenamed("comp", f"c{x}")
-    return pairs.where("ca != cb").select("a", "b")
+        if depth >= DEPTH:  # one node after the other, until the bucket is settled
+            pivot = materialize(large.groupBy("key").agg(F.first("size").alias("n"), F.min("node").alias("b")), "pivots")
+            left = materialize(attach(large, pivot, "key", "n").select("key", "node", "b"), "pivot-rows").where("node != b")
+            star = materialize(left.select(F.col("node").alias("a"), "b").distinct(), "star-pairs")
+            extend(found.unionByName(_links(_overlaps(star, sets, sets, False))))
+            buckets = left.select("key", "node")
+            continue
+        groups = materialize(_groups(large), "groups")
+        references = materialize(_references(groups, sets), "references")
+        star = materialize(_overlaps(groups, sets, references, True), "star")
+        like = F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))
+        centre = materialize(star.groupBy("b").agg(F.count("*").alias("n"), F.max(F.struct(like.alias("j"), "a")).alias("c")), "centres")
+        pairs = attach(star.select("a", "b"), centre.select("b", "n", F.col("c.a").alias("centre")), "b", "n")
+        pairs = materialize(pairs.select("a", F.col("centre").alias("b")).where("a != b").distinct(), "centre-pairs")
+        extend(found.unionByName(_links(_overlaps(pairs, sets, sets, False))))
+        near = materialize(compared(_by_size(star, comps)), "near-links")
+        if not near.isEmpty():
+            extend(near)
+        buckets = materialize(_shared(star.select(F.col("a").alias("node"), F.explode("added").alias("s"), "b").select("node", F.xxhash64("b", "s").alias("key"))), "buckets")
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame | None]:
