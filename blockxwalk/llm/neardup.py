@@ -51,7 +51,7 @@ BANDS, ROWS = 20, 4
 REGISTERS = BANDS * ROWS
 #: Agreeing registers that a candidate needs; a pair of similarity 0.8 agrees in 64 of 80, fewer than 44 are 5.6 deviations off.
 LEAST_AGREEING = 44
-SMALL, DEPTH = 32, 8
+SMALL, DEPTH = 96, 8
 #: Nodes of a group that its reference is made of, about.
 REFERENCE_NODES = 48
 #: A key with more than this part of a table's rows (and these rows) is joined by broadcast: there are fewer than 1 / HOT such keys.
@@ -211,12 +211,12 @@ def _overlaps(pairs: DataFrame, sets: DataFrame, others: DataFrame, prefix: bool
     """
     rows = pairs
     for x, y, table in (("a", "b", sets), ("b", "a", others)):
-        degree = rows.groupBy(x).agg(F.count("*").alias("n"))
-        degree = materialize(degree.select(x, F.ceil(F.col("n") / 256).cast("int").alias("parts"), "n"), "degrees")
+        degree = pairs.groupBy(x).agg(F.count("*").alias("n"))
         own = table.withColumnRenamed("node", x).withColumnRenamed("set", f"s{x}")
-        if degree.where("parts > 1").isEmpty():
+        if (degree.agg(F.max("n")).first()[0] or 0) <= 256:
             rows = rows.join(own, x)
             continue
+        degree = materialize(degree.select(x, F.ceil(F.col("n") / 256).cast("int").alias("parts"), "n"), "degrees")
         dealt = own.join(degree.select(x, "parts"), x).select(x, f"s{x}", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("k"))
         rows = attach(rows, degree, x, "n").withColumn("k", F.pmod(F.xxhash64(y), F.col("parts")).cast("int")).drop("parts")
         rows = rows.join(dealt, [x, "k"]).drop("k")
@@ -268,22 +268,23 @@ def components(links: DataFrame) -> DataFrame:
     """(node, comp) of all nodes of the links (a, b): the least node of each connected component.
 
     Every round a node takes the least label among its own and its neighbours',
-    then its label's label; it ends when no label has changed.
+    then, from the third round on, its label's label; it ends when no label has changed.
     """
     edges = materialize(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
     labels = materialize(edges.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("comp"), F.count("*").alias("n")).withColumnRenamed("a", "node"), "labels")
+    turn = 0
     while True:
+        turn += 1
         seen = attach(edges, labels.select(F.col("node").alias("b"), "comp", "n"), "b", "n")
         least = seen.groupBy("a").agg(F.min("comp").alias("near")).withColumnRenamed("a", "node")
         new = labels.join(least, "node").select("node", F.least("comp", "near").alias("comp"), "n", F.col("comp").alias("old"))
         new = materialize(new, "labels")
-        # pointer jump: the label of the label
-        sizes = new.groupBy("comp").agg(F.count("*").alias("m"))
-        jump = new.select(F.col("node").alias("comp"), F.col("comp").alias("to")).join(sizes, "comp")
-        after = attach(new, jump, "comp", "m").select("node", F.least("comp", "to").alias("comp"), "n", "old")
-        after = materialize(after, "labels")
-        labels = after.drop("old")
-        if after.where("comp != old").isEmpty():
+        if turn > 2:  # long chains: the label of the label
+            sizes = new.groupBy("comp").agg(F.count("*").alias("m"))
+            jump = new.select(F.col("node").alias("comp"), F.col("comp").alias("to")).join(sizes, "comp")
+            new = materialize(attach(new, jump, "comp", "m").select("node", F.least("comp", "to").alias("comp"), "n", "old"), "labels")
+        labels = new.drop("old")
+        if new.where("comp != old").isEmpty():
             return labels.select("node", "comp")
 
 
@@ -372,8 +373,11 @@ def link(nodes: DataFrame, sets_of) -> tuple[DataFrame | None, DataFrame | None]
 
     def extend(new: DataFrame) -> None:
         nonlocal links, comps
-        links = materialize(new if links is None else links.unionByName(new), "links")
-        comps = None if links.isEmpty() else materialize(components(links), "components")
+        new = materialize(new, "links")
+        if new.isEmpty():
+            return
+        links = new if links is None else links.unionByName(new)
+        comps = components(links)
 
     def compared(pairs: DataFrame) -> DataFrame:
         """The links among pairs, which the signatures' estimate goes through first."""
@@ -389,7 +393,7 @@ def link(nodes: DataFrame, sets_of) -> tuple[DataFrame | None, DataFrame | None]
         large = rows.where(F.col("size") > SMALL)
         if large.isEmpty():
             extend(found)
-            return (None, None) if comps is None else (links, comps)
+            return links, comps
         if depth >= DEPTH:  # one node after the other, until the bucket is settled
             pivot = materialize(large.groupBy("key").agg(F.first("size").alias("n"), F.min("node").alias("b")), "pivots")
             left = materialize(attach(large, pivot, "key", "n").select("key", "node", "b"), "pivot-rows").where("node != b")
@@ -405,9 +409,7 @@ def link(nodes: DataFrame, sets_of) -> tuple[DataFrame | None, DataFrame | None]
         pairs = attach(star.select("a", "b"), centre.select("b", "n", F.col("c.a").alias("centre")), "b", "n")
         pairs = materialize(pairs.select("a", F.col("centre").alias("b")).where("a != b").distinct(), "centre-pairs")
         extend(found.unionByName(_links(_overlaps(pairs, sets, sets, False))))
-        near = materialize(compared(_by_size(star, comps)), "near-links")
-        if not near.isEmpty():
-            extend(near)
+        extend(compared(_by_size(star, comps)))
         buckets = materialize(_shared(star.select(F.col("a").alias("node"), F.explode("added").alias("s"), "b").select("node", F.xxhash64("b", "s").alias("key"))), "buckets")
 
 
