@@ -44,13 +44,6 @@ def count_if0(cond: Column) -> Column:
     return F.coalesce(F.sum(F.when(cond, 1).otherwise(0)), F.lit(0)).cast("bigint")
 
 
-def range_by(df: DataFrame, keys: Sequence[str], value_lo: str, value_hi: str,
-             lo: str = "lo", hi: str = "hi", span: str = "span") -> DataFrame:
-    """min / max per group and their difference."""
-    out = df.groupBy(*keys).agg(F.min(value_lo).alias(lo), F.max(value_hi).alias(hi))
-    return out.withColumn(span, F.col(hi) - F.col(lo))
-
-
 def _asc_nulls_last(c: Column) -> list[Column]:
     # struct ordering puts NULL first; a leading is-null flag moves it last
     return [c.isNull(), c]
@@ -95,6 +88,26 @@ def _attr_is(idx: int):
     return lambda s: s["_a"] == F.lit(idx)
 
 
+def first_appearances(df: DataFrame, key: str, lists: dict[str, Sequence[str]], order: str, names: bool = True) -> DataFrame:
+    """(key, list or its number ``_a``, value, place): the distinct values of each list of columns by key.
+
+    ``place`` orders them: all values of the first column come before those of
+    the second, and values of one column by the least ``order`` of their rows.
+    One scan and one hash aggregate: a minimum for either side, no struct.
+    """
+    rows = [F.struct(F.lit(a).alias("_a"), na_text(c).alias("value"), F.lit(side).alias("_s"))
+            for a, cols_ in enumerate(lists.values()) for side, c in enumerate(cols_)]
+    sides = max(len(c) for c in lists.values())
+    stacked = df.select(key, F.col(order).alias("_ord"), F.inline(F.array(*rows)))
+    by_side = [F.min(F.when(F.col("_s") == i, F.col("_ord"))).alias(f"_o{i}") for i in range(sides)]
+    first = stacked.groupBy(key, "_a", "value").agg(F.min("_s").alias("_s"), *by_side)
+    place = F.struct(F.col("_s").alias("side"), F.coalesce(*[F.when(F.col("_s") == i, F.col(f"_o{i}")) for i in range(sides)]).alias("ord"))
+    out = first.select(key, "_a", "value", place.alias("place"))
+    if not names:
+        return out
+    return out.withColumn("list", F.element_at(F.array(*[F.lit(n) for n in lists]), F.col("_a") + 1)).select(key, "list", "value", "place")
+
+
 def concat_distinct_many(df: DataFrame, key: str, specs: dict[str, tuple[Sequence[str], str]],
                          order: str, count_of: dict[str, str] | None = None) -> DataFrame:
     """Several "paste unique values" columns per group in one pass.
@@ -105,17 +118,12 @@ def concat_distinct_many(df: DataFrame, key: str, specs: dict[str, tuple[Sequenc
     second (the order of ``c(left, right)``).  NULL prints as ``NA``.
     ``count_of = {count_name: out_name}`` adds the number of distinct values.
     """
-    # one scan: every row becomes one (attribute, side, value) row per source column
-    rows = [F.struct(F.lit(a_idx).alias("_a"), na_text(c).alias("_v"),
-                     F.struct(F.lit(side).alias("side"), F.col(order).alias("ord")).alias("_o"))
-            for a_idx, (_name, (cols_, _sep)) in enumerate(specs.items()) for side, c in enumerate(cols_)]
-    stacked = df.select(key, F.inline(F.array(*rows)))
-    first = stacked.groupBy(key, "_a", "_v").agg(F.min("_o").alias("_o"))
+    first = first_appearances(df, key, {n: cols_ for n, (cols_, _sep) in specs.items()}, order, names=False)
     # one collect per key holding only distinct values, sorted by (attribute, first appearance)
-    allv = first.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_a", "_o", "_v"))).alias("_all"))
+    allv = first.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_a", "place", "value"))).alias("_all"))
     outs = []
     for a_idx, (name, (_cols, sep)) in enumerate(specs.items()):
-        arr = F.transform(F.filter("_all", _attr_is(a_idx)), lambda s: s["_v"])
+        arr = F.transform(F.filter("_all", _attr_is(a_idx)), lambda s: s["value"])
         outs.append(F.array_join(arr, sep).alias(name))
         for cnt_name, src in (count_of or {}).items():
             if src == name:

@@ -69,25 +69,15 @@ def restrict(df: DataFrame, keys: DataFrame, on: KeySpec) -> DataFrame:
     return join_keys(df, keys, on, "left_semi", True)
 
 
-def expand(left: DataFrame, right: DataFrame, on: KeySpec, out: Sequence[str]) -> DataFrame:
-    """Many-to-many inner join projected to ``out`` and de-duplicated."""
-    return inner(left, right, on).select(*out).distinct()
-
-
 def merge_overrides(df: DataFrame, overrides: DataFrame, key: str, pairs: Mapping[str, str],
                     extra: Sequence[str] = ()) -> DataFrame:
     """Left-join manual values and let them win: ``col = coalesce(manual, col)``.
 
     ``pairs = {target_col: override_col}``.  Repeated override keys multiply
-    rows, as a left join does; ``validate_unique`` checks for that.
+    rows, as a left join does.
     """
     sel = overrides.select(key, *pairs.values(), *extra)
     j = left_outer(df, sel, key)
     for target, manual in pairs.items():
         j = j.withColumn(target, F.coalesce(F.col(manual), F.col(target)))
     return j
-
-
-def validate_unique(df: DataFrame, key: str) -> DataFrame:
-    """Keys that occur more than once (empty when the key is unique)."""
-    return df.groupBy(key).count().filter(F.col("count") > 1)

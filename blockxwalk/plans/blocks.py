@@ -8,11 +8,10 @@ from pyspark.sql import functions as F
 
 from ..functions.geometry import clean_parts
 from ..functions.text import (extract_or_null, feet_to_miles, int_text, is_finite, na_text,
-                              row_max, row_min, to_double, trim_ws, truncate)
-from ..operators.aggregates import concat_distinct_many, count_by, count_if0, n_distinct_na, sum0, top1_by
-from ..operators.joins import left_outer, merge_overrides, remaining
-from ..operators.ordering import sample_n
-from ..operators.setops import bind_rows
+                              to_double, trim_ws, truncate)
+from ..operators.aggregates import concat_distinct_many, count_by, count_if0, first_appearances, n_distinct_na, sum0, top1_by
+from ..operators.joins import left_outer, merge_overrides
+from ..operators.ordering import sample_n, sort_desc
 
 KEY = "physical_id"
 
@@ -59,43 +58,45 @@ def physical_blocks(streets: DataFrame, order: str = "segment_id", with_geom: bo
     hot block over many tasks -- then rolled up once per block with
     conditional aggregates.  No joins, so a NULL block id is simply a group.
     """
-    def row(a, vs=None, vi=None):
-        return F.struct(F.lit(a).alias("a"),
-                        (F.col(vs) if vs else F.lit(None).cast("string")).alias("vs"),
-                        (F.col(vi) if vi else F.lit(None).cast("int")).alias("vi"))
-
-    stacked = streets.select(KEY, order, "shape_length", F.inline(F.array(
-        row(0, vs="street"), row(1, vi="l_boro"), row(2, vi="l_cd"), row(3, vs="lct2020"))))
-    pairs = stacked.groupBy(KEY, "a", "vs", "vi").agg(
+    # one value slot for each attribute, of the attribute's own type
+    slots = {"street": "street", "boro": "l_boro", "cd": "l_cd", "ct2020": "lct2020"}
+
+    def row(a, own):
+        return F.struct(F.lit(a).alias("a"), *[
+            (F.col(c) if slot == own else F.lit(None).cast(streets.schema[c].dataType)).alias(f"v_{slot}") for slot, c in slots.items()])
+
+    stacked = streets.select(KEY, order, "shape_length", F.inline(F.array(*[row(a, slot) for a, slot in enumerate(slots)])))
+    pairs = stacked.groupBy(KEY, "a", *[f"v_{x}" for x in slots]).agg(
         F.count(F.lit(1)).alias("n"), F.min(order).alias("first"), F.sum("shape_length").alias("len"))
     is_a = lambda i: F.col("a") == i
 
-    def mode(i, v):
-        return F.min(F.when(is_a(i), F.struct((-F.col("n")).alias("k0"), F.col(v).isNull().alias("k1"),
-                                              F.col(v).alias("v"))))["v"]
+    def mode(i, slot):
+        return F.min(F.when(is_a(i), F.struct((-F.col("n")).alias("k0"), F.col(f"v_{slot}").isNull().alias("k1"),
+                                              F.col(f"v_{slot}").alias("v"))))["v"].alias(slot)
 
     out = pairs.groupBy(KEY).agg(
         F.sum(F.when(is_a(0), F.col("n"))).cast("bigint").alias("n_segments"),
         F.coalesce(F.sum(F.when(is_a(0), F.col("len"))), F.lit(0.0)).cast("double").alias("total_length_ft"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.when(is_a(0), F.struct("first", na_text("vs").alias("s"))))),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.when(is_a(0), F.struct("first", na_text("v_street").alias("s"))))),
                                  lambda x: x["s"]), "; ").alias("streets"),
-        mode(1, "vi").alias("boro"), mode(2, "vi").alias("cd"), mode(3, "vs").alias("ct2020"))
+        mode(1, "boro"), mode(2, "cd"), mode(3, "ct2020"))
     if with_geom:
         out = left_outer(out, dissolve(streets), KEY)
     return out
 
 
 def segment_addresses(streets: DataFrame) -> DataFrame:
-    """Lowest / highest house number per segment over the four range ends."""
-    ends = ("from_left", "to_left", "from_right", "to_right")
-    # staged: trim once per value, then parse (keeps each regex to one evaluation)
-    t = streets.select(KEY, "segment_id", "street", "shape_length",
-                       *[trim_ws(c).alias(f"_{c}") for c in ends])
-    nums = [to_double(f"_{c}", trimmed=True) for c in ends]
-    p = t.select(KEY, "segment_id", "street", "shape_length", *[n.alias(f"_n{i}") for i, n in enumerate(nums)])
-    cols = [f"_n{i}" for i in range(len(ends))]
-    return p.select(KEY, "segment_id", "street", row_min(*cols).alias("addr_min"),
-                    row_max(*cols).alias("addr_max"), "shape_length")
+    """Lowest / highest house number per segment over the four range ends.
+
+    The numbers are parsed in one lambda over the four ends, and the result goes
+    through a generator: a filter on it can't be pushed below and so parses nothing twice.
+    """
+    ends = F.array("from_left", "to_left", "from_right", "to_right")
+    parse = lambda c: F.transform(F.array(trim_ws(c)), lambda t: to_double(t, trimmed=True))[0]
+    found = F.transform(F.array(F.transform(ends, parse)), lambda n: F.struct(
+        F.array_min(n).alias("addr_min"), F.array_max(n).alias("addr_max")))
+    return streets.select(KEY, "segment_id", "street", "shape_length", F.inline(found)).select(
+        KEY, "segment_id", "street", "addr_min", "addr_max", "shape_length")
 
 
 def street_ranges(streets: DataFrame) -> DataFrame:
@@ -114,24 +115,18 @@ NAME_COLS = ("physical_id", "block_name", "primary_street", "addr_low", "addr_hi
 def names_auto(ranges: DataFrame, blocks: DataFrame) -> DataFrame:
     """Algorithmic name per block: the longest street (then widest span, then
     street name) gives "low-high STREET"; blocks without any usable address
-    get "[No addr] <first street>"."""
+    get "[No addr] <first street>".  Every range's block is one of the blocks."""
     best = top1_by(ranges, KEY, [("street_length", "desc"), ("addr_span", "desc"), ("street", "asc")],
                    cols=["street", "addr_low", "addr_high", "street_length", "addr_span"])
-    auto = best.select(
-        KEY,
-        F.concat(int_text("addr_low"), F.lit("-"), int_text("addr_high"), F.lit(" "),
-                 na_text("street")).alias("block_name"),
-        F.col("street").alias("primary_street"), "addr_low", "addr_high",
-        F.lit(SOURCE_AUTO).alias("name_source"))
-    missing = remaining(blocks.select(KEY, "streets"), auto.select(KEY), KEY)
+    j = left_outer(blocks.select(KEY, "streets"), best.withColumn("named", F.lit(True)), KEY)
+    named = F.coalesce("named", F.lit(False))
     primary = extract_or_null("streets", r"^[^;]+")
-    no_addr = missing.select(
+    return j.select(
         KEY,
-        F.concat(F.lit(NO_ADDR_PREFIX), na_text(truncate(primary, NAME_WIDTH))).alias("block_name"),
-        primary.alias("primary_street"),
-        F.lit(None).cast("double").alias("addr_low"), F.lit(None).cast("double").alias("addr_high"),
-        F.lit(SOURCE_NO_ADDR).alias("name_source"))
-    return bind_rows(auto, no_addr)
+        F.when(named, F.concat(int_text("addr_low"), F.lit("-"), int_text("addr_high"), F.lit(" "), na_text("street")))
+        .otherwise(F.concat(F.lit(NO_ADDR_PREFIX), na_text(truncate(primary, NAME_WIDTH)))).alias("block_name"),
+        F.when(named, F.col("street")).otherwise(primary).alias("primary_street"), "addr_low", "addr_high",
+        F.when(named, F.lit(SOURCE_AUTO)).otherwise(F.lit(SOURCE_NO_ADDR)).alias("name_source"))
 
 
 def names_merged(auto: DataFrame, overrides: DataFrame | None) -> DataFrame:
@@ -184,25 +179,36 @@ def review_counts(rev: DataFrame) -> DataFrame:
     return count_by(rev, "review_reason", name="n_blocks")
 
 
-def block_id_summary(xwalk: DataFrame, order: str = "segment_id") -> DataFrame:
+# Output column -> source columns (left values before right).
+ID_LISTS = {
+    "segment_ids": ["segment_id"],
+    "generic_ids": ["generic_id"],
+    "fdny_ids": ["fdnyid"],
+    "block_face_ids": ["l_block_face_id", "r_block_face_id"],
+    "census_tracts_2020": ["lct2020", "rct2020"],
+    "census_blocks_2020": ["lcb2020", "rcb2020"],
+}
+CENSUS_LISTS = ("census_tracts_2020", "census_blocks_2020")
+
+
+def block_ids(xwalk: DataFrame, lists=tuple(ID_LISTS), order: str = "segment_id") -> DataFrame:
+    """Long form (physical_id, list, value, place): the distinct ids of a block, one a row, NULL printed NA.
+
+    This is the scalable shape of the id lists (no per-block collection)."""
+    return first_appearances(xwalk, KEY, {n: ID_LISTS[n] for n in lists}, order)
+
+
+def block_id_summary(xwalk: DataFrame, order: str = "segment_id", lists=tuple(ID_LISTS)) -> DataFrame:
     """Per block: ';'-joined distinct ids in segment order (left values before right)."""
-    specs = {
-        "segment_ids": (["segment_id"], ";"),
-        "generic_ids": (["generic_id"], ";"),
-        "fdny_ids": (["fdnyid"], ";"),
-        "block_face_ids": (["l_block_face_id", "r_block_face_id"], ";"),
-        "census_tracts_2020": (["lct2020", "rct2020"], ";"),
-        "census_blocks_2020": (["lcb2020", "rcb2020"], ";"),
-    }
-    out = concat_distinct_many(xwalk, KEY, specs, order, count_of={"n_segments": "segment_ids"})
-    return out.select(KEY, "segment_ids", "n_segments", "generic_ids", "fdny_ids", "block_face_ids",
-                      "census_tracts_2020", "census_blocks_2020")
+    counts = {"n_segments": "segment_ids"} if "segment_ids" in lists else None
+    out = concat_distinct_many(xwalk, KEY, {n: (ID_LISTS[n], ";") for n in lists}, order, count_of=counts)
+    return out.select(KEY, *[c for n in lists for c in ([n, "n_segments"] if n == "segment_ids" else [n])])
 
 
 def master(blocks: DataFrame, names: DataFrame, summary: DataFrame) -> DataFrame:
     m = blocks.select(KEY, "n_segments", "total_length_ft", "boro", "cd", "ct2020")
     m = left_outer(m, names.select(*NAME_COLS), KEY)
-    return left_outer(m, summary.select(KEY, "census_tracts_2020", "census_blocks_2020"), KEY)
+    return left_outer(m, summary.select(KEY, *CENSUS_LISTS), KEY)
 
 
 def master_totals(m: DataFrame) -> DataFrame:
@@ -215,7 +221,8 @@ def master_totals(m: DataFrame) -> DataFrame:
 
 
 def master_by_boro(m: DataFrame) -> DataFrame:
-    return count_by(m, "boro", name="n_blocks")
+    """Blocks by borough, most first (ties by borough)."""
+    return sort_desc(count_by(m, "boro", name="n_blocks"), "n_blocks", "boro")
 
 
 def master_by_source(m: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.keys import with_bbl_key
 from ..functions.text import paste_na
 from ..operators.aggregates import combine_rows, count_by, count_if0, n_distinct_na, share, six_number
+from ..operators.ordering import sort_desc
 from ..operators.joins import inner, join_keys, left_outer, restrict
 
 KEY = "physical_id"
@@ -71,6 +72,17 @@ def bbl_addresses(pad: DataFrame) -> DataFrame:
     return a.select("bbl_chr", "address", "bin", "boro", "zip").distinct()
 
 
+def match_inputs(parcels_keyed: DataFrame, lookup: DataFrame) -> DataFrame:
+    """How many distinct parcel keys and segment lookup rows the matching starts from."""
+    return combine_rows(parcels_keyed.agg(n_distinct_na("bbl_chr").alias("total_bbls")),
+                        lookup.agg(F.count(F.lit(1)).cast("bigint").alias("lookup_rows")))
+
+
+def address_summary(addresses: DataFrame) -> DataFrame:
+    """Addresses in all and blocks that have any."""
+    return addresses.agg(F.count(F.lit(1)).cast("bigint").alias("total_addresses"), n_distinct_na("physical_id").alias("blocks_with_addresses"))
+
+
 def address_list(pad: DataFrame, b2p: DataFrame) -> DataFrame:
     """Every directory address with its block(s)."""
     j = inner(bbl_addresses(pad), block_bbl_pairs(b2p), "bbl_chr", null_safe=False)
@@ -140,5 +152,4 @@ def unmatched(parcels_keyed: DataFrame, final_remaining: DataFrame) -> DataFrame
 
 def unmatched_by_land_use(u: DataFrame, n: int = 10) -> DataFrame:
     """Top ``n`` land uses among unmatched parcels (ties by land use)."""
-    return (count_by(u, "land_use", name="n")
-            .orderBy(F.col("n").desc(), F.col("land_use").asc_nulls_last()).limit(n))
+    return sort_desc(count_by(u, "land_use", name="n"), "n", "land_use").limit(n)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import bbl_from_number, segid_key, with_bbl_key
-from ..operators.cascade import CascadeResult, Wave, cascade
+from ..operators.cascade import Cascade, Wave
 from ..operators.joins import inner, restrict
 from ..operators.spatial import nearest_within, within_distance
 
@@ -49,13 +49,13 @@ def segment_lookup(streets: DataFrame) -> DataFrame:
 
 
 def pad_keys(pad: DataFrame) -> DataFrame:
-    return with_bbl_key(pad, "bbl_chr", "boro", "block", "lot").select(
-        "bbl_chr", segid_key("segid").alias("segid_chr"))
+    """Distinct (bbl_chr, segid_chr) with a segment id: a directory repeats them for every address."""
+    k = with_bbl_key(pad, "bbl_chr", "boro", "block", "lot").select("bbl_chr", segid_key("segid").alias("segid_chr"))
+    return k.filter(F.col("bbl_chr").isNotNull() & F.col("segid_chr").isNotNull()).distinct()
 
 
 def wave1(pad: DataFrame, lookup: DataFrame) -> DataFrame:
-    k = pad_keys(pad).filter(F.col("bbl_chr").isNotNull() & F.col("segid_chr").isNotNull())
-    return inner(k, lookup, "segid_chr").select(*MATCH_COLS).distinct()
+    return inner(pad_keys(pad), lookup, "segid_chr", null_safe=False).select(*MATCH_COLS).distinct()
 
 
 def wave2a(rem: DataFrame, keyed: DataFrame, w1: DataFrame) -> DataFrame:
@@ -68,13 +68,13 @@ def wave2a(rem: DataFrame, keyed: DataFrame, w1: DataFrame) -> DataFrame:
 def billing_keys(bill: DataFrame) -> DataFrame:
     b = with_bbl_key(bill, "billbbl", "billboro", "billblock", "billlot")
     b = with_bbl_key(b, "lobbl", "loboro", "loblock", "lolot")
-    return b.select("billbbl", "lobbl").filter(F.col("billbbl").isNotNull() & F.col("lobbl").isNotNull())
+    return b.select("billbbl", "lobbl").filter(F.col("billbbl").isNotNull() & F.col("lobbl").isNotNull()).distinct()
 
 
 def wave2b(rem: DataFrame, bill: DataFrame, pad: DataFrame, lookup: DataFrame) -> DataFrame:
     j = inner(rem, billing_keys(bill), {"bbl_chr": "billbbl"})
-    j = inner(j, pad_keys(pad), {"lobbl": "bbl_chr"}).filter(F.col("segid_chr").isNotNull())
-    return inner(j, lookup, "segid_chr").select(*MATCH_COLS).distinct()
+    j = inner(j.select("bbl_chr", "lobbl"), pad_keys(pad), {"lobbl": "bbl_chr"}, null_safe=False)
+    return inner(j, lookup, "segid_chr", null_safe=False).select(*MATCH_COLS).distinct()
 
 
 def remaining_parcels(parcels_keyed: DataFrame, rem: DataFrame) -> DataFrame:
@@ -82,28 +82,28 @@ def remaining_parcels(parcels_keyed: DataFrame, rem: DataFrame) -> DataFrame:
 
 
 def wave3(rem: DataFrame, parcels_keyed: DataFrame, lines: DataFrame, radius: float = BUFFER_FT,
-          cell: float | None = None) -> DataFrame:
+          cell: float | None = None, salt: int = 1) -> DataFrame:
     polys = remaining_parcels(parcels_keyed, rem)
-    return within_distance(polys, lines, radius, cell).select(*MATCH_COLS).distinct()
+    return within_distance(polys, lines, radius, cell, salt=salt).select(*MATCH_COLS).distinct()
 
 
 def wave4_pairs(rem: DataFrame, parcels_keyed: DataFrame, lines: DataFrame, radius: float = NEAREST_FT,
-                cell: float | None = None) -> DataFrame:
+                cell: float | None = None, salt: int = 1) -> DataFrame:
     """Nearest line per remaining parcel row; one row per (BBL, segment, block)
     with the smallest distance among parcel rows sharing that triple."""
     polys = remaining_parcels(parcels_keyed, rem)
-    near = nearest_within(polys, lines, radius, cell)
+    near = nearest_within(polys, lines, radius, cell, salt=salt)
     return near.groupBy(*MATCH_COLS).agg(F.min("dist_ft").alias("dist_ft"))
 
 
 def wave4(rem: DataFrame, parcels_keyed: DataFrame, lines: DataFrame, radius: float = NEAREST_FT,
-          cell: float | None = None) -> DataFrame:
-    return wave4_pairs(rem, parcels_keyed, lines, radius, cell).select(*MATCH_COLS)
+          cell: float | None = None, salt: int = 1) -> DataFrame:
+    return wave4_pairs(rem, parcels_keyed, lines, radius, cell, salt).select(*MATCH_COLS)
 
 
 def run_cascade(parcels_keyed: DataFrame, pad: DataFrame, bill: DataFrame | None, lookup: DataFrame,
                 lines: DataFrame, *, buffer_ft: float = BUFFER_FT, nearest_ft: float = NEAREST_FT,
-                cell: float | None = None, materialize: bool = True) -> CascadeResult:
+                cell: float | None = None, materialize: bool = True, salt: int = 1) -> Cascade:
     waves = [
         Wave(W1, lambda rem, done: wave1(pad, lookup)),
         Wave(W2A, lambda rem, done: wave2a(rem, parcels_keyed, done[W1])),
@@ -111,7 +111,7 @@ def run_cascade(parcels_keyed: DataFrame, pad: DataFrame, bill: DataFrame | None
     if bill is not None:  # optional input: the billing wave is skipped without it
         waves.append(Wave(W2B, lambda rem, done: wave2b(rem, bill, pad, lookup)))
     waves += [
-        Wave(W3, lambda rem, done: wave3(rem, parcels_keyed, lines, buffer_ft, cell)),
-        Wave(W4, lambda rem, done: wave4(rem, parcels_keyed, lines, nearest_ft, cell)),
+        Wave(W3, lambda rem, done: wave3(rem, parcels_keyed, lines, buffer_ft, cell, salt)),
+        Wave(W4, lambda rem, done: wave4(rem, parcels_keyed, lines, nearest_ft, cell, salt)),
     ]
-    return cascade(all_bbls(parcels_keyed), waves, "bbl_chr", MATCH_COLS, "source", materialize)
+    return Cascade(all_bbls(parcels_keyed), waves, "bbl_chr", MATCH_COLS, "source", materialize)

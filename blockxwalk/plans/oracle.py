@@ -18,7 +18,7 @@ import re
 from ..functions import geosql
 from ..sources import fixtures
 from .match import BUFFER_FT, NEAREST_FT
-from .streets import LABEL_NYPD, LABEL_ZIP_STREETS
+from .streets import LABEL_GENERIC, LABEL_NYPD, LABEL_ZIP_STREETS
 
 # --- SQL snippets mirroring the Column rules -------------------------------------------
 
@@ -366,6 +366,8 @@ QUERIES: dict[str, str] = {
     "seg_to_physical_qa": (f"SELECT {cnt()} AS n_rows, {ndna('physical_id')} AS n_physical_id, "
                            f"{ndna('generic_id')} AS n_generic_id, {ndna('nypdid')} AS n_nypdid FROM s2p"),
     "map_layer": _vertices("siz", LABEL_ZIP_STREETS, ("street", "physical_id", "segment_id", "generic_id")),
+    "map_layer_generic": _vertices("(SELECT * FROM cs WHERE generic_id IN (SELECT generic_id FROM gm))", LABEL_GENERIC,
+                                   ("street", "generic_id", "physical_id", "segment_id")),
     "map_layer_nypd": _vertices("nypd", LABEL_NYPD, ("street", "nypdid", "physical_id", "segment_id", "generic_id")),
     "physical_blocks": "SELECT * FROM pb",
     "block_parts": ("SELECT physical_id, CAST(v AS BIGINT) AS vertex_no, CASE WHEN v = 0 THEN x1 ELSE x2 END AS x, "
@@ -382,6 +384,10 @@ QUERIES: dict[str, str] = {
     "review": "SELECT * FROM rv",
     "review_counts": f"SELECT review_reason, {cnt()} AS n_blocks FROM rv GROUP BY review_reason",
     "id_crosswalk": "SELECT * FROM xw",
+    "id_crosswalk_qa": (f"SELECT {cnt()} AS n_rows, {ndna('physical_id')} AS n_physical_id, "
+                        f"{ndna('segment_id')} AS n_segment_id, {ndna('generic_id')} AS n_generic_id FROM xw"),
+    "block_ids": ("SELECT physical_id, CASE a WHEN 0 THEN 'segment_ids' WHEN 1 THEN 'generic_ids' WHEN 2 THEN 'fdny_ids' "
+                  "WHEN 3 THEN 'block_face_ids' WHEN 4 THEN 'census_tracts_2020' ELSE 'census_blocks_2020' END AS list, v AS value FROM bis_v"),
     "block_id_summary": "SELECT * FROM bis",
     "master": "SELECT * FROM mb",
     "master_totals": (f"SELECT {cnt()} AS total_blocks, CAST(sum(n_segments) AS BIGINT) AS total_segments, "
@@ -391,6 +397,7 @@ QUERIES: dict[str, str] = {
     "master_by_boro": f"SELECT boro, {cnt()} AS n_blocks FROM mb GROUP BY boro",
     "master_by_source": f"SELECT name_source, {cnt()} AS n_blocks FROM mb GROUP BY name_source",
     "segment_lookup": "SELECT * FROM sl",
+    "match_inputs": f"SELECT (SELECT {ndna('bbl_chr')} FROM pk) AS total_bbls, (SELECT {cnt()} FROM sl) AS lookup_rows",
     "wave1": "SELECT * FROM w1",
     "wave2a": "SELECT * FROM w2a",
     "wave2b": "SELECT * FROM w2b",
@@ -415,10 +422,16 @@ QUERIES: dict[str, str] = {
     "match_rate": ("SELECT source, n_pairs, CAST((n_pairs * 2000 + total) // (2 * total) AS DOUBLE) / 10.0 AS pct FROM "
                    f"(SELECT source, n_pairs, sum(n_pairs) OVER () AS total FROM (SELECT source, {cnt()} AS n_pairs "
                    "FROM b2p GROUP BY source))"),
+    "bin_to_bbl": "SELECT * FROM bin2bbl",
     "bin_to_physical": "SELECT * FROM bin2p",
     "bin_summary": (f"SELECT {cnt()} AS bin_physical_pairs, {ndna('bin')} AS distinct_bins, "
                     f"{ndna('physical_id')} AS physical_ids_with_bins FROM bin2p"),
     "address_list": "SELECT * FROM addr",
+    "address_summary": f"SELECT {cnt()} AS total_addresses, {ndna('physical_id')} AS blocks_with_addresses FROM addr",
+    "within_50_lonlat": (f"SELECT bbl_chr, segment_id, physical_id, CAST(floor(min(round(dist_ft, 2)) / 10) AS BIGINT) AS tens_ft FROM "
+                         f"({_pairs_within('pk', BUFFER_FT)}) WHERE round(dist_ft, 2) < 49.9 AND (round(dist_ft, 2) = 0 OR round(dist_ft, 2) > 0.1) "
+                         "GROUP BY bbl_chr, segment_id, physical_id"),
+    "csv_round_trip": "SELECT * FROM fx_pad_addr",
     "addr_per_block": "SELECT * FROM apb",
     "addr_per_block_summary": six_number("n_addresses", "apb"),
     "master_full": "SELECT * FROM mf",

@@ -18,8 +18,9 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame
 
-from ..operators.aggregates import count_by
+from ..functions.geometry import align_srid
 from ..operators.graph import streets_in_zips, zip_cluster, zip_edges, zip_neighbors, zip_pairs
+from ..session import materialize as write_and_read
 from . import blocks as B
 from . import derived as D
 from . import match as M
@@ -31,11 +32,15 @@ class BlockCrosswalk:
                  pad_bill: DataFrame | None = None, overrides: DataFrame | None = None, *,
                  buffer_ft: float = M.BUFFER_FT, nearest_ft: float = M.NEAREST_FT,
                  cell: float | None = None, cluster_size: int = 4, seed: int = 1,
-                 materialize: bool = True):
-        self.segments, self.parcels, self.pad_addr = segments, parcels, pad_addr
+                 materialize: bool = True, salt: int = 1):
+        # parcels in another CRS than the segments' are transformed to it
+        self.segments, self.parcels, self.pad_addr = segments, align_srid(parcels, segments), pad_addr
         self.pad_bill, self.overrides = pad_bill, overrides
+        self._set(buffer_ft, nearest_ft, cell, cluster_size, seed, materialize, salt)
+
+    def _set(self, buffer_ft=M.BUFFER_FT, nearest_ft=M.NEAREST_FT, cell=None, cluster_size=4, seed=1, materialize=True, salt=1):
         self.buffer_ft, self.nearest_ft, self.cell = buffer_ft, nearest_ft, cell
-        self.cluster_size, self.seed, self.materialize = cluster_size, seed, materialize
+        self.cluster_size, self.seed, self.materialize, self.salt = cluster_size, seed, materialize, salt
 
     # --- streets ------------------------------------------------------------------
     @cached_property
@@ -68,7 +73,7 @@ class BlockCrosswalk:
 
     @cached_property
     def zip_cluster(self):
-        return zip_cluster(self.zip_neighbors, self.cluster_size, self.seed)
+        return zip_cluster(self.zip_neighbors, self.cluster_size, self.seed, check=True)
 
     @cached_property
     def streets_in_zips(self):
@@ -153,13 +158,21 @@ class BlockCrosswalk:
     def id_crosswalk(self):
         return S.id_crosswalk(self.city_streets)
 
+    @cached_property
+    def id_crosswalk_qa(self):
+        return S.id_crosswalk_qa(self.id_crosswalk)
+
+    @cached_property
+    def block_ids(self):
+        return B.block_ids(self.id_crosswalk)
+
     @cached_property
     def block_id_summary(self):
         return B.block_id_summary(self.id_crosswalk)
 
     @cached_property
     def master(self):
-        return B.master(self.physical_blocks, self.block_names, self.block_id_summary)
+        return B.master(self.physical_blocks, self.block_names, B.block_id_summary(self.id_crosswalk, lists=B.CENSUS_LISTS))
 
     @cached_property
     def master_totals(self):
@@ -186,10 +199,10 @@ class BlockCrosswalk:
     def cascade(self):
         return M.run_cascade(self.parcels_keyed, self.pad_addr, self.pad_bill, self.segment_lookup,
                              self.lines, buffer_ft=self.buffer_ft, nearest_ft=self.nearest_ft,
-                             cell=self.cell, materialize=self.materialize)
+                             cell=self.cell, materialize=self.materialize, salt=self.salt)
 
     def wave(self, name: str) -> DataFrame:
-        return self.cascade.matches[name]
+        return self.cascade.match(name)
 
     @cached_property
     def wave_qa(self):
@@ -199,13 +212,14 @@ class BlockCrosswalk:
     def within_buffer(self):
         """All parcel-line pairs within the buffer radius, over all parcels."""
         from ..operators.spatial import within_distance
-        return within_distance(self.parcels_keyed.select("bbl_chr", "geom"), self.lines, self.buffer_ft, self.cell)
+        return within_distance(self.parcels_keyed.select("bbl_chr", "geom"), self.lines, self.buffer_ft, self.cell,
+                               salt=self.salt)
 
     @cached_property
     def nearest(self):
         """Nearest line within the nearest radius for every parcel row."""
         return M.wave4_pairs(M.all_bbls(self.parcels_keyed), self.parcels_keyed, self.lines,
-                             self.nearest_ft, self.cell)
+                             self.nearest_ft, self.cell, self.salt)
 
     @cached_property
     def bbl_segment_physical(self):
@@ -232,6 +246,18 @@ class BlockCrosswalk:
     def bin_to_physical(self):
         return D.bin_to_physical(self.pad_addr, self.bbl_to_physical)
 
+    @cached_property
+    def match_inputs(self):
+        return D.match_inputs(self.parcels_keyed, self.segment_lookup)
+
+    @cached_property
+    def bin_to_bbl(self):
+        return D.bin_to_bbl(self.pad_addr)
+
+    @cached_property
+    def address_summary(self):
+        return D.address_summary(self.address_list)
+
     @cached_property
     def bin_summary(self):
         return D.bin_summary(self.pad_addr, self.bbl_to_physical)
@@ -264,6 +290,8 @@ class BlockCrosswalk:
     def unmatched_by_land_use(self):
         return D.unmatched_by_land_use(self.unmatched)
 
-    @cached_property
-    def segments_per_block_counts(self):
-        return count_by(self.segments, "physical_id", name="n")
+    def share(self) -> BlockCrosswalk:
+        """Write the tables that several outputs use (blocks, names) once; later tables read them."""
+        for name in ("physical_blocks", "block_names", "master"):
+            setattr(self, name, write_and_read(getattr(self, name), name))
+        return self

@@ -8,12 +8,18 @@ distances or flat vertex rows instead.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.geometry import to_srid
+from ..schemas import PAD_ADDR, SRID_WGS84
+from ..session import ensure_checkpoint_dir
 from ..sources.fixtures import Inputs
+from ..sources.readers import read_delimited
 from . import match as M
 from . import streets as S
 from .pipeline import BlockCrosswalk
@@ -24,17 +30,47 @@ from .pipeline import BlockCrosswalk
 _PIPELINES: dict[tuple[str, str], BlockCrosswalk] = {}
 
 
+class _FromFolder(BlockCrosswalk):
+    """The crosswalk of one folder's tables; an input is prepared when a query first reads it."""
+
+    def __init__(self, inputs: Inputs, **kw):
+        self._inputs = inputs
+        self._set(**kw)
+
+    segments = cached_property(lambda self: self._inputs.segments)
+    parcels = cached_property(lambda self: self._inputs.parcels)
+    pad_addr = cached_property(lambda self: self._inputs.pad_addr)
+    pad_bill = cached_property(lambda self: self._inputs.pad_bill)
+    overrides = cached_property(lambda self: self._inputs.overrides)
+
+
 def crosswalk(spark: SparkSession, sf_dir: str, **kw) -> BlockCrosswalk:
     key = (spark.sparkContext.applicationId, sf_dir)
-    if kw or key not in _PIPELINES:
-        i = Inputs(spark, sf_dir)
-        x = BlockCrosswalk(i.segments, i.parcels, i.pad_addr, i.pad_bill, i.overrides, **kw)
-        if kw:
-            return x
-        _PIPELINES[key] = x
+    if kw:
+        return _FromFolder(Inputs(spark, sf_dir), **kw)
+    if key not in _PIPELINES:
+        _PIPELINES[key] = _FromFolder(Inputs(spark, sf_dir))
     return _PIPELINES[key]
 
 
+def within_50_lonlat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 ft join of parcels that come in longitude and latitude; distances to 0.01 ft, beyond the edge left out."""
+    i = Inputs(spark, sf_dir)
+    lonlat = to_srid(i.parcels, SRID_WGS84)
+    x = BlockCrosswalk(i.segments, lonlat, i.pad_addr)
+    near = x.within_buffer.withColumn("dist_ft", F.round("dist_ft", 2))
+    return near.where("dist_ft < 49.9 and (dist_ft = 0 or dist_ft > 0.1)").groupBy("bbl_chr", "segment_id", "physical_id").agg(F.min(F.floor(F.col("dist_ft") / 10)).alias("tens_ft"))
+
+
+def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The address directory written as padded text and read back."""
+    pad = Inputs(spark, sf_dir).pad_addr
+    text = pad.select(*[F.rpad(F.coalesce(F.col(c).cast("string"), F.lit("NA" if c == "stname" else "")), 24, " ").alias(c) for c in pad.columns])
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/directory-{uuid.uuid4().hex}"
+    text.write.option("header", True).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return read_delimited(spark, path, PAD_ADDR)
+
+
 def _no_geom(df: DataFrame) -> DataFrame:
     return df.drop("geom")
 
@@ -70,6 +106,7 @@ QUERIES: dict[str, Callable[[BlockCrosswalk], DataFrame]] = {
     "seg_to_physical": lambda x: x.seg_to_physical,
     "seg_to_physical_qa": lambda x: x.seg_to_physical_qa,
     "map_layer": lambda x: S.map_layer_vertices(x.map_layer("zip")),
+    "map_layer_generic": lambda x: S.map_layer_vertices(x.map_layer("generic")),
     "map_layer_nypd": lambda x: S.map_layer_vertices(x.map_layer("nypd")),
     # blocks
     "physical_blocks": lambda x: x.physical_blocks,
@@ -83,6 +120,8 @@ QUERIES: dict[str, Callable[[BlockCrosswalk], DataFrame]] = {
     "review": lambda x: x.review,
     "review_counts": lambda x: x.review_counts,
     "id_crosswalk": lambda x: x.id_crosswalk,
+    "id_crosswalk_qa": lambda x: x.id_crosswalk_qa,
+    "block_ids": lambda x: x.block_ids.select("physical_id", "list", "value"),
     "block_id_summary": lambda x: x.block_id_summary,
     "master": lambda x: x.master,
     "master_totals": lambda x: x.master_totals,
@@ -90,6 +129,7 @@ QUERIES: dict[str, Callable[[BlockCrosswalk], DataFrame]] = {
     "master_by_source": lambda x: x.master_by_source,
     # matching
     "segment_lookup": lambda x: x.segment_lookup,
+    "match_inputs": lambda x: x.match_inputs,
     "wave1": lambda x: x.wave(M.W1),
     "wave2a": lambda x: x.wave(M.W2A),
     "wave2b": lambda x: x.wave(M.W2B),
@@ -104,9 +144,11 @@ QUERIES: dict[str, Callable[[BlockCrosswalk], DataFrame]] = {
     "bbl_summary": lambda x: x.bbl_summary,
     "match_rate": lambda x: x.match_rate,
     # derived
+    "bin_to_bbl": lambda x: x.bin_to_bbl,
     "bin_to_physical": lambda x: x.bin_to_physical,
     "bin_summary": lambda x: x.bin_summary,
     "address_list": lambda x: x.address_list,
+    "address_summary": lambda x: x.address_summary,
     "addr_per_block": lambda x: x.addr_per_block,
     "addr_per_block_summary": lambda x: x.addr_per_block_summary,
     "master_full": lambda x: x.master_full,
@@ -117,4 +159,4 @@ QUERIES: dict[str, Callable[[BlockCrosswalk], DataFrame]] = {
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _q(fn) for name, fn in QUERIES.items()}
+    return {name: _q(fn) for name, fn in QUERIES.items()} | {"within_50_lonlat": within_50_lonlat, "csv_round_trip": csv_round_trip}

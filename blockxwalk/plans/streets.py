@@ -18,6 +18,7 @@ UNDIVIDED_SEGMENT_TYPE = "U"             # undivided standard geometry
 VEHICULAR_TRAFFIC = ("T", "A", "W")      # vehicular
 EXCLUDED_ROADWAY_TYPES = ("2", "3", "4", "9")   # highways, bridges, tunnels, ramps
 
+# Output columns.
 SEG_TO_PHYSICAL_COLS = (
     "segment_id", "physical_id", "generic_id", "nypdid", "fdnyid", "street", "saf_street_name",
     "from_left", "to_left", "from_right", "to_right", "l_zip", "r_zip", "l_boro", "r_boro",
@@ -95,10 +96,15 @@ def id_crosswalk(streets: DataFrame) -> DataFrame:
     return streets.select(*ID_CROSSWALK_COLS).distinct()
 
 
+def id_crosswalk_qa(xwalk: DataFrame) -> DataFrame:
+    """Rows, distinct blocks and distinct generic ids of the id crosswalk."""
+    return xwalk.agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"), n_distinct_na("physical_id").alias("n_physical_id"),
+                     n_distinct_na("segment_id").alias("n_segment_id"), n_distinct_na("generic_id").alias("n_generic_id"))
+
+
 def lines(streets: DataFrame) -> DataFrame:
     """Segment lines for spatial work: x/y only, repeated vertices and empty parts dropped."""
-    out = streets.select("segment_id", "physical_id", "legacy_id",
-                         clean_parts("geom").alias("geom"))
+    out = streets.select("segment_id", "physical_id", clean_parts("geom").alias("geom")).distinct()
     srid = srid_of(streets, "geom")
     return with_srid(out, "geom", srid) if srid is not None else out
 

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.geometry import to_wkt
+from ..operators.ordering import sort_na_last
 
 
 def _csv_ready(df: DataFrame) -> DataFrame:
@@ -39,7 +40,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", sort: list[str]
     (a range-partitioned sort); ``partitions`` coalesces small outputs."""
     out = df
     if sort:
-        out = out.orderBy(*[F.col(c).asc_nulls_last() for c in sort])
+        out = sort_na_last(out, *sort)
     if partitions:
         out = out.coalesce(partitions)
     w = out.write.mode("overwrite")
@@ -70,7 +71,7 @@ def write_map_layer(layer: DataFrame, path: str, props: list[str] | None = None)
     geojson_lines(layer, props=props).write.mode("overwrite").text(path)
 
 
-# name -> (attribute of BlockCrosswalk, sort columns); the written outputs of a run
+# Output names.  name -> (attribute of BlockCrosswalk, sort columns); the written outputs of a run
 OUTPUTS = {
     "seg_to_physical": ("seg_to_physical", None),
     "block_names": ("block_names", None),
@@ -90,11 +91,13 @@ OUTPUTS = {
 def write_all(x, out_dir: str, fmt: str = "parquet") -> dict[str, str]:
     """Write every output table of a ``BlockCrosswalk`` under ``out_dir``."""
     paths = {}
+    x.share()
     for name, (attr, sort) in OUTPUTS.items():
         p = f"{out_dir.rstrip('/')}/{name}"
         write_table(getattr(x, attr), p, fmt=fmt, sort=sort)
         paths[name] = p
-    p = f"{out_dir.rstrip('/')}/physical_blocks"
-    write_features(x.physical_blocks_geom, p)
-    paths["physical_blocks"] = p
+    # the blocks' geometry as rows of parts: no block's geometry is collected
+    for name, attr in (("physical_blocks", "physical_blocks"), ("physical_block_parts", "block_parts")):
+        paths[name] = f"{out_dir.rstrip('/')}/{name}"
+        write_table(getattr(x, attr), paths[name])
     return paths

@@ -84,3 +84,13 @@ def test_bbl_from_number(spark):
 def test_segid_key(spark):
     out = one(spark, K.segid_key("v"), [(123,), (12345678,), (None,)], "v bigint")
     assert out == ["0000123", "12345678", None]
+
+
+def test_integers_of_any_size_print_plainly(spark):
+    from blockxwalk.functions.text import int_text, plain_digits
+    df = spark.createDataFrame([(1e14,), (1e15,), (2e15,), (1e40,), (0.5,), (None,)], "x double")
+    assert [r[0] for r in df.select(int_text("x")).collect()] == ["100000000000000", "1000000000000000", "2000000000000000", "1" + "0" * 40, "0.5", None]
+    assert [r[0] for r in df.select(plain_digits("x")).collect()][1:4] == ["1000000000000000", "2000000000000000", "1" + "0" * 40]
+    big = spark.createDataFrame([("9" * 45,)], "s string")
+    assert big.select(plain_digits("s")).first()[0] == "9" * 45
+    assert spark.range(9007199254740993, 9007199254740994).select(int_text("id")).first()[0] == "9007199254740993"

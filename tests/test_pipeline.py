@@ -71,7 +71,8 @@ def test_entry_smoke(spark):
     import __spark_entry__ as E
     df = E.entry(spark)
     assert df.count() > 0
-    assert set(E.queries()) == set(E.oracle_sql())
+    from blockxwalk.plans import oracle, registry
+    assert set(registry.queries()) == set(oracle.oracle_sql()) <= set(E.queries())
 
 
 @pytest.mark.parametrize("name", ["physical_blocks", "names_merged", "block_id_summary", "wave1", "wave2a",
@@ -95,10 +96,10 @@ def test_oracle_spot_check(spark, name):
 def test_write_all_outputs(spark, xw, tmp_dir):
     from blockxwalk.sources.sinks import OUTPUTS, write_all, write_map_layer
     paths = write_all(xw, tmp_dir)
-    assert set(paths) == set(OUTPUTS) | {"physical_blocks"}
+    assert set(paths) == set(OUTPUTS) | {"physical_blocks", "physical_block_parts"}
     assert spark.read.parquet(paths["master_block_list_full"]).count() == xw.master_full.count()
-    blocks = spark.read.parquet(paths["physical_blocks"])
-    assert "wkt" in blocks.columns and blocks.filter(F.col("wkt").startswith("MULTILINESTRING")).count() > 0
+    parts = spark.read.parquet(paths["physical_block_parts"])
+    assert parts.count() == xw.block_parts.count() > 0
     write_map_layer(xw.map_layer("nypd"), tmp_dir + "/map")
     assert spark.read.text(tmp_dir + "/map").count() == xw.map_layer("nypd").count()
 
@@ -112,3 +113,48 @@ def test_filters_pushed_and_columns_pruned(spark, xw):
     scan = [line for line in plan.splitlines() if "FileScan parquet" in line][0]
     read = scan.split("ReadSchema: ")[1]
     assert "street" not in read and "geom" not in read      # only the needed columns are read
+
+
+def test_house_numbers_are_parsed_once(xw):
+    plan = xw.street_ranges._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") <= 4 and plan.count("RLIKE") <= 4
+
+
+def test_master_reads_the_segments_three_times_at_most(xw, spark):
+    from blockxwalk.plans import registry
+    x = registry._FromFolder(Inputs(spark, SF_SMALL))
+    plan = x.master._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") <= 4  # segments three times, overrides once
+
+
+def test_inputs_and_waves_only_as_asked(spark, monkeypatch):
+    from blockxwalk.plans import registry
+    from blockxwalk.sources import fixtures
+    monkeypatch.setattr(fixtures, "_WRITTEN", {})
+    x = registry._FromFolder(Inputs(spark, SF_SMALL))
+    registry.QUERIES["zip_pairs"](x)
+    assert {k[2] for k in fixtures._WRITTEN} == {"segments"}
+    registry.QUERIES["wave1"](x)
+    assert list(x.cascade._built) == [M.W1]
+
+
+def test_other_attribute_types(spark):
+    from blockxwalk.plans import blocks as B
+    rows = [(1, 10, "A ST", "B4", None, 31, 5.0), (1, 11, "B ST", "B4", 7, 32, None), (1, 12, "A ST", None, 7, 32, 2.0)]
+    df = spark.createDataFrame(rows, "physical_id bigint, segment_id bigint, street string, l_boro string, l_cd bigint, lct2020 int, shape_length double")
+    r = B.physical_blocks(df).first()
+    assert (r.n_segments, r.total_length_ft, r.streets, r.boro, r.cd, r.ct2020) == (3, 7.0, "A ST; B ST", "B4", 7, 32)
+
+
+def test_parcels_of_another_crs_are_aligned(spark):
+    from blockxwalk.functions.geometry import srid_of, to_srid
+    i = Inputs(spark, SF_SMALL)
+    x = BlockCrosswalk(i.segments, to_srid(i.parcels, 4326), i.pad_addr)
+    assert srid_of(x.parcels) == 2263
+
+
+def test_no_cluster_is_an_error(spark):
+    from blockxwalk.operators.graph import zip_cluster
+    lonely = spark.createDataFrame([("10001", ["10002"], 1)], "zip1 string, neighbors array<string>, degree bigint")
+    with pytest.raises(ValueError):
+        zip_cluster(lonely, 4, 1, check=True)

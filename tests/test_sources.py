@@ -1,5 +1,6 @@
 import json
 import os
+import struct
 
 from pyspark.sql import functions as F
 
@@ -58,3 +59,56 @@ def test_geojson_lines(spark):
     feat = json.loads(geojson_lines(df).first().value)
     assert feat["geometry"]["coordinates"] == [[[1.0, 2.0], [3.0, 4.0]]]
     assert feat["properties"] == {"segment_id": 7}
+
+
+def test_read_delimited_trims_and_reads_missing(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "padded.csv")
+    with open(p, "w") as f:
+        f.write("boro,block,lot,segid,BIN,lhnd,hhnd,stname,zipcode\n")
+        f.write("1, 12 ,5,\"       \",1000001,\"            \",12          ,\"   MAIN STREET      \",01234\n")
+        f.write("1,12,5,  0012345,1000001,NA, 3 ,NA,\n")
+    a, b = read_delimited(spark, p, PAD_ADDR).collect()
+    assert (a.block, a.segid, a.lhnd, a.hhnd, a.stname, a.zipcode) == (12, None, None, "12", "MAIN STREET", "01234")
+    assert (b.segid, b.lhnd, b.hhnd, b.stname, b.zipcode) == ("0012345", None, "3", None, None)
+
+
+def test_overrides_are_never_overwritten(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "_block_names_manual.csv")
+    text = "physical_id,block_name_manual,primary_street_manual,addr_low_manual,addr_high_manual,notes,surveyed_date,surveyed_by\n7,SURVEYED, MAIN ST ,1,9,,2025-01-01,me\n"
+    with open(p, "w") as f:
+        f.write(text)
+    assert ensure_overrides(spark, p) is False
+    row = read_overrides(spark, p).first()
+    assert (row.physical_id, row.block_name_manual, row.primary_street_manual, row.addr_low_manual, row.notes) == (7, "SURVEYED", "MAIN ST", 1.0, None)
+    assert open(p).read() == text
+    empty = os.path.join(tmp_dir, "empty")
+    os.mkdir(empty)
+    assert ensure_overrides(spark, empty) is False
+    assert read_overrides(spark, empty).count() == 0 and os.listdir(empty) == []
+
+
+def test_malformed_wkt_is_null(spark):
+    from blockxwalk.functions.geometry import from_wkt
+    texts = ["LINESTRING (0 0, 3)", "LINESTRING (0 0, x 4)", "LINESTRING (0 0, 3 4 9)", "MULTILINESTRING ((0 0, 1 1), (2 2, 3 3))", None, "LINESTRING EMPTY"]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(from_wkt("t")).collect()]
+    assert got[:2] == [None, None] and got[4] is None and got[5] == []
+    assert [[(v.x, v.y) for v in p] for p in got[2]] == [[(0, 0), (3, 4)]] and len(got[3]) == 2
+
+
+def test_wkb(spark, tmp_dir):
+    line = struct.pack("<BII4d", 1, 2, 2, 0, 0, 3, 4)
+    ring_z = struct.pack(">BIII", 0, 1003, 1, 4) + struct.pack(">12d", 0, 0, 9, 1, 0, 9, 1, 1, 9, 0, 0, 9)
+    multi = struct.pack("<BII", 1, 0x20000005, 4326) + struct.pack("<I", 2) + line * 2
+    p = os.path.join(tmp_dir, "wkb")
+    spark.createDataFrame([(1, line), (2, ring_z), (3, multi), (4, line[:20]), (5, None)], "SegmentID int, SHAPE binary").write.parquet(p)
+    got = {r.segment_id: r.geom for r in read_features(spark, p, 2263, geom_col="SHAPE").collect()}
+    assert [[(v.x, v.y) for v in q] for q in got[1]] == [[(0, 0), (3, 4)]]
+    assert [(v.x, v.y) for v in got[2][0]] == [(0, 0), (1, 0), (1, 1), (0, 0)]
+    assert len(got[3]) == 2 and got[4] is None and got[5] is None
+
+
+def test_read_features_reprojects(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "lonlat")
+    spark.createDataFrame([(1, "LINESTRING (-74 40.7, -73.99 40.71)")], "SegmentID int, SHAPE string").write.parquet(p)
+    df = read_features(spark, p, 4326, geom_col="SHAPE", target_srid=2263)
+    assert df.schema["geom"].metadata == {"srid": 2263} and 900_000 < df.first().geom[0][0].x < 1_100_000
