@@ -51,7 +51,7 @@ BANDS, ROWS = 20, 4
 REGISTERS = BANDS * ROWS
 #: Agreeing registers that a candidate needs; a pair of similarity 0.8 agrees in 64 of 80, fewer than 44 are 5.6 deviations off.
 LEAST_AGREEING = 44
-SMALL, DEPTH = 96, 8
+SMALL, DEPTH = 64, 8
 #: Nodes of a group that its reference is made of, about.
 REFERENCE_NODES = 48
 #: A key with more than this part of a table's rows (and these rows) is joined by broadcast: there are fewer than 1 / HOT such keys.
@@ -154,6 +154,15 @@ def signatures(rows: DataFrame) -> DataFrame:
 
 # --- joins that a hot key doesn't hold up ----------------------------------------
 
+def _tasks(df: DataFrame) -> DataFrame:
+    """The rows in no more partitions than keep the cores busy twice: tables made of a few columns of few nodes."""
+    return df.coalesce(max(1, 2 * df.sparkSession.sparkContext.defaultParallelism))
+
+
+def _table(df: DataFrame, name: str) -> DataFrame:
+    return materialize(_tasks(df), name)
+
+
 def attach(rows: DataFrame, table: DataFrame, key: str, count: str) -> DataFrame:
     """``rows`` joined with a table of one row a key, whose column ``count`` says how many of the rows have that key.
 
@@ -183,13 +192,20 @@ def _cut(pairs: DataFrame) -> DataFrame:
     return pairs.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _most(pairs: DataFrame, x: str) -> int:
+    """The most rows that one value of a column has."""
+    return _tasks(pairs.groupBy(x).agg(F.count("*").alias("n"))).agg(F.max("n")).first()[0] or 0
+
+
 def _estimated(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The pairs whose signatures agree in enough registers."""
-    sig = nodes.select("node", "sig")
-    n = pairs.groupBy("a").agg(F.count("*").alias("n")).withColumnRenamed("a", "node").join(sig, "node")
-    rows = attach(pairs, n.select(F.col("node").alias("a"), F.col("sig").alias("sa"), "n"), "a", "n")
-    n = pairs.groupBy("b").agg(F.count("*").alias("n")).withColumnRenamed("b", "node").join(sig, "node")
-    rows = attach(rows, n.select(F.col("node").alias("b"), F.col("sig").alias("sb"), "n"), "b", "n")
+    rows = pairs
+    for x in "ab":
+        sig = nodes.select(F.col("node").alias(x), F.col("sig").alias(f"s{x}"))
+        if _most(pairs, x) <= HOT_ROWS:
+            rows = rows.join(sig, x)
+        else:
+            rows = attach(rows, _table(pairs.groupBy(x).agg(F.count("*").alias("n")).join(sig, x), "partners"), x, "n")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -211,12 +227,11 @@ def _overlaps(pairs: DataFrame, sets: DataFrame, others: DataFrame, prefix: bool
     """
     rows = pairs
     for x, y, table in (("a", "b", sets), ("b", "a", others)):
-        degree = pairs.groupBy(x).agg(F.count("*").alias("n"))
         own = table.withColumnRenamed("node", x).withColumnRenamed("set", f"s{x}")
-        if (degree.agg(F.max("n")).first()[0] or 0) <= 256:
+        if _most(pairs, x) <= 256:
             rows = rows.join(own, x)
             continue
-        degree = materialize(degree.select(x, F.ceil(F.col("n") / 256).cast("int").alias("parts"), "n"), "degrees")
+        degree = _table(pairs.groupBy(x).agg(F.count("*").alias("n")).select(x, F.ceil(F.col("n") / 256).cast("int").alias("parts"), "n"), "degrees")
         dealt = own.join(degree.select(x, "parts"), x).select(x, f"s{x}", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("k"))
         rows = attach(rows, degree, x, "n").withColumn("k", F.pmod(F.xxhash64(y), F.col("parts")).cast("int")).drop("parts")
         rows = rows.join(dealt, [x, "k"]).drop("k")
@@ -250,7 +265,7 @@ def _links(overlaps: DataFrame) -> DataFrame:
 
 def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(node, set): sorted distinct shingles (32 bits each) of the wanted nodes (node, id, of one row each)."""
-    ids = materialize(wanted.select("id").distinct(), "wanted-ids")
+    ids = _table(wanted.select("id").distinct(), "wanted-ids")
     texts = docs.select(column(id_col).alias("id"), column(text_col).alias("t"))
     texts = texts.where("id is null").unionByName(semi(texts.where("id is not null"), ids.where("id is not null"), "id")) if not ids.where("id is null").isEmpty() else semi(texts, ids, "id")
     rows = nodes_of(texts, "id", "t")
@@ -270,19 +285,19 @@ def components(links: DataFrame) -> DataFrame:
     Every round a node takes the least label among its own and its neighbours',
     then, from the third round on, its label's label; it ends when no label has changed.
     """
-    edges = materialize(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    labels = materialize(edges.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("comp"), F.count("*").alias("n")).withColumnRenamed("a", "node"), "labels")
+    edges = _table(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
+    labels = _table(edges.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("comp"), F.count("*").alias("n")).withColumnRenamed("a", "node"), "labels")
     turn = 0
     while True:
         turn += 1
         seen = attach(edges, labels.select(F.col("node").alias("b"), "comp", "n"), "b", "n")
         least = seen.groupBy("a").agg(F.min("comp").alias("near")).withColumnRenamed("a", "node")
         new = labels.join(least, "node").select("node", F.least("comp", "near").alias("comp"), "n", F.col("comp").alias("old"))
-        new = materialize(new, "labels")
+        new = _table(new, "labels")
         if turn > 2:  # long chains: the label of the label
             sizes = new.groupBy("comp").agg(F.count("*").alias("m"))
             jump = new.select(F.col("node").alias("comp"), F.col("comp").alias("to")).join(sizes, "comp")
-            new = materialize(attach(new, jump, "comp", "m").select("node", F.least("comp", "to").alias("comp"), "n", "old"), "labels")
+            new = _table(attach(new, jump, "comp", "m").select("node", F.least("comp", "to").alias("comp"), "n", "old"), "labels")
         labels = new.drop("old")
         if new.where("comp != old").isEmpty():
             return labels.select("node", "comp")
@@ -298,8 +313,8 @@ def _with_components(rows: DataFrame, comps: DataFrame | None) -> DataFrame:
 def _unsettled(rows: DataFrame) -> DataFrame:
     """(key, node, comp, size) of the buckets with several components."""
     mixed = rows.groupBy("key").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi")
-    mixed = materialize(mixed.select("key", "size", F.col("size").alias("n")), "unsettled")
-    return materialize(attach(rows.select("key", "node", "comp"), mixed, "key", "n"), "rows")
+    mixed = _table(mixed.select("key", "size", F.col("size").alias("n")), "unsettled")
+    return _table(attach(rows.select("key", "node", "comp"), mixed, "key", "n"), "rows")
 
 
 def _shared(rows: DataFrame) -> DataFrame:
@@ -318,19 +333,19 @@ def _small_pairs(rows: DataFrame) -> DataFrame:
 
 def _groups(large: DataFrame) -> DataFrame:
     """(a, b): the nodes of the large buckets, each with the node b that names its buckets' groups."""
-    degree = materialize(large.groupBy("node").agg(F.sum("size").alias("degree")), "degree")
+    degree = _table(large.groupBy("node").agg(F.sum("size").alias("degree")), "degree")
     large = large.join(degree, "node")
-    top = materialize(large.groupBy("key").agg(F.first("size").alias("n"), F.max(F.struct("degree", "node")).alias("top")), "tops")
+    top = _table(large.groupBy("key").agg(F.first("size").alias("n"), F.max(F.struct("degree", "node")).alias("top")), "tops")
     own = attach(large.select("key", "node"), top, "key", "n").groupBy("node").agg(F.max("top").alias("ref"))
     main = large.select("key", "node", "size").join(own, "node").groupBy("key", "ref").agg(F.count("*").alias("m"), F.first("size").alias("n"))
     main = main.groupBy("key").agg(F.first("n").alias("n"), F.max(F.struct("m", "ref")).alias("main"))
-    main = materialize(main.select("key", "n", F.col("main.ref.node").alias("b")), "group-names")
+    main = _table(main.select("key", "n", F.col("main.ref.node").alias("b")), "group-names")
     return attach(large.select("key", F.col("node").alias("a")), main, "key", "n").select("a", "b").distinct()
 
 
 def _references(groups: DataFrame, sets: DataFrame) -> DataFrame:
     """(node, set): by group b the shingles that most of a sample of its nodes have."""
-    size = materialize(groups.groupBy("b").agg(F.count("*").alias("n"), F.ceil(F.count("*") / REFERENCE_NODES).cast("int").alias("every"), F.min(F.xxhash64("a", F.lit(9))).alias("first")), "group-sizes")
+    size = _table(groups.groupBy("b").agg(F.count("*").alias("n"), F.ceil(F.count("*") / REFERENCE_NODES).cast("int").alias("every"), F.min(F.xxhash64("a", F.lit(9))).alias("first")), "group-sizes")
     taken = attach(groups, size, "b", "n")
     h = F.xxhash64("a", F.lit(9))
     taken = taken.where((F.pmod(h, F.col("every")) == 0) | (h == F.col("first"))).select("b", F.col("a").alias("node")).join(sets, "node")
@@ -351,9 +366,9 @@ def _by_size(star: DataFrame, comps: DataFrame | None) -> DataFrame:
     """
     k = (1 + SIMILARITY) / SIMILARITY
     rows = _with_components(star.withColumnRenamed("a", "node"), comps)
-    sizes = materialize(rows.groupBy("b", "comp").agg(F.count("*").alias("m")).groupBy("b").agg(F.sum("m").alias("n"), F.max(F.struct("m", "comp")).alias("main")), "group-components")
+    sizes = _table(rows.groupBy("b", "comp").agg(F.count("*").alias("m")).groupBy("b").agg(F.sum("m").alias("n"), F.max(F.struct("m", "comp")).alias("main")), "group-components")
     rows = attach(rows, sizes.select("b", "n", F.col("main.comp").alias("main")), "b", "n")
-    rows = materialize(rows.where(k * F.col("both") >= (1 + SIMILARITY) * F.col("na") - 1e-9).select("b", "node", "na", "both", "comp", (F.col("comp") == F.col("main")).alias("inside")), "near-reference")
+    rows = _table(rows.where(k * F.col("both") >= (1 + SIMILARITY) * F.col("na") - 1e-9).select("b", "node", "na", "both", "comp", (F.col("comp") == F.col("main")).alias("inside")), "near-reference")
     least = F.ceil(SIMILARITY * F.col("na") - 1e-9).cast("int")
     most = F.floor(F.least(F.col("na") / SIMILARITY, k * F.col("both") - F.col("na")) + 1e-9).cast("int")
     u = rows.where(~F.col("inside") & (least <= most)).select("b", F.col("node").alias("u"), F.col("comp").alias("cu"), F.col("na").alias("nu"), F.explode(F.sequence(least, most)).alias("nv"))
@@ -373,7 +388,7 @@ def link(nodes: DataFrame, sets_of) -> tuple[DataFrame | None, DataFrame | None]
 
     def extend(new: DataFrame) -> None:
         nonlocal links, comps
-        new = materialize(new, "links")
+        new = _table(new, "links")
         if new.isEmpty():
             return
         links = new if links is None else links.unionByName(new)
@@ -381,8 +396,8 @@ def link(nodes: DataFrame, sets_of) -> tuple[DataFrame | None, DataFrame | None]
 
     def compared(pairs: DataFrame) -> DataFrame:
         """The links among pairs, which the signatures' estimate goes through first."""
-        pairs = materialize(_cut(pairs), "pairs")
-        return _links(_overlaps(materialize(_estimated(pairs, nodes), "candidates"), sets, sets, False))
+        pairs = _table(_cut(pairs), "pairs")
+        return _links(_overlaps(_table(_estimated(pairs, nodes), "candidates"), sets, sets, False))
 
     while True:
         depth += 1
@@ -395,19 +410,19 @@ def link(nodes: DataFrame, sets_of) -> tuple[DataFrame | None, DataFrame | None]
             extend(found)
             return links, comps
         if depth >= DEPTH:  # one node after the other, until the bucket is settled
-            pivot = materialize(large.groupBy("key").agg(F.first("size").alias("n"), F.min("node").alias("b")), "pivots")
-            left = materialize(attach(large, pivot, "key", "n").select("key", "node", "b"), "pivot-rows").where("node != b")
-            star = materialize(left.select(F.col("node").alias("a"), "b").distinct(), "star-pairs")
+            pivot = _table(large.groupBy("key").agg(F.first("size").alias("n"), F.min("node").alias("b")), "pivots")
+            left = _table(attach(large, pivot, "key", "n").select("key", "node", "b"), "pivot-rows").where("node != b")
+            star = _table(left.select(F.col("node").alias("a"), "b").distinct(), "star-pairs")
             extend(found.unionByName(_links(_overlaps(star, sets, sets, False))))
             buckets = left.select("key", "node")
             continue
-        groups = materialize(_groups(large), "groups")
-        references = materialize(_references(groups, sets), "references")
+        groups = _table(_groups(large), "groups")
+        references = _table(_references(groups, sets), "references")
         star = materialize(_overlaps(groups, sets, references, True), "star")
         like = F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))
-        centre = materialize(star.groupBy("b").agg(F.count("*").alias("n"), F.max(F.struct(like.alias("j"), "a")).alias("c")), "centres")
+        centre = _table(star.groupBy("b").agg(F.count("*").alias("n"), F.max(F.struct(like.alias("j"), "a")).alias("c")), "centres")
         pairs = attach(star.select("a", "b"), centre.select("b", "n", F.col("c.a").alias("centre")), "b", "n")
-        pairs = materialize(pairs.select("a", F.col("centre").alias("b")).where("a != b").distinct(), "centre-pairs")
+        pairs = _table(pairs.select("a", F.col("centre").alias("b")).where("a != b").distinct(), "centre-pairs")
         extend(found.unionByName(_links(_overlaps(pairs, sets, sets, False))))
         extend(compared(_by_size(star, comps)))
         buckets = materialize(_shared(star.select(F.col("a").alias("node"), F.explode("added").alias("s"), "b").select("node", F.xxhash64("b", "s").alias("key"))), "buckets")
@@ -426,7 +441,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     if comps is None:
         table = labelled.select("node", F.col("id").alias("class_id"), F.col("id").alias("keep_id"), F.col("node").alias("keep_node"), "copies")
     else:
-        labelled = materialize(labelled.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")), "labelled")
+        labelled = _table(labelled.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")), "labelled")
         # the least id, nulls last; of equal ids the least node
         least = labelled.groupBy("comp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "node")).alias("l"), F.count("*").alias("size"))
         least = least.select("comp", F.col("l.id").alias("class_id"), F.col("l.id").alias("keep_id"), F.col("l.node").alias("keep_node"), "size")
@@ -438,7 +453,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """One document of each class, all columns as they were."""
     found, _ = classes(docs, id_col, text_col)
     kept = found.where(F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("node") == F.col("keep_node")))
-    kept = materialize(kept.groupBy("id", "node").agg(F.count("*").alias("n")), "kept")
+    kept = _table(kept.groupBy("id", "node").agg(F.count("*").alias("n")), "kept")
     rows = docs.select(F.struct(*[column(c) for c in docs.columns]).alias("d"), column(id_col).alias("id"), normal_text(text_col).alias("t"))
     words = _words()
     node = F.unhex(F.md5(F.when(F.size(words) > 0, F.array_join(words, " ")).otherwise(F.concat(F.lit("\n"), F.col("t")))))
