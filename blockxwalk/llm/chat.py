@@ -202,3 +202,17 @@ def digests(pages: DataFrame, conv_col: str = "conv_id") -> DataFrame:
 
     long_or_text = ", ".join(f"{n} {'string' if n.endswith('sha256') else 'long'}" for n in names[1:])
     return rows.mapInArrow(run, f"conv {kind}, {long_or_text}").withColumnRenamed("conv", conv_col)
+
+
+#: DuckDB: the rows of the registered query, from the turns themselves.
+CHAT_SQL = r"""
+WITH hard AS (SELECT * FROM (VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')) AS h(conv_id, turn, role, text)),
+turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM
+  (SELECT conv_id, turn, role, text FROM conversations UNION ALL SELECT * FROM hard))
+SELECT conv_id::BIGINT AS conv_id, count(*)::BIGINT AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn NULLS FIRST, role, text), '')) AS loss_sha256,
+  sum(length('<|turn|><|text|><|end|>') + length(regexp_replace(role, '<(\\*)\|', '<\\\1|', 'g')) + length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g')))::BIGINT AS formatted_chars
+FROM turns GROUP BY conv_id
+"""

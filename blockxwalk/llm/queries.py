@@ -38,7 +38,7 @@ def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Format every conversation, and a hard one."""
     hard = spark.createDataFrame(HARD_CHAT, "conv_id long, turn long, role string, text string")
     both = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(hard)
-    return chat.digests(chat.encode_pages(both))
+    return chat.digests(chat.encode_pages(both)).drop("n_tokens", "n_loss_tokens")
 
 
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,4 +108,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_mixing": mixing.MIX_SQL}
+    return {"op1_secrets": secrets.scan_sql(), "op2_chat": chat.CHAT_SQL, "op8_mixing": mixing.MIX_SQL}

@@ -145,3 +145,37 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", allow:
 def joined(spans: Column) -> Column:
     """kind:start:end, comma-joined."""
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
+
+
+def scan_sql() -> str:
+    """DuckDB: the rows of the registered query; every window's characters are counted anew."""
+    q = lambda s: "'" + s.replace("'", "''") + "'"
+    space = lambda s: s.replace(r"\x20", " ")
+    kinds = [(0, "assign", space(ASSIGN)), (1, "access", ACCESS), (2, "hex", HEX)] + [(3 + i, c[0], f"[{c[1]}]{{{c[3]},}}") for i, c in enumerate(CLASSES)]
+    found = " UNION ALL ".join(
+        f"SELECT doc_id, t, {k} AS k, {q(kind)} AS kind, regexp_extract_all(t, {q(p)}) AS ms, string_split_regex(t, {q(p)}) AS ps FROM d" for k, kind, p in kinds)
+    suspicious = " OR ".join(
+        f"(k = {3 + i} AND " + " AND ".join([f"regexp_matches(m, {q(n)})" for n in c[5]] + [f"NOT regexp_matches(m, {q(a)})" for a in ALLOW]) + ")" for i, c in enumerate(CLASSES))
+    window = "CASE k " + " ".join(f"WHEN {3 + i} THEN {c[3]}" for i, c in enumerate(CLASSES)) + " END"
+    most = "CASE k " + " ".join(f"WHEN {3 + i} THEN {round(1e6 * c[3] * (math.log2(c[3]) - c[4]))}" for i, c in enumerate(CLASSES)) + " END"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS n, doc_id, coalesce(text, '') AS t FROM documents),
+found AS (SELECT * FROM ({found.replace('SELECT doc_id,', 'SELECT n, doc_id,')}) WHERE len(ms) > 0),
+numbered AS (SELECT n, k, kind, ms, ps, unnest(range(1, len(ms) + 1)) AS i FROM found),
+placed AS (SELECT n, k, kind, ms[i] AS m,
+  list_sum(list_transform(ps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS s FROM numbered),
+base AS (SELECT n, k, kind, s, s + length(m) AS e FROM placed WHERE k IN (1, 2) OR k = 0 AND length(regexp_extract(m, {q(space(ASSIGN))}, 2)) >= {LEAST_SECRET}),
+candidate AS (SELECT n, k, kind, s, m, {window} AS w, {most} AS most FROM placed WHERE {suspicious}),
+windows AS (SELECT *, unnest(range(0, length(m) - w + 1)) AS j FROM candidate),
+letters AS (SELECT n, k, kind, s, w, most, j, unnest(string_split(substr(m, (j + 1)::BIGINT, w), '')) AS letter FROM windows),
+counted AS (SELECT n, k, kind, s, w, most, j, letter, count(*) AS c FROM letters GROUP BY ALL),
+hit AS (SELECT n, k, kind, s, w, j FROM counted GROUP BY ALL HAVING sum(round(1e6 * c * log2(c))) <= any_value(most)),
+marked AS (SELECT *, CASE WHEN j <= lag(j) OVER (PARTITION BY n, k, s ORDER BY j) + w THEN 0 ELSE 1 END AS fresh FROM hit),
+island AS (SELECT *, sum(fresh) OVER (PARTITION BY n, k, s ORDER BY j) AS island FROM marked),
+spans AS (SELECT n, k, kind, s, e FROM base UNION ALL SELECT n, k, kind, s + min(j), s + max(j) + w FROM island GROUP BY n, k, kind, s, w, island),
+joined AS (SELECT n, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
+  string_agg(kind || ':' || s::BIGINT || ':' || e::BIGINT, ',' ORDER BY s, k) FILTER (k < 3) AS base, string_agg(kind || ':' || s::BIGINT || ':' || e::BIGINT, ',' ORDER BY s, k) AS spans
+  FROM spans GROUP BY n)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access, coalesce(n_hex, 0)::BIGINT AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN joined USING (n)
+"""

@@ -1,0 +1,72 @@
+"""BPE against the tokenizers library."""
+
+import hashlib
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from blockxwalk.llm import bpe
+from blockxwalk.llm.queries import op10_bpe
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+KNOWN = Tokenizer.from_file(PATH)
+OWN = bpe.Encoder(bpe.Vocabulary(PATH))
+
+
+def ids(text):
+    return np.frombuffer(OWN.encode(text), np.int32).tolist()
+
+
+def known(text):
+    return KNOWN.encode(text, add_special_tokens=False).ids
+
+
+@given(st.text(max_size=80) | st.text(st.sampled_from(" \n\t'sdre1½éÀ\U0001f600\u0558\u2028肑\U0003f348"), max_size=60))
+@settings(max_examples=600, deadline=None)
+def test_any_text(text):
+    assert ids(text) == known(text)
+
+
+def test_odd_texts():
+    rng = random.Random(1)
+    for t in ["", "<|endoftext|>", "a<|endoftext|><|endoftext|> b", "a" * 5000, " " * 3000 + "x", "thethethe" * 500, "".join(chr(rng.randrange(32, 127)) for _ in range(20_000))]:
+        assert ids(t) == known(t)
+
+
+def test_a_small_memory_changes_nothing(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_PIECES", 3)
+    e = bpe.Encoder(bpe.Vocabulary(PATH))
+    t = "one two three four five six seven one two three"
+    assert np.frombuffer(e.encode(t), np.int32).tolist() == known(t) and len(e) <= 3
+
+
+def test_large_vocabulary_is_refused(monkeypatch):
+    monkeypatch.setattr(bpe, "MAX_VOCAB_BYTES", 10)
+    with pytest.raises(ValueError):
+        bpe.Vocabulary(PATH)
+
+
+def test_rows(spark):
+    texts = [None, "", "hello world", "hello world", "é\U0001f600 <|endoftext|>", "long " * 40_000]
+    df = spark.createDataFrame([(i if i != 3 else 2, t, [1], "x") for i, t in enumerate(texts)], "doc_id long, text string, ids array<int>, decoded string")
+    shared = bpe.share(spark)
+    got = bpe.decode(bpe.encode(df, shared=shared), shared=shared).collect()
+    assert sorted((r["doc_id"], r["ids"], r["decoded"]) for r in got) == sorted((i if i != 3 else 2, known(t or ""), t or "") for i, t in enumerate(texts))
+    assert bpe.decode(bpe.encode(df.limit(0))).collect() == []
+    odd = spark.createDataFrame([(1, [0, -5, 10**6, 172]), (2, None)], "doc_id long, ids array<int>")
+    assert {r["doc_id"]: r["decoded"] for r in bpe.decode(odd).collect()} == {1: "!�", 2: ""}
+
+
+def test_query(spark):
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    rows = op10_bpe(spark, "/root/testdata/sf0.001").collect()
+    assert len(rows) == len(docs)
+    for r in rows:
+        want = known(docs[r["doc_id"]])
+        assert (r["n_tokens"], r["ids_sha256"]) == (len(want), hashlib.sha256(",".join(map(str, want)).encode()).hexdigest())
+        assert r["decoded_sha256"] == hashlib.sha256(KNOWN.decode(want, skip_special_tokens=False).encode()).hexdigest()
