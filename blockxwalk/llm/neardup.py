@@ -155,8 +155,10 @@ def signatures(rows: DataFrame) -> DataFrame:
 # --- joins that a hot key doesn't hold up ----------------------------------------
 
 def _tasks(df: DataFrame) -> DataFrame:
-    """The rows in no more partitions than keep the cores busy twice: tables made of a few columns of few nodes."""
-    return df.coalesce(max(1, 2 * df.sparkSession.sparkContext.defaultParallelism))
+    """The rows in fewer partitions, for tables of a few columns of the nodes that have neighbours: a quarter of a
+    shuffle's, and enough to keep the cores busy twice."""
+    spark = df.sparkSession
+    return df.coalesce(max(1, 2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4))
 
 
 def _table(df: DataFrame, name: str) -> DataFrame:
