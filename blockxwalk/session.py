@@ -71,14 +71,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+# Paths written by this process, by application: ``drop_tables`` removes them.
+_WRITTEN: dict[str, list[str]] = {}
+
+
 def write_table(df: DataFrame, name: str) -> str:
     """Write ``df`` as parquet under the shared checkpoint folder; return the path."""
-    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
     return path
 
 
+def drop_tables(spark: SparkSession) -> int:
+    """Delete the tables that this session has written, once no DataFrame built on them is used any more."""
+    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    return len(paths)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a parquet table in the shared checkpoint folder and read it back.
 

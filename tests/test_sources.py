@@ -112,3 +112,12 @@ def test_read_features_reprojects(spark, tmp_dir):
     spark.createDataFrame([(1, "LINESTRING (-74 40.7, -73.99 40.71)")], "SegmentID int, SHAPE string").write.parquet(p)
     df = read_features(spark, p, 4326, geom_col="SHAPE", target_srid=2263)
     assert df.schema["geom"].metadata == {"srid": 2263} and 900_000 < df.first().geom[0][0].x < 1_100_000
+
+
+def test_written_tables_can_be_dropped(spark, monkeypatch):
+    from blockxwalk import session
+    monkeypatch.setattr(session, "_WRITTEN", {})
+    path = session.write_table(spark.range(3), "three")
+    assert spark.read.parquet(path).count() == 3
+    assert session.drop_tables(spark) == 1
+    assert not os.path.exists(path.removeprefix("file:"))
