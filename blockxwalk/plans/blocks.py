@@ -112,13 +112,14 @@ def street_ranges(streets: DataFrame) -> DataFrame:
 NAME_COLS = ("physical_id", "block_name", "primary_street", "addr_low", "addr_high", "name_source")
 
 
-def names_auto(ranges: DataFrame, blocks: DataFrame) -> DataFrame:
+def names_auto(ranges: DataFrame, blocks: DataFrame, keep=()) -> DataFrame:
     """Algorithmic name per block: the longest street (then widest span, then
     street name) gives "low-high STREET"; blocks without any usable address
-    get "[No addr] <first street>".  Every range's block is one of the blocks."""
+    get "[No addr] <first street>".  Every range's block is one of the blocks, whose
+    columns ``keep`` are passed on."""
     best = top1_by(ranges, KEY, [("street_length", "desc"), ("addr_span", "desc"), ("street", "asc")],
                    cols=["street", "addr_low", "addr_high", "street_length", "addr_span"])
-    j = left_outer(blocks.select(KEY, "streets"), best.withColumn("named", F.lit(True)), KEY)
+    j = left_outer(blocks.select(KEY, "streets", *keep), best.withColumn("named", F.lit(True)), KEY)
     named = F.coalesce("named", F.lit(False))
     primary = extract_or_null("streets", r"^[^;]+")
     return j.select(
@@ -126,10 +127,10 @@ def names_auto(ranges: DataFrame, blocks: DataFrame) -> DataFrame:
         F.when(named, F.concat(int_text("addr_low"), F.lit("-"), int_text("addr_high"), F.lit(" "), na_text("street")))
         .otherwise(F.concat(F.lit(NO_ADDR_PREFIX), na_text(truncate(primary, NAME_WIDTH)))).alias("block_name"),
         F.when(named, F.col("street")).otherwise(primary).alias("primary_street"), "addr_low", "addr_high",
-        F.when(named, F.lit(SOURCE_AUTO)).otherwise(F.lit(SOURCE_NO_ADDR)).alias("name_source"))
+        F.when(named, F.lit(SOURCE_AUTO)).otherwise(F.lit(SOURCE_NO_ADDR)).alias("name_source"), *keep)
 
 
-def names_merged(auto: DataFrame, overrides: DataFrame | None) -> DataFrame:
+def names_merged(auto: DataFrame, overrides: DataFrame | None, keep=()) -> DataFrame:
     """Auto names with surveyed values winning wherever present."""
     if overrides is None:
         return auto.withColumn("notes", F.lit(None).cast("string"))
@@ -139,7 +140,7 @@ def names_merged(auto: DataFrame, overrides: DataFrame | None) -> DataFrame:
                         extra=("notes",))
     j = j.withColumn("name_source", F.when(F.col("block_name_manual").isNotNull(), F.lit(SOURCE_MANUAL))
                      .otherwise(F.col("name_source")))
-    return j.select(*NAME_COLS, "notes")
+    return j.select(*NAME_COLS, "notes", *keep)
 
 
 def name_coverage(names: DataFrame) -> DataFrame:
@@ -205,9 +206,12 @@ def block_id_summary(xwalk: DataFrame, order: str = "segment_id", lists=tuple(ID
     return out.select(KEY, *[c for n in lists for c in ([n, "n_segments"] if n == "segment_ids" else [n])])
 
 
-def master(blocks: DataFrame, names: DataFrame, summary: DataFrame) -> DataFrame:
-    m = blocks.select(KEY, "n_segments", "total_length_ft", "boro", "cd", "ct2020")
-    m = left_outer(m, names.select(*NAME_COLS), KEY)
+BLOCK_COLS = ("n_segments", "total_length_ft", "boro", "cd", "ct2020")
+
+
+def master(named: DataFrame, summary: DataFrame) -> DataFrame:
+    """Blocks with their names (``names_merged`` that keeps ``BLOCK_COLS``) and census lists."""
+    m = named.select(KEY, *BLOCK_COLS, *[c for c in NAME_COLS if c != KEY])
     return left_outer(m, summary.select(KEY, *CENSUS_LISTS), KEY)
 
 

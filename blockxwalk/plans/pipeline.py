@@ -172,7 +172,8 @@ class BlockCrosswalk:
 
     @cached_property
     def master(self):
-        return B.master(self.physical_blocks, self.block_names, B.block_id_summary(self.id_crosswalk, lists=B.CENSUS_LISTS))
+        named = B.names_merged(B.names_auto(self.street_ranges, self.physical_blocks, B.BLOCK_COLS), self.overrides, B.BLOCK_COLS)
+        return B.master(named, B.block_id_summary(self.id_crosswalk, lists=B.CENSUS_LISTS))
 
     @cached_property
     def master_totals(self):
