@@ -21,11 +21,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import column, normal_text, slices
+from .common import chunks, column, kept, normal_text
 
 #: A larger vocabulary file is refused: it is broadcast to every executor.
 MAX_VOCAB_BYTES = 64 << 20
@@ -155,17 +156,6 @@ class Encoder(dict):
         return b"".join(out)
 
 
-_ENCODERS: list[tuple[object, Encoder]] = []  # of this worker process: the last vocabulary's
-
-
-def _encoder(shared) -> Encoder:
-    """The worker's encoder, with what it remembers from earlier tasks."""
-    vocabulary = shared.value
-    if not _ENCODERS or _ENCODERS[0][0] is not vocabulary:
-        _ENCODERS[:] = [(vocabulary, Encoder(vocabulary))]
-    return _ENCODERS[0][1]
-
-
 def share(spark: SparkSession, vocabulary: str | None = None):
     """The vocabulary as a broadcast variable, for several calls of ``encode`` and ``decode``."""
     return spark.sparkContext.broadcast(Vocabulary(vocabulary or default_vocabulary()))
@@ -177,14 +167,13 @@ def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shared
     rows = df.select(column(id_col).alias("id"), normal_text(text_col).alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(shared)
+        encoder = kept(shared.value, Encoder)
         for b in batches:
-            texts = b.column(1).to_pylist()
-            for i, j in slices(texts):
-                found = [encoder.encode(t) for t in texts[i:j]]
+            for part in chunks(b):
+                found = [encoder.encode(t) for t in part.column(1).to_pylist()]
                 ends = np.cumsum([0, *(len(x) // 4 for x in found)]).astype(np.int32)
                 values = pa.array(np.frombuffer(b"".join(found), np.int32))
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.ListArray.from_arrays(pa.array(ends), values)], ["id", "ids"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(ends), values)], ["id", "ids"])
 
     kind = rows.schema["id"].dataType.simpleString()
     return rows.mapInArrow(run, f"id {kind}, ids array<int>").withColumnRenamed("id", id_col)
@@ -199,15 +188,17 @@ def decode(df: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", shared=N
         strings = shared.value.strings
         n = len(strings)
         for b in batches:
-            ids = b.column(1)
-            values, ends = ids.values.fill_null(-1).to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
-            texts = []
-            for i, j in zip(ends[:-1], ends[1:]):
-                own = values[i:j]
-                if len(own) and (own.min() < 0 or own.max() >= n):
-                    own = own[(own >= 0) & (own < n)]
-                texts.append(b"".join(map(strings.__getitem__, own.tolist())).decode("utf-8", "replace"))
-            yield pa.RecordBatch.from_arrays([b.column(0), ids, pa.array(texts, pa.string())], ["id", "ids", "decoded"])
+            for part in chunks(b):
+                ids = part.column(1)
+                values = ids.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
+                ends = np.concatenate([[0], np.cumsum(pc.list_value_length(ids).to_numpy(zero_copy_only=False))])
+                texts = []
+                for i, j in zip(ends[:-1], ends[1:]):
+                    own = values[i:j]
+                    if len(own) and (own.min() < 0 or own.max() >= n):
+                        own = own[(own >= 0) & (own < n)]
+                    texts.append(b"".join(map(strings.__getitem__, own.tolist())).decode("utf-8", "replace"))
+                yield pa.RecordBatch.from_arrays([part.column(0), ids, pa.array(texts, pa.string())], ["id", "ids", "decoded"])
 
     kind = rows.schema["id"].dataType.simpleString()
     return rows.mapInArrow(run, f"id {kind}, ids array<int>, decoded string").withColumnRenamed("id", id_col)

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column
+from .common import column, kept
 
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
 #: Rendered characters after which a page ends, at the end of a turn.
@@ -96,16 +96,6 @@ def _tokenizer(spec: str):
     return t
 
 
-_TOKENIZERS: list[tuple[object, object]] = []  # of this worker process
-
-
-def _shared_tokenizer(shared):
-    spec = shared.value
-    if not _TOKENIZERS or _TOKENIZERS[0][0] is not spec:
-        _TOKENIZERS[:] = [(spec, _tokenizer(spec))]
-    return _TOKENIZERS[0][1]
-
-
 def encode_pages(conversations: DataFrame, tokenizer: str | None = None, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", loss_role: str = "assistant") -> DataFrame:
     """Pages of the formatted conversations: (conv, page, formatted, n_turns, ids, loss_mask, loss_texts).
 
@@ -129,7 +119,7 @@ def encode_pages(conversations: DataFrame, tokenizer: str | None = None, conv_co
                       ("ids", pa.list_(pa.int32())), ("loss_mask", pa.list_(pa.bool_())), ("loss_texts", pa.list_(pa.string()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = _shared_tokenizer(shared)
+        t = kept(shared.value, _tokenizer)
         state = {"conv": None, "turns": [], "chars": 0, "page": -1, "waiting": 0}
         done: list[dict] = []
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
-__all__ = ["column", "importable", "let", "map_batches", "materialize", "normal_text", "read_table", "slices"]
+__all__ = ["chunks", "column", "importable", "kept", "let", "materialize", "normal_text", "read_table"]
 
-#: Characters that one Python-side step looks at together; an Arrow batch with
-#: more is worked through in slices, so memory follows the longest text only.
-SLICE_CHARS = 4_000_000
+#: Rows that one Python-side step takes up together, and their characters, about:
+#: a worker's memory follows these and the longest text, not the Arrow batch.
+CHUNK_ROWS, CHUNK_BYTES = 512, 4_000_000
 
 
 def importable(spark: SparkSession) -> None:
@@ -51,22 +51,18 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), lambda x: use(x))[0]
 
 
-def slices(texts: list[str], most: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
-    """Ranges (from, to) of ``texts`` of about ``most`` characters, one text at least."""
-    start, size = 0, 0
-    for i, t in enumerate(texts):
-        if i > start and size + len(t) > most:
-            yield start, i
-            start, size = i, 0
-        size += len(t)
-    if start < len(texts):
-        yield start, len(texts)
-
-
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``mapInArrow`` with a function of one batch; ``fn`` must be picklable."""
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
-                yield from fn(b)
-    return df.mapInArrow(run, schema)
+def chunks(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch of at most CHUNK_ROWS rows and about CHUNK_BYTES bytes, one row at least."""
+    rows = max(1, min(CHUNK_ROWS, int(CHUNK_BYTES * b.num_rows / max(1, b.nbytes))))
+    for i in range(0, b.num_rows, rows):
+        yield b.slice(i, rows)
+
+
+_KEPT: list = []  # of this worker process: the last (value, what was made of it)
+
+
+def kept(value: object, make: Callable[[object], object]) -> object:
+    """``make(value)``, kept for later tasks of this worker until another value comes: a worker holds one such thing."""
+    if not _KEPT or _KEPT[0] is not value:
+        _KEPT[:] = [value, make(value)]
+    return _KEPT[1]

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, normal_text, slices
+from .common import chunks, column, kept, normal_text
 
 #: Labelled documents of each class that the model is fitted on, at most.
 SAMPLE = 4000
@@ -180,14 +180,16 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Features()
         for b in batches:
-            bags = []
-            for t in b.column(1).to_pylist():
-                bag = []
-                for m in SENTENCE.finditer(t):
-                    if found := [f for w in set(m.group().lower().split()) for f in known[w]]:
-                        bag.append(found)
-                bags.append(bag)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array([len(t) for t in b.column(1).to_pylist()], pa.int64()), pa.array(bags, pa.list_(pa.list_(pa.int32())))], ["id", "y", "n", "bag"])
+            for part in chunks(b):
+                bags, sizes = [], []
+                for t in part.column(1).to_pylist():
+                    bag = []
+                    for m in SENTENCE.finditer(t):
+                        if found := [f for w in set(m.group().lower().split()) for f in known[w]]:
+                            bag.append(found)
+                    bags.append(bag)
+                    sizes.append(len(t))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(sizes, pa.int64()), pa.array(bags, pa.list_(pa.list_(pa.int32())))], ["id", "y", "n", "bag"])
 
     kind = rows.schema["id"].dataType.simpleString()
     found = rows.select("id", "t", "y").mapInArrow(extract, f"id {kind}, y int, n long, bag array<array<int>>")
@@ -209,16 +211,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return _train(bags, y, fold)
 
 
-_WEIGHTS: list[tuple[object, Weights]] = []  # of this worker process: the last model's
-
-
 def _weights(shared) -> Weights | None:
-    model = shared.value
-    if model is None:
-        return None
-    if not _WEIGHTS or _WEIGHTS[0][0] is not model:
-        _WEIGHTS[:] = [(model, Weights(model))]
-    return _WEIGHTS[0][1]
+    return None if shared.value is None else kept(shared.value, Weights)
 
 
 def score(docs: DataFrame, model: dict | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -231,10 +225,9 @@ def score(docs: DataFrame, model: dict | None, id_col: str = "doc_id", text_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = _weights(shared)
         for b in batches:
-            texts = b.column(1).to_pylist()
-            for i, j in slices(texts):
+            for part in chunks(b):
                 scores, found = [], []
-                for t in texts[i:j]:
+                for t in part.column(1).to_pylist():
                     if weights is None:
                         scores.append(0.0)
                         found.append([])
@@ -242,7 +235,7 @@ def score(docs: DataFrame, model: dict | None, id_col: str = "doc_id", text_col:
                     spans, odds = weights.sentences(t)
                     scores.append(weights.document(odds))
                     found.append([{"start": spans[k][0], "end": spans[k][1], "p": float(1 / (1 + np.exp(-odds[k])))} for k in np.flatnonzero(odds > 0)])
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(scores, pa.float64()), pa.array(found, span)], ["id", "score", "sentences"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(scores, pa.float64()), pa.array(found, span)], ["id", "score", "sentences"])
 
     return rows.mapInArrow(run, f"id {kind}, score double, sentences array<struct<start:int,end:int,p:double>>").withColumnRenamed("id", id_col)
 
@@ -258,6 +251,7 @@ def keep_clean(docs: DataFrame, model: dict | None, text_col: str = "text", cut:
             if weights is None:
                 yield b
                 continue
-            yield b.filter(pa.array([weights.document(weights.sentences(t or "")[1]) < cut for t in b.column(at).to_pylist()], pa.bool_()))
+            for part in chunks(b):
+                yield part.filter(pa.array([weights.document(weights.sentences(t or "")[1]) < cut for t in part.column(at).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
