@@ -108,11 +108,15 @@ def _words() -> Column:
     return F.regexp_extract_all(F.lower(F.col("t")), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
 
 
-def nodes_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False) -> DataFrame:
+def _node() -> Column:
+    """Digest of the column w of words; without words, of the text t."""
+    return F.unhex(F.md5(F.when(F.size("w") > 0, F.array_join("w", " ")).otherwise(F.concat(F.lit("\n"), F.col("t")))))
+
+
+def nodes_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, node, words): by row the digest of its words and the words' hashes."""
     rows = docs.select(column(id_col).alias("id"), normal_text(text_col).alias("t")).select("id", "t", _words().alias("w"))
-    node = F.unhex(F.md5(F.when(F.size("w") > 0, F.array_join("w", " ")).otherwise(F.concat(F.lit("\n"), F.col("t")))))
-    return rows.select("id", node.alias("node"), F.transform("w", lambda w: F.xxhash64(w)).alias("words"))
+    return rows.select("id", _node().alias("node"), F.transform("w", lambda w: F.xxhash64(w)).alias("words"))
 
 
 def _sliced(b: pa.RecordBatch, name: str) -> Iterator[tuple[int, int, list[np.ndarray]]]:
@@ -457,9 +461,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     kept = found.where(F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("node") == F.col("keep_node")))
     kept = _table(kept.groupBy("id", "node").agg(F.count("*").alias("n")), "kept")
     rows = docs.select(F.struct(*[column(c) for c in docs.columns]).alias("d"), column(id_col).alias("id"), normal_text(text_col).alias("t"))
-    words = _words()
-    node = F.unhex(F.md5(F.when(F.size(words) > 0, F.array_join(words, " ")).otherwise(F.concat(F.lit("\n"), F.col("t")))))
-    rows = rows.select("d", "id", node.alias("node"))
+    rows = rows.select("d", "id", "t", _words().alias("w")).select("d", "id", _node().alias("node"))
     few = kept.count() <= BROADCAST_IDS
     same = rows["id"].eqNullSafe(kept["id"]) & (rows["node"] == kept["node"])
     once = rows.join(F.broadcast(kept) if few else kept, same, "left_semi")
