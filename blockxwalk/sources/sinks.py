@@ -96,8 +96,9 @@ def write_all(x, out_dir: str, fmt: str = "parquet") -> dict[str, str]:
         p = f"{out_dir.rstrip('/')}/{name}"
         write_table(getattr(x, attr), p, fmt=fmt, sort=sort)
         paths[name] = p
-    # the blocks' geometry as rows of parts: no block's geometry is collected
-    for name, attr in (("physical_blocks", "physical_blocks"), ("physical_block_parts", "block_parts")):
-        paths[name] = f"{out_dir.rstrip('/')}/{name}"
-        write_table(getattr(x, attr), paths[name])
+    base = out_dir.rstrip("/")
+    paths |= {name: f"{base}/{name}" for name in ("physical_blocks", "physical_block_parts")}
+    write_table(x.physical_blocks, paths["physical_blocks"])
+    # the blocks' geometry as a row for each part: no block's geometry is collected
+    write_features(x.block_parts.select("physical_id", F.array("part").alias("geom")), paths["physical_block_parts"])
     return paths

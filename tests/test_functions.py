@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from blockxwalk.functions import keys as K
 from blockxwalk.functions import text as X

@@ -2,7 +2,6 @@ import json
 import os
 import struct
 
-from pyspark.sql import functions as F
 
 from blockxwalk.schemas import PAD_ADDR
 from blockxwalk.sources.readers import (clean_names, ensure_overrides, read_delimited, read_features,
