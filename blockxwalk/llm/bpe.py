@@ -161,6 +161,18 @@ def share(spark: SparkSession, vocabulary: str | None = None):
     return spark.sparkContext.broadcast(Vocabulary(vocabulary or default_vocabulary()))
 
 
+def text_of(ids: np.ndarray, strings: list[bytes]) -> str:
+    """The vocabulary's strings concatenated; unknown ids add nothing."""
+    if len(ids) and (ids.min() < 0 or ids.max() >= len(strings)):
+        ids = ids[(ids >= 0) & (ids < len(strings))]
+    return b"".join(map(strings.__getitem__, ids.tolist())).decode("utf-8", "replace")
+
+
+def _lists(found: list[bytes]) -> pa.ListArray:
+    ends = np.cumsum([0, *(len(x) // 4 for x in found)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(found), np.int32)))
+
+
 def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shared=None) -> DataFrame:
     """(id, ids array<int>) of every row's whole text."""
     shared = shared or share(df.sparkSession)
@@ -171,9 +183,7 @@ def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shared
         for b in batches:
             for part in chunks(b):
                 found = [encoder.encode(t) for t in part.column(1).to_pylist()]
-                ends = np.cumsum([0, *(len(x) // 4 for x in found)]).astype(np.int32)
-                values = pa.array(np.frombuffer(b"".join(found), np.int32))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(ends), values)], ["id", "ids"])
+                yield pa.RecordBatch.from_arrays([part.column(0), _lists(found)], ["id", "ids"])
 
     kind = rows.schema["id"].dataType.simpleString()
     return rows.mapInArrow(run, f"id {kind}, ids array<int>").withColumnRenamed("id", id_col)
@@ -186,19 +196,30 @@ def decode(df: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", shared=N
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         strings = shared.value.strings
-        n = len(strings)
         for b in batches:
             for part in chunks(b):
                 ids = part.column(1)
                 values = ids.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
                 ends = np.concatenate([[0], np.cumsum(pc.list_value_length(ids).to_numpy(zero_copy_only=False))])
-                texts = []
-                for i, j in zip(ends[:-1], ends[1:]):
-                    own = values[i:j]
-                    if len(own) and (own.min() < 0 or own.max() >= n):
-                        own = own[(own >= 0) & (own < n)]
-                    texts.append(b"".join(map(strings.__getitem__, own.tolist())).decode("utf-8", "replace"))
+                texts = [text_of(values[i:j], strings) for i, j in zip(ends[:-1], ends[1:])]
                 yield pa.RecordBatch.from_arrays([part.column(0), ids, pa.array(texts, pa.string())], ["id", "ids", "decoded"])
 
     kind = rows.schema["id"].dataType.simpleString()
     return rows.mapInArrow(run, f"id {kind}, ids array<int>, decoded string").withColumnRenamed("id", id_col)
+
+
+def round_trip(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shared=None) -> DataFrame:
+    """(id, ids, decoded): ``encode`` and ``decode`` in one pass, by one worker a task."""
+    shared = shared or share(df.sparkSession)
+    rows = df.select(column(id_col).alias("id"), normal_text(text_col).alias("t"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, strings = kept(shared.value, Encoder), shared.value.strings
+        for b in batches:
+            for part in chunks(b):
+                found = [encoder.encode(t) for t in part.column(1).to_pylist()]
+                texts = [text_of(np.frombuffer(x, np.int32), strings) for x in found]
+                yield pa.RecordBatch.from_arrays([part.column(0), _lists(found), pa.array(texts, pa.string())], ["id", "ids", "decoded"])
+
+    kind = rows.schema["id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"id {kind}, ids array<int>, decoded string").withColumnRenamed("id", id_col)

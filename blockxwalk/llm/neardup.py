@@ -58,7 +58,8 @@ REFERENCE_NODES = 48
 HOT, HOT_ROWS = 1 / 500, 2000
 #: Ids up to so many are broadcast (16 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 200_000
-WORDS_TOGETHER = 1_000_000
+#: Words that a worker takes up together, about.
+WORDS_TOGETHER = 400_000
 
 
 # --- signatures ---------------------------------------------------------------

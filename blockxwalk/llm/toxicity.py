@@ -34,7 +34,8 @@ SAMPLE = 4000
 #: Characters of them that the driver takes at most, all classes together; whole texts only.
 SAMPLE_CHARS = 40_000_000
 BITS, EPOCHS, RATE, LASSO, LEAST_DOCS = 18, 30, 0.2, 0.01, 5
-CACHE_WORDS = 300_000
+#: Words that a worker remembers, with their weight or their features.
+CACHE_WORDS, CACHE_FEATURES = 200_000, 40_000
 
 SENTENCE = re.compile(r"[^.!?\n]+")
 WORD = re.compile(r"\w+")
@@ -55,7 +56,7 @@ def features(token: str) -> list[int]:
 
 class _Features(dict):
     def __missing__(self, token: str) -> list[int]:
-        if len(self) >= CACHE_WORDS:
+        if len(self) >= CACHE_FEATURES:
             self.clear()
         self[token] = found = features(token)
         return found

@@ -48,9 +48,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every copy, and digests of them and of the text decoded from them."""
     importable(spark)
-    shared = bpe.share(spark)
-    both = bpe.decode(bpe.encode(docs, shared=shared), shared=shared)
-    return both.select(
+    return bpe.round_trip(docs).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
