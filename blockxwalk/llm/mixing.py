@@ -44,9 +44,9 @@ def rates(docs: DataFrame, weights: dict[str | None, float] | None = None, alpha
         given = docs.sparkSession.createDataFrame([(k, float(w)) for k, w in weights.items()] or [(None, 0.0)], "s string, w double")
         volume = volume.join(given, F.col("source").eqNullSafe(F.col("s")), "left").select("source", "volume", F.coalesce("w", F.lit(0.0)).alias("w"))
     volume = materialize(volume, "mix-volumes")
-    total = volume.agg(F.sum("volume").alias("t"), F.sum("w").alias("w"))  # one row
-    rate = F.when(F.col("total.w") > 0, F.col("total.t").cast("double") * F.col("v.w") / F.col("total.w") / F.col("v.volume")).otherwise(F.lit(0.0))
-    out = volume.alias("v").join(F.broadcast(total.alias("total")), F.lit(True)).select("v.source", "v.volume", rate.alias("rate"))
+    total = volume.agg(F.sum("volume").alias("t"), F.sum("w").alias("w")).first()  # one row
+    rate = F.lit(float(total["t"] or 0)) * F.col("w") / F.lit(float(total["w"])) / F.col("volume") if total["w"] else F.lit(0.0)
+    out = volume.select("source", "volume", rate.alias("rate"))
     out = out.withColumn("parts", F.greatest(F.ceil(F.col("rate") / PART), F.lit(1)).cast("int"))
     return out.withColumn("cdf", _cdf(F.col("rate") / F.col("parts")))
 
