@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import chunks, column, kept, normal_text
@@ -223,3 +223,9 @@ def round_trip(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
 
     kind = rows.schema["id"].dataType.simpleString()
     return rows.mapInArrow(run, f"id {kind}, ids array<int>, decoded string").withColumnRenamed("id", id_col)
+
+
+def joined(ids: Column) -> Column:
+    """The decimal ids joined by commas: one string a row, no array of strings."""
+    text = F.to_json(ids)
+    return F.substring(text, F.lit(2), F.length(text) - 2)

@@ -15,7 +15,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every document."""
     return bpe.round_trip(read_table(spark, sf_dir, "documents")).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(bpe.joined(F.col("ids")), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
 
 

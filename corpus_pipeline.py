@@ -50,7 +50,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     importable(spark)
     return bpe.round_trip(docs).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(bpe.joined(F.col("ids")), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
 
 
