@@ -80,6 +80,40 @@ def test_counts_and_scores(spark):
     assert urls._scores(["", None], model["tables"]).tolist() == [0.0, 0.0]
 
 
+def test_counts_grow_with_the_input(spark):
+    """Half a million grams are counted apart from each other: scores equal plain counts'."""
+    rng = random.Random(7)
+    train = [("x://" + "".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(44)), bool(i % 2)) for i in range(14_000)]
+    df = spark.createDataFrame(train, "url string, accepted boolean")
+    model = urls.fit(df)
+    used = df.where(f"pmod(xxhash64(url), {urls.FOLDS}) > 0").collect()
+    counts = {a: [Counter() for _ in range(urls.ORDER + 2)] for a in (True, False)}  # by length of the gram
+    for u, a in used:
+        t = "^" * urls.ORDER + u
+        for i in range(urls.ORDER, len(t)):
+            for n in range(urls.ORDER + 2):
+                counts[a][n][t[i + 1 - n:i + 1] if n else ""] += 1
+    contexts = {a: Counter() for a in counts}
+    for a in counts:
+        for own in counts[a][1:]:
+            for gram, n in own.items():
+                contexts[a][gram[:-1]] += n
+    assert len(counts[True][urls.ORDER + 1]) + len(counts[False][urls.ORDER + 1]) > 400_000
+    some = [used[0][0], used[1][0], "x://" + "ab1" * 14, "y://new.org/"]
+    expected = []
+    for u in some:
+        t, total = "^" * urls.ORDER + u, 0.0
+        for i in range(urls.ORDER, len(t)):
+            for a, sign in ((True, 1), (False, -1)):
+                p = 1 / 256
+                for n in range(1, urls.ORDER + 2):
+                    gram = t[i + 1 - n:i + 1]
+                    p = (counts[a][n][gram] + urls.MU * p) / (contexts[a][gram[:-1]] + urls.MU)
+                total += sign * math.log(p)
+        expected.append(total / len(u))
+    assert np.allclose(urls._scores(some, model["tables"]), expected, rtol=0, atol=1e-6)
+
+
 def test_query(spark):
     pages = {r["page_id"]: r["url"] for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()}
     got = op7_urls(spark, "/root/testdata/sf0.001").collect()
