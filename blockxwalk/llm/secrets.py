@@ -39,6 +39,10 @@ CLASSES = (
     ("entropy_hex", "0-9a-f", "0123456789abcdef", 16, 3.0, ("[0-9]", "[a-f]")),
     ("entropy_base64", "A-Za-z0-9+/_-", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-", 20, 3.7, ("[0-9]", "[A-Za-z]")),
 )
+#: Upper-case hexadecimal keys, whose 16 symbols rarely reach the threshold of the base64 class.  ``scan_sql`` has CLASSES only
+#: and doesn't know these spans.
+UPPER_HEX = ("entropy_upper_hex", "0-9A-F", "0123456789ABCDEF", 16, 3.0, ("[0-9]", "[A-F]"))
+SCANNED = (*CLASSES, UPPER_HEX)
 #: Candidates that these patterns find are no secrets: UUIDs, rows of the alphabet, dummies, paths of words.
 ALLOW = (
     r"(?i)[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}",
@@ -130,10 +134,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", allow:
         "id",
         F.filter(spans_of(F.col("t"), ASSIGN), lambda x: F.length(F.regexp_extract(x["m"], ASSIGN, 2)) >= LEAST_SECRET).alias("f0"),
         spans_of(F.col("t"), ACCESS).alias("f1"),
-        *[spans_of(F.col("t"), f"[{c[1]}]{{{c[3]},}}").alias(f"f{2 + i}") for i, c in enumerate(CLASSES)])
+        *[spans_of(F.col("t"), f"[{c[1]}]{{{c[3]},}}").alias(f"f{2 + i}") for i, c in enumerate(SCANNED)])
     # hex runs of 16 and more hold the base kind's of 32 and more
     named = [("assign", F.col("f0")), ("access", F.col("f1")), ("hex", F.filter("f2", lambda x: x["e"] - x["s"] >= 32))]
-    named += [(c[0], _entropy_spans(F.col(f"f{2 + i}"), c, allow)) for i, c in enumerate(CLASSES)]
+    named += [(c[0], _entropy_spans(F.col(f"f{2 + i}"), c, allow)) for i, c in enumerate(SCANNED)]
 
     def labelled(k: int, kind: str, a: Column) -> Column:
         return F.transform(a, lambda x: F.struct(x["s"].alias("start"), F.lit(k).alias("k"), F.lit(kind).alias("kind"), x["e"].alias("end")))

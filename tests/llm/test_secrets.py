@@ -83,6 +83,19 @@ def test_allow_list_spares_base(spark):
     assert [s["kind"] for s in spans] == ["assign", "hex"]
 
 
+def test_upper_case_hex_keys(spark):
+    """Upper-case keys are found as lower-case ones are; digits or letters alone are none."""
+    rng = random.Random(11)
+    keys = ["".join(rng.choice("0123456789abcdef") for _ in range(n)) for n in (32, 40, 64) * 30]
+    keys.append("9233a8ecf7c5b09fe5949719b6b82bc439e9329b")
+    df = spark.createDataFrame([(i, f'TOKEN = " {k}`') for i, k in enumerate(keys)] + [(i + 1000, f'TOKEN = " {k.upper()}`') for i, k in enumerate(keys)] + [(5000, "4" * 9 + "1234567890" * 2 + " ABCDEFABCDEF" * 2)], "doc_id long, text string")
+    got = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["spans"]] for r in secrets.scan(df).collect()}
+    for i in range(len(keys)):
+        lower = [s[1:] for s in got[i] if s[0] == "entropy_hex"]
+        assert lower and [s[1:] for s in got[i + 1000] if s[0] == "entropy_upper_hex"] == lower
+    assert not [s for s in got[5000] if s[0] == "entropy_upper_hex"]
+
+
 @pytest.mark.parametrize("sf", ["sf0.001"])
 def test_query(spark, sf):
     rows = op1_secrets(spark, f"/root/testdata/{sf}").collect()
