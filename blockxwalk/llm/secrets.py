@@ -6,8 +6,8 @@ window slides along, and the Shannon entropy of its characters follows from
 incremental counts: the count of the entering and of the leaving character
 change, and with them the sum of c log2 c, held in whole millionths, so that no
 rounding adds up.  Windows whose entropy reaches the class's threshold are
-merged into spans.  A candidate that an allow-list pattern matches is
-suppressed; base spans stay.
+merged into spans.  What allow-list patterns match is cut out of a candidate, and
+what is left of it on either side is scanned by itself; base spans stay.
 
 Positions come without any Python: a text is split by a pattern, and the
 lengths of the pieces and of the matches add up to code-point offsets.
@@ -40,10 +40,10 @@ CLASSES = (
     ("entropy_base64", "A-Za-z0-9+/_-", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-", 20, 3.7, ("[0-9]", "[A-Za-z]")),
 )
 #: Upper-case hexadecimal keys, whose 16 symbols rarely reach the threshold of the base64 class.  ``scan_sql`` has CLASSES only
-#: and doesn't know these spans.
+#: and doesn't know these spans; it also drops a candidate as a whole where an allow-list pattern matches.
 UPPER_HEX = ("entropy_upper_hex", "0-9A-F", "0123456789ABCDEF", 16, 3.0, ("[0-9]", "[A-F]"))
 SCANNED = (*CLASSES, UPPER_HEX)
-#: Candidates that these patterns find are no secrets: UUIDs, rows of the alphabet, dummies, paths of words.
+#: What these patterns find is no secret: UUIDs, rows of the alphabet, dummies, paths of words.
 ALLOW = (
     r"(?i)[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}",
     r"(?i)0123456789abcdef|abcdefghijklmnop|qrstuvwxyz",
@@ -111,18 +111,36 @@ def high_entropy(candidate: Column, alphabet: str, window: int, bits: float) ->
     return F.aggregate(moves, start, lambda s, x: let(step(s, x), mark), lambda s: s["hits"])
 
 
+def _rest(run: Column, pattern: str) -> Column:
+    """array<struct<s, e, m>>: what is left of a run (struct s, e, m) before, between and after the pattern's matches."""
+    def piece(cut: Column) -> Column:
+        def at(i: Column) -> Column:
+            return run["s"] + F.coalesce(F.get(cut, i - 1)["e"], F.lit(0))
+
+        return F.transform(F.split(run["m"], pattern, -1), lambda p, i: F.struct(at(i).alias("s"), (at(i) + F.length(p)).alias("e"), p.alias("m")))
+
+    return let(spans_of(run["m"], pattern), piece)
+
+
 def _entropy_spans(found: Column, kind: tuple, allow: tuple[str, ...]) -> Column:
     """Spans of one class in its candidates (structs s, e, m), as array<struct<s, e>>."""
     _, _, alphabet, window, bits, needs = kind
-    def suspicious(x: Column) -> Column:
-        test = F.lit(True)
+    def holds(x: Column) -> Column:
+        test = F.length(x["m"]) >= window
         for need in needs:
             test = test & x["m"].rlike(need)
-        for pattern in allow:
+        return test
+
+    def suspicious(x: Column) -> Column:
+        test = holds(x)
+        for pattern in allow:  # anchored ones can match what is left, too
             test = test & ~x["m"].rlike(pattern)
         return test
 
-    keep = F.filter(found, suspicious)
+    keep = F.filter(found, holds)
+    if allow:
+        harmless = "|".join(f"(?:{pattern})" for pattern in allow)
+        keep = F.filter(F.flatten(F.transform(keep, lambda x: F.when(x["m"].rlike(harmless), _rest(x, harmless)).otherwise(F.array(x)))), suspicious)
     return F.flatten(F.transform(keep, lambda x: F.transform(
         high_entropy(x["m"], alphabet, window, bits), lambda h: F.struct((x["s"] + h["s"]).alias("s"), (x["s"] + h["e"]).alias("e")))))
 

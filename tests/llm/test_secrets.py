@@ -96,6 +96,20 @@ def test_upper_case_hex_keys(spark):
     assert not [s for s in got[5000] if s[0] == "entropy_upper_hex"]
 
 
+def test_allow_list_spares_the_rest_of_a_run(spark):
+    """A key in the same run as a harmless word is found, the word by itself isn't."""
+    key = "9f8Hj2Kq7LmZ3xWv5Tb1NcRy4PdG6sQe"
+    runs = {f"v1/example/{key}": 11, f"test-key/{key}": 9, f"{key}xxxxxxxx": 0, f"/{key}/example/{key}": None, "123e4567-e89b-12d3-a456-426614174000": None, "0123456789abcdef" * 3: None,
+            "9c3f1a7be24d8065xxxxxxxx9c3f1a7be24d8065": None, "my-example/some/long-path/of_words/2024": None}
+    df = spark.createDataFrame([(i, f"é {r} end") for i, r in enumerate(runs)], "doc_id long, text string")
+    got = {r["doc_id"]: [(s["start"] - 2, s["end"] - 2) for s in r["spans"] if s["kind"] == "entropy_base64"] for r in secrets.scan(df).collect()}
+    for i, (r, start) in enumerate(runs.items()):
+        if start is not None:  # the whole key, with the separator before it
+            assert got[i] == [(max(0, start - 1), start + len(key))], (r, got[i])
+    assert got[3] == [(0, 1 + len(key) + 1), (1 + len(key) + 8, len(f"/{key}/example/{key}"))]
+    assert got[4] == got[5] == got[6] == got[7] == []
+
+
 @pytest.mark.parametrize("sf", ["sf0.001"])
 def test_query(spark, sf):
     rows = op1_secrets(spark, f"/root/testdata/{sf}").collect()
