@@ -3,11 +3,12 @@
 A text is its lower-cased words (runs of letters and digits) in shingles of
 five; a shorter text is one shingle.  Texts of equal words are one node, so that
 exact copies cost a row each and no comparison.  A node's signature has
-``REGISTERS`` registers: each shingle, weighted by 1 + ln(count), emits arrivals of
-a Poisson process whose rate is its weight; an arrival falls into a hashed
-register, which keeps the element of its earliest arrival; a shingle stops once
-its next arrival is later than all the registers' (early termination).  Two
-nodes agree in a register with their probability Jaccard similarity.
+``REGISTERS`` registers: each shingle emits arrivals of a Poisson process whose rate
+is its weight; an arrival falls into a hashed register, which keeps the element
+of its earliest arrival; a shingle stops once its next arrival is later than all
+the registers' (early termination).  Two nodes agree in a register with their
+probability Jaccard similarity.  All weights are 1 however often a shingle
+occurs, so that this is the Jaccard similarity of the sets, which decides links.
 
 Bands of ``ROWS`` registers make buckets.  Candidates pass the signature's
 estimate, then the exact Jaccard similarity of the shingle sets: ``SIMILARITY`` or
@@ -140,9 +141,9 @@ def signatures(rows: DataFrame) -> DataFrame:
         salt = (np.arange(BANDS, dtype=np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
         for b in batches:
             for i, j, words in _sliced(b, "words"):
-                found = [np.unique(shingles(w), return_counts=True) for w in words]
-                sizes = [len(x) for x, _ in found]
-                registers = prob_min_hash(np.concatenate([x for x, _ in found]), 1 + np.log(np.concatenate([c for _, c in found])), np.repeat(np.arange(j - i), sizes), j - i)
+                found = [np.unique(shingles(w)) for w in words]
+                sizes = [len(x) for x in found]
+                registers = prob_min_hash(np.concatenate(found), np.ones(sum(sizes)), np.repeat(np.arange(j - i), sizes), j - i)
                 hashed = np.tile(salt, (j - i, 1))
                 for r in range(ROWS):
                     hashed = _mix(hashed + registers[:, r::ROWS])

@@ -140,3 +140,14 @@ def test_query(spark):
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     got = {r["doc_id"]: r["class_id"] for r in op6_neardup(spark, "/root/testdata/sf0.001").collect()}
     assert got == dict(zip([i for i, _ in docs], plain_classes(docs)))
+
+
+def test_copies_with_other_repeat_counts(spark):
+    """A passage that one text repeats and its copy doesn't keeps no pair from being linked."""
+    rows = []
+    for i in range(12):
+        words = [f"w{i}x{j}" for j in range(204)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words + words[:64] * 500))]
+    found, links = neardup.classes(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["id"]: r["class_id"] for r in found.collect()} == {i: i - i % 2 for i in range(24)}
+    assert all(r["jaccard"] > 0.9 for r in links.collect())
