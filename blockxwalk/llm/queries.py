@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat, fingerprints, mixing, neardup, pii, secrets, toxicity, urls
+from . import align, ann, bpe, chat, fingerprints, mixing, neardup, pii, secrets, toxicity, urls
 from .common import read_table
 
 
@@ -87,6 +87,11 @@ def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op13_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Align the tokens of every document under two tokenizers."""
+    return align.scored(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_chat": op2_chat,
@@ -98,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_ann": op9_ann,
     "op10_bpe": op10_bpe,
+    "op13_align": op13_align,
 }
 
 
