@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import align, ann, bpe, chat, fingerprints, mixing, neardup, pii, secrets, toxicity, urls
+from . import align, ann, bpe, chat, fingerprints, gnat, mixing, neardup, pii, secrets, toxicity, urls, vecdup
 from .common import read_table
 
 
@@ -87,6 +87,16 @@ def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op11_vecdup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every vector."""
+    return vecdup.classes(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Compress every vector to four code bytes."""
+    return gnat.compress(read_table(spark, sf_dir, "embeddings"))[0]
+
+
 def op13_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Align the tokens of every document under two tokenizers."""
     return align.scored(read_table(spark, sf_dir, "documents"))
@@ -103,6 +113,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_ann": op9_ann,
     "op10_bpe": op10_bpe,
+    "op11_vecdup": op11_vecdup,
+    "op12_codes": op12_codes,
     "op13_align": op13_align,
 }
 
@@ -112,4 +124,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_secrets": secrets.scan_sql(), "op2_chat": chat.CHAT_SQL, "op8_mixing": mixing.MIX_SQL}
+    return {"op1_secrets": secrets.scan_sql(), "op2_chat": chat.CHAT_SQL, "op8_mixing": mixing.MIX_SQL, "op11_vecdup": vecdup.CLASSES_SQL, "op12_codes": gnat.compress_sql()}
