@@ -85,13 +85,31 @@ def write_table(df: DataFrame, name: str) -> str:
     return path
 
 
-def drop_tables(spark: SparkSession) -> int:
-    """Delete the tables that this session has written, once no DataFrame built on them is used any more."""
-    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
-    for path in paths:
+def written_tables(spark: SparkSession) -> list[str]:
+    """The paths of the tables that this session has written and not dropped, in order."""
+    return list(_WRITTEN.get(spark.sparkContext.applicationId, []))
+
+
+def drop_tables(spark: SparkSession, paths: list[str] | None = None) -> int:
+    """Delete tables that this session has written (all, unless some are named), once no DataFrame built on them is used any more."""
+    own = _WRITTEN.get(spark.sparkContext.applicationId, [])
+    gone = [p for p in own if paths is None or p in set(paths)]
+    own[:] = [p for p in own if p not in set(gone)]
+    for path in gone:
         p = spark._jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-    return len(paths)
+    return len(gone)
+
+
+def read_paths(df: DataFrame) -> set[str]:
+    """The paths that a DataFrame reads files from."""
+    leaves, found = df._jdf.queryExecution().analyzed().collectLeaves(), set()
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.getClass().getSimpleName() == "LogicalRelation" and leaf.relation().getClass().getSimpleName() == "HadoopFsRelation":
+            roots = leaf.relation().location().rootPaths()
+            found |= {roots.apply(k).toString() for k in range(roots.size())}
+    return found
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
