@@ -7,29 +7,40 @@ exact copies cost a row each and no comparison.  A node's signature has
 is its weight; an arrival falls into a hashed register, which keeps the element
 of its earliest arrival; a shingle stops once its next arrival is later than all
 the registers' (early termination).  Two nodes agree in a register with their
-probability Jaccard similarity.  All weights are 1 however often a shingle
-occurs, so that this is the Jaccard similarity of the sets, which decides links.
+probability Jaccard similarity.  A shingle that occurs n times weighs 1 + ln n.
 
 Bands of ``ROWS`` registers make buckets.  Candidates pass the signature's
-estimate, then the exact Jaccard similarity of the shingle sets: ``SIMILARITY`` or
-more is a link.  Classes are the connected components of the links.
+estimate, then the exact probability Jaccard similarity of the weighted shingles
+
+    J(x, y) = sum over shared i of 1 / sum over j of max(x_j / x_i, y_j / y_i):
+
+``SIMILARITY`` or more is a link.  Classes are the connected components of the links.
+Where no shingle occurs twice, J is the Jaccard similarity of the sets.
 
 Only a bucket of ``SMALL`` nodes at most is compared pair by pair, and of these
 only nodes of different components.  The nodes of larger ones are grouped by the
 node with most neighbours that they meet.  A group's reference R is the set of
 the shingles that most of a sample of its nodes have (any set would be right); all
-its nodes are compared with R, and with the node that is most like R.  From |u|,
-|u & R| and the same of v follows which pairs u, v of the group can still be links:
-
-* if they share no shingle outside R, they share min(|u & R|, |v & R|) at most;
-  the few pairs for which that is enough are joined by their sizes;
-* else they share shingles outside R, and so many that one is among the first
-  |u - R| - (0.8 |u| - |u & R|) + 1 of each (prefix filter): those shingles make
-  the buckets of the next round, for nodes of different components alone.
+its nodes are compared with R, and with the node that is most like R.  With weights
+that add up to 1 in each node, let s and t be the parts of u's and v's weight inside R.
+Which pairs u, v of the group can still be links follows from them:
+
+* if they share no shingle outside R, J <= 1 / (1/s + 1/t - 1), as each summand of J
+  is at most p q / (q + (1 - t) p), which is concave; the pairs for which that is
+  enough are joined by s and t;
+* else, as J is at most the sum of the lesser weights, the shared shingles outside R
+  hold 0.8 - s of u's weight or more, and so one of them is among the first ones
+  of u outside R, those after which less than that is left (prefix filter), and the
+  same of v: those shingles make the buckets of the next round, for nodes of
+  different components alone.
 
 Rounds end when no bucket holds several components.  From round ``DEPTH`` on all
 nodes of a large bucket are compared with one after the other.  Nothing is capped or sampled.
 
+Texts are never shuffled: a row's place (its file and its number in it) goes with its
+digest, and the rows that are needed again, or kept, are read by bitmaps of their places
+(a bit for each row of the input, broadcast file by file in bounded portions).
+
 Defined results: null text reads as empty; texts without words are copies if
 they are equal; repeated rows are copies; a class's id is its least document id
 (null if all its ids are null); an empty table gives an empty one; other columns
@@ -45,7 +56,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, materialize, normal_text
+from .common import column, materialize, normal_text, pick, place, placed
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 20, 4
@@ -53,12 +64,14 @@ REGISTERS = BANDS * ROWS
 #: Agreeing registers that a candidate needs; a pair of similarity 0.8 agrees in 64 of 80, fewer than 44 are 5.6 deviations off.
 LEAST_AGREEING = 44
 SMALL, DEPTH = 64, 8
+#: Bins of the weight outside a reference.
+BINS = 16
 #: Nodes of a group that its reference is made of, about.
 REFERENCE_NODES = 48
+#: Most that rounding moves a similarity or a sum of weights.
+ROUNDING = 1e-9
 #: A key with more than this part of a table's rows (and these rows) is joined by broadcast: there are fewer than 1 / HOT such keys.
 HOT, HOT_ROWS = 1 / 500, 2000
-#: Ids up to so many are broadcast (16 bytes each); more are joined by a shuffle.
-BROADCAST_IDS = 200_000
 #: Words that a worker takes up together, about.
 WORDS_TOGETHER = 400_000
 
@@ -115,10 +128,14 @@ def _node() -> Column:
     return F.unhex(F.md5(F.when(F.size("w") > 0, F.array_join("w", " ")).otherwise(F.concat(F.lit("\n"), F.col("t")))))
 
 
-def nodes_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, node, words): by row the digest of its words and the words' hashes."""
-    rows = docs.select(column(id_col).alias("id"), normal_text(text_col).alias("t")).select("id", "t", _words().alias("w"))
-    return rows.select("id", _node().alias("node"), F.transform("w", lambda w: F.xxhash64(w)).alias("words"))
+def nodes_of(texts: DataFrame) -> DataFrame:
+    """(id, file, at, node, words) of rows (id, file, at, t): the digest of the words of t, and the words' hashes."""
+    rows = texts.select("id", "file", "at", "t", _words().alias("w"))
+    return rows.select("id", "file", "at", _node().alias("node"), F.transform("w", lambda w: F.xxhash64(w)).alias("words"))
+
+
+def weights(counts: np.ndarray) -> np.ndarray:
+    return 1 + np.log(counts)
 
 
 def _sliced(b: pa.RecordBatch, name: str) -> Iterator[tuple[int, int, list[np.ndarray]]]:
@@ -134,16 +151,16 @@ def _sliced(b: pa.RecordBatch, name: str) -> Iterator[tuple[int, int, list[np.nd
 
 
 def signatures(rows: DataFrame) -> DataFrame:
-    """(id, node, bands array<long>, sig binary): of rows (id, node, words)."""
+    """(id, file, at, node, bands array<long>, sig binary): of rows (id, file, at, node, words)."""
     kind = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         salt = (np.arange(BANDS, dtype=np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
         for b in batches:
             for i, j, words in _sliced(b, "words"):
-                found = [np.unique(shingles(w)) for w in words]
-                sizes = [len(x) for x in found]
-                registers = prob_min_hash(np.concatenate(found), np.ones(sum(sizes)), np.repeat(np.arange(j - i), sizes), j - i)
+                found = [np.unique(shingles(w), return_counts=True) for w in words]
+                sizes = [len(x) for x, _ in found]
+                registers = prob_min_hash(np.concatenate([x for x, _ in found]), weights(np.concatenate([n for _, n in found])), np.repeat(np.arange(j - i), sizes), j - i)
                 hashed = np.tile(salt, (j - i, 1))
                 for r in range(ROWS):
                     hashed = _mix(hashed + registers[:, r::ROWS])
@@ -151,11 +168,53 @@ def signatures(rows: DataFrame) -> DataFrame:
                 empty = np.array(sizes) == 0
                 ends = np.concatenate([[0], np.cumsum(np.where(empty, 0, BANDS))]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
-                    b.column(0).slice(i, j - i), b.column(1).slice(i, j - i),
+                    *(b.column(k).slice(i, j - i) for k in range(4)),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(hashed[~empty].view(np.int64).ravel())),
-                    pa.array([x.tobytes() for x in short], pa.binary())], ["id", "node", "bands", "sig"])
+                    pa.array([x.tobytes() for x in short], pa.binary())], ["id", "file", "at", "node", "bands", "sig"])
+
+    return rows.mapInArrow(run, f"id {kind}, file long, at long, node binary, bands array<long>, sig binary")
+
+
+# --- weighted sets -------------------------------------------------------------
+
+def pack(elements: np.ndarray) -> bytes:
+    """A multiset of shingles (32 bits each): their number, the distinct ones in order, then places and counts of those that occur more than once."""
+    x, n = np.unique(elements, return_counts=True)
+    often = np.flatnonzero(n > 1)
+    return np.concatenate([[len(x)], x, often, n[often]]).astype(np.uint32).tobytes()
+
+
+def unpack(packed) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles in order, and their weights."""
+    a = np.frombuffer(packed, np.uint32)
+    n = int(a[0])
+    often, counts = a[n + 1:].reshape(2, -1)
+    w = np.ones(n)
+    w[often] = weights(counts)
+    return a[1:n + 1], w
+
+
+def shared(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the common elements in both of two ascending arrays."""
+    if not len(x) or not len(y):
+        return np.zeros(0, int), np.zeros(0, int)
+    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+    here = np.flatnonzero(y[at] == x)
+    return here, at[here]
+
 
-    return rows.mapInArrow(run, f"id {kind}, node binary, bands array<long>, sig binary")
+def probability_jaccard(x: np.ndarray, wx: np.ndarray, y: np.ndarray, wy: np.ndarray) -> float:
+    """The exact probability Jaccard similarity of two weighted sets (elements ascending); 0 if one is empty."""
+    i, j = shared(x, y)
+    if not len(i):
+        return 0.0
+    a, b = wx[i], wy[j]
+    order = np.argsort(-a / b, kind="stable")  # those first in which x has more
+    a, b = a[order], b[order]
+    # an element's sum: x's weights where x has at least as much, measured by it, and y's where y has more
+    more = np.cumsum(a) + (wx.sum() - a.sum())
+    less = b.sum() - np.cumsum(b) + (wy.sum() - b.sum())
+    return float((1 / (more / a + less / b)).sum())
 
 
 # --- joins that a hot key doesn't hold up ----------------------------------------
@@ -188,11 +247,6 @@ def attach(rows: DataFrame, table: DataFrame, key: str, count: str) -> DataFrame
     return a.unionByName(b)
 
 
-def semi(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    """The rows whose key is among the ids (distinct, written): broadcast if they are few."""
-    return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, key, "left_semi")
-
-
 # --- candidates, links, components ------------------------------------------------
 
 def _cut(pairs: DataFrame) -> DataFrame:
@@ -226,12 +280,10 @@ def _estimated(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return rows.select("a", "b", "sa", "sb").mapInArrow(run, "a binary, b binary")
 
 
-def _overlaps(pairs: DataFrame, sets: DataFrame, others: DataFrame, prefix: bool) -> DataFrame:
-    """(a, b, both, na, nb, added): shared and own shingles of the pairs (written, distinct), a in sets, b in others.
+def _joined(pairs: DataFrame, sets: DataFrame, others: DataFrame) -> DataFrame:
+    """(a, b, sa, sb): the pairs (written, distinct) with the packed sets, a's in sets, b's in others.
 
-    added (if ``prefix``): of a's shingles outside b, as many as a partner's of the
-    same b must meet.  A set with many partners is sent once for each 256 of
-    them, to as many tasks.
+    A set with many partners is sent once for each 256 of them, to as many tasks.
     """
     rows = pairs
     for x, y, table in (("a", "b", sets), ("b", "a", others)):
@@ -243,48 +295,54 @@ def _overlaps(pairs: DataFrame, sets: DataFrame, others: DataFrame, prefix: bool
         dealt = own.join(degree.select(x, "parts"), x).select(x, f"s{x}", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("k"))
         rows = attach(rows, degree, x, "n").withColumn("k", F.pmod(F.xxhash64(y), F.col("parts")).cast("int")).drop("parts")
         rows = rows.join(dealt, [x, "k"]).drop("k")
+    return rows.select("a", "b", "sa", "sb")
 
+
+def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, jaccard) of the pairs (written, distinct) that are similar enough."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            both, na, nb, added = [], [], [], []
-            for x, y in zip(b.column("sa"), b.column("sb")):
-                x, y = np.frombuffer(x.as_buffer(), np.uint32), np.frombuffer(y.as_buffer(), np.uint32)
-                shared = y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x if len(x) and len(y) else np.zeros(len(x), bool)
-                n = int(shared.sum())
-                both.append(n)
-                na.append(len(x))
-                nb.append(len(y))
-                if prefix:
-                    own = x[~shared]
-                    added.append(own[:max(0, len(own) - max(1, int(np.ceil(SIMILARITY * len(x) - 1e-9)) - n) + 1)].view(np.int32))
-            ends = np.concatenate([[0], np.cumsum([len(x) for x in added])]) if prefix else np.zeros(b.num_rows + 1)
-            values = np.concatenate(added) if added else np.zeros(0, np.int32)
-            yield pa.RecordBatch.from_arrays([*b.select(["a", "b"]).columns, *(pa.array(x, pa.int32()) for x in (both, na, nb)),
-                                              pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values))], ["a", "b", "both", "na", "nb", "added"])
+            found = np.array([probability_jaccard(*unpack(x.as_buffer()), *unpack(y.as_buffer())) for x, y in zip(b.column("sa"), b.column("sb"))])
+            keep = np.flatnonzero(found >= SIMILARITY - ROUNDING) if len(found) else np.zeros(0, int)
+            yield pa.RecordBatch.from_arrays([*b.select(["a", "b"]).take(pa.array(keep)).columns, pa.array(found[keep], pa.float64())], ["a", "b", "jaccard"])
 
-    return rows.select("a", "b", "sa", "sb").mapInArrow(run, "a binary, b binary, both int, na int, nb int, added array<int>")
+    return _joined(pairs, sets, sets).mapInArrow(run, "a binary, b binary, jaccard double")
 
 
-def _links(overlaps: DataFrame) -> DataFrame:
-    """(a, b, jaccard) of the pairs that are similar enough."""
-    jaccard = F.col("both") / F.greatest(F.col("na") + F.col("nb") - F.col("both"), F.lit(1))
-    return overlaps.select("a", "b", jaccard.alias("jaccard")).where(F.col("jaccard") >= SIMILARITY)
+def _inside(groups: DataFrame, sets: DataFrame, references: DataFrame) -> DataFrame:
+    """(a, b, likeness, inside, added) of a node a and its group's reference: the similarity of the plain sets, the part of
+    a's weight in the reference, and the first shingles outside of which a partner shares one."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            like, inside, added = [], [], []
+            for x, y in zip(b.column("sa"), b.column("sb")):
+                (x, w), (y, _) = unpack(x.as_buffer()), unpack(y.as_buffer())
+                here, _ = shared(x, y)
+                outside = np.ones(len(x), bool)
+                outside[here] = False
+                p = w / w.sum() if len(w) else w
+                like.append(len(here) / max(1, len(x) + len(y) - len(here)))
+                inside.append(float(p[here].sum()))
+                left = np.cumsum(p[outside][::-1])[::-1]  # from each shingle on
+                added.append(x[outside][left >= SIMILARITY - inside[-1] - ROUNDING].view(np.int32))
+            ends = np.cumsum([0, *map(len, added)]).astype(np.int32)
+            values = np.concatenate(added) if added else np.zeros(0, np.int32)
+            yield pa.RecordBatch.from_arrays([*b.select(["a", "b"]).columns, pa.array(like, pa.float64()), pa.array(inside, pa.float64()),
+                                              pa.ListArray.from_arrays(pa.array(ends), pa.array(values))], ["a", "b", "likeness", "inside", "added"])
+
+    return _joined(groups, sets, references).mapInArrow(run, "a binary, b binary, likeness double, inside double, added array<int>")
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(node, set): sorted distinct shingles (32 bits each) of the wanted nodes (node, id, of one row each)."""
-    ids = _table(wanted.select("id").distinct(), "wanted-ids")
-    texts = docs.select(column(id_col).alias("id"), column(text_col).alias("t"))
-    texts = texts.where("id is null").unionByName(semi(texts.where("id is not null"), ids.where("id is not null"), "id")) if not ids.where("id is null").isEmpty() else semi(texts, ids, "id")
-    rows = nodes_of(texts, "id", "t")
+def _sets(docs: DataFrame, places: DataFrame, text_col: str) -> DataFrame:
+    """(node, set): the packed shingles of the texts at the places (file, at), one for each node."""
+    rows = nodes_of(pick(docs, places, F.lit(None).cast("long").alias("id"), normal_text(text_col).alias("t")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i, j, words in _sliced(b, "words"):
-                yield pa.RecordBatch.from_arrays([b.column(1).slice(i, j - i), pa.array([np.unique((shingles(w) >> np.uint64(32)).astype(np.uint32)).tobytes() for w in words], pa.binary())], ["node", "set"])
+                yield pa.RecordBatch.from_arrays([b.column(3).slice(i, j - i), pa.array([pack((shingles(w) >> np.uint64(32)).astype(np.uint32)) for w in words], pa.binary())], ["node", "set"])
 
-    found = rows.mapInArrow(run, "node binary, set binary")
-    return found.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
+    return rows.mapInArrow(run, "node binary, set binary")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -327,8 +385,8 @@ def _unsettled(rows: DataFrame) -> DataFrame:
 
 def _shared(rows: DataFrame) -> DataFrame:
     """The rows whose key isn't theirs alone."""
-    keys = materialize(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "shared-keys")
-    return semi(rows, keys, "key")
+    keys = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    return attach(rows, materialize(keys, "shared-keys"), "key", "n")
 
 
 def _small_pairs(rows: DataFrame) -> DataFrame:
@@ -359,29 +417,28 @@ def _references(groups: DataFrame, sets: DataFrame) -> DataFrame:
     taken = taken.where((F.pmod(h, F.col("every")) == 0) | (h == F.col("first"))).select("b", F.col("a").alias("node")).join(sets, "node")
 
     def most(b: pa.Table) -> pa.Table:
-        members = [np.frombuffer(x.as_buffer(), np.uint32) for x in b.column("set").combine_chunks()]
+        members = [unpack(x.as_buffer())[0] for x in b.column("set").combine_chunks()]
         found, n = np.unique(np.concatenate(members), return_counts=True)
-        return pa.table({"node": b.column("b").slice(0, 1), "set": pa.array([found[2 * n > len(members)].tobytes()], pa.binary())})
+        return pa.table({"node": b.column("b").slice(0, 1), "set": pa.array([pack(found[2 * n > len(members)])], pa.binary())})
 
     return taken.select("b", "set").groupBy("b").applyInArrow(most, "node binary, set binary")
 
 
-def _by_size(star: DataFrame, comps: DataFrame | None) -> DataFrame:
+def _near_reference(star: DataFrame, comps: DataFrame | None) -> DataFrame:
     """Pairs of different components that can be links though they share nothing outside their group's reference.
 
-    That needs 1.8 min(both) >= 0.8 (|u| + |v|), which u turns into a range of
-    sizes of v.  Nodes in the largest component of a group meet the others only.
+    That needs 1/s + 1/t - 1 <= 1 / SIMILARITY, which bins of 1/s - 1 make a join.
+    Nodes in the largest component of a group meet the others only.
     """
-    k = (1 + SIMILARITY) / SIMILARITY
     rows = _with_components(star.withColumnRenamed("a", "node"), comps)
     sizes = _table(rows.groupBy("b", "comp").agg(F.count("*").alias("m")).groupBy("b").agg(F.sum("m").alias("n"), F.max(F.struct("m", "comp")).alias("main")), "group-components")
     rows = attach(rows, sizes.select("b", "n", F.col("main.comp").alias("main")), "b", "n")
-    rows = _table(rows.where(k * F.col("both") >= (1 + SIMILARITY) * F.col("na") - 1e-9).select("b", "node", "na", "both", "comp", (F.col("comp") == F.col("main")).alias("inside")), "near-reference")
-    least = F.ceil(SIMILARITY * F.col("na") - 1e-9).cast("int")
-    most = F.floor(F.least(F.col("na") / SIMILARITY, k * F.col("both") - F.col("na")) + 1e-9).cast("int")
-    u = rows.where(~F.col("inside") & (least <= most)).select("b", F.col("node").alias("u"), F.col("comp").alias("cu"), F.col("na").alias("nu"), F.explode(F.sequence(least, most)).alias("nv"))
-    v = rows.select("b", F.col("node").alias("v"), F.col("comp").alias("cv"), F.col("na").alias("nv"), F.col("both").alias("both_v"))
-    found = u.join(v, ["b", "nv"]).where((F.col("cu") != F.col("cv")) & (k * F.col("both_v") >= F.col("nu") + F.col("nv") - 1e-9))
+    room = 1 / SIMILARITY - 1
+    rows = rows.where(F.col("inside") >= SIMILARITY - ROUNDING).withColumn("z", F.greatest(1 / F.col("inside") - 1, F.lit(0.0)))
+    rows = _table(rows.select("b", "node", "z", F.floor(F.col("z") * BINS / room).cast("int").alias("bin"), "comp", (F.col("comp") == F.col("main")).alias("inside")), "near-reference")
+    u = rows.where(~F.col("inside")).select("b", F.col("node").alias("u"), F.col("comp").alias("cu"), F.col("z").alias("zu"), F.explode(F.sequence(F.lit(0), F.greatest(BINS - F.col("bin"), F.lit(0)))).alias("bin"))
+    v = rows.select("b", F.col("node").alias("v"), F.col("comp").alias("cv"), F.col("z").alias("zv"), "bin")
+    found = u.join(v, ["b", "bin"]).where((F.col("cu") != F.col("cv")) & (F.col("zu") + F.col("zv") <= room + 4 * ROUNDING))
     return found.select(F.col("u").alias("a"), F.col("v").alias("b"))
 
 
@@ -405,7 +462,7 @@ def link(nodes: DataFrame, sets_of) -> tuple[DataFrame | None, DataFrame | None]
     def compared(pairs: DataFrame) -> DataFrame:
         """The links among pairs, which the signatures' estimate goes through first."""
         pairs = _table(_cut(pairs), "pairs")
-        return _links(_overlaps(_table(_estimated(pairs, nodes), "candidates"), sets, sets, False))
+        return _links(_table(_estimated(pairs, nodes), "candidates"), sets)
 
     while True:
         depth += 1
@@ -421,52 +478,46 @@ def link(nodes: DataFrame, sets_of) -> tuple[DataFrame | None, DataFrame | None]
             pivot = _table(large.groupBy("key").agg(F.first("size").alias("n"), F.min("node").alias("b")), "pivots")
             left = _table(attach(large, pivot, "key", "n").select("key", "node", "b"), "pivot-rows").where("node != b")
             star = _table(left.select(F.col("node").alias("a"), "b").distinct(), "star-pairs")
-            extend(found.unionByName(_links(_overlaps(star, sets, sets, False))))
+            extend(found.unionByName(_links(star, sets)))
             buckets = left.select("key", "node")
             continue
         groups = _table(_groups(large), "groups")
         references = _table(_references(groups, sets), "references")
-        star = materialize(_overlaps(groups, sets, references, True), "star")
-        like = F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))
-        centre = _table(star.groupBy("b").agg(F.count("*").alias("n"), F.max(F.struct(like.alias("j"), "a")).alias("c")), "centres")
+        star = materialize(_inside(groups, sets, references), "star")
+        centre = _table(star.groupBy("b").agg(F.count("*").alias("n"), F.max(F.struct("likeness", "a")).alias("c")), "centres")
         pairs = attach(star.select("a", "b"), centre.select("b", "n", F.col("c.a").alias("centre")), "b", "n")
         pairs = _table(pairs.select("a", F.col("centre").alias("b")).where("a != b").distinct(), "centre-pairs")
-        extend(found.unionByName(_links(_overlaps(pairs, sets, sets, False))))
-        extend(compared(_by_size(star, comps)))
+        extend(found.unionByName(_links(pairs, sets)))
+        extend(compared(_near_reference(star, comps)))
         buckets = materialize(_shared(star.select(F.col("a").alias("node"), F.explode("added").alias("s"), "b").select("node", F.xxhash64("b", "s").alias("key"))), "buckets")
 
 
-def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame | None]:
-    """Rows (id, node, class_id, keep_id, keep_node), and links (a, b, jaccard) between nodes (None: no link).
+def _found(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame | None]:
+    """Signed rows; nodes (node, first, copies) with the component comp; (comp, class_id, file, at, size) of the classes; links.
 
-    ``keep_id`` and ``keep_node`` name the class's document that stays.
+    ``first`` and the classes' file and at are those of the row with the least id, nulls last.
     """
-    rows = materialize(signatures(nodes_of(docs, id_col, text_col)), "signatures")
-    nodes = rows.groupBy("node").agg(F.min("id").alias("id"), F.first("bands").alias("bands"), F.first("sig").alias("sig"), F.count("*").alias("copies"))
-    nodes = materialize(nodes, "nodes")
-    links, comps = link(nodes, lambda wanted: _sets(docs, nodes.join(wanted, "node", "left_semi").select("node", "id"), id_col, text_col))
-    labelled = nodes.select("node", "id", "copies")
-    if comps is None:
-        table = labelled.select("node", F.col("id").alias("class_id"), F.col("id").alias("keep_id"), F.col("node").alias("keep_node"), "copies")
-    else:
-        labelled = _table(labelled.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")), "labelled")
-        # the least id, nulls last; of equal ids the least node
-        least = labelled.groupBy("comp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "node")).alias("l"), F.count("*").alias("size"))
-        least = least.select("comp", F.col("l.id").alias("class_id"), F.col("l.id").alias("keep_id"), F.col("l.node").alias("keep_node"), "size")
-        table = attach(labelled, least, "comp", "size").select("node", "class_id", "keep_id", "keep_node", "copies")
-    return attach(rows.select("id", "node"), table, "node", "copies"), links
+    texts = docs.select(column(id_col).alias("id"), *place(docs), normal_text(text_col).alias("t"))
+    rows = materialize(signatures(nodes_of(texts)), "signatures")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "file", "at")).alias("first")
+    nodes = materialize(rows.groupBy("node").agg(first, F.first("bands").alias("bands"), F.first("sig").alias("sig"), F.count("*").alias("copies")), "nodes")
+    links, comps = link(nodes, lambda wanted: _sets(docs, nodes.join(wanted, "node", "left_semi").select("first.file", "first.at"), text_col))
+    labelled = _with_components(nodes.select("node", "first", "copies"), comps)
+    labelled = _table(labelled, "labelled")
+    # the least id, nulls last; of equal ids the first place
+    least = labelled.groupBy("comp").agg(F.min("first").alias("l"), F.count("*").alias("size"))
+    return rows, labelled, _table(least.select("comp", F.col("l.id").alias("class_id"), "l.file", "l.at", "size"), "classes"), links
+
+
+def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame | None]:
+    """Rows (id, node, class_id), and links (a, b, jaccard) between nodes (None: no link)."""
+    rows, labelled, found, links = _found(placed(docs), id_col, text_col)
+    table = attach(labelled.select("node", "comp", "copies"), found.select("comp", "class_id", "size"), "comp", "size").select("node", "class_id", "copies")
+    return attach(rows.select("id", "node"), _table(table, "node-classes"), "node", "copies"), links
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each class, all columns as they were."""
-    found, _ = classes(docs, id_col, text_col)
-    kept = found.where(F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("node") == F.col("keep_node")))
-    kept = _table(kept.groupBy("id", "node").agg(F.count("*").alias("n")), "kept")
-    rows = docs.select(F.struct(*[column(c) for c in docs.columns]).alias("d"), column(id_col).alias("id"), normal_text(text_col).alias("t"))
-    rows = rows.select("d", "id", "t", _words().alias("w")).select("d", "id", _node().alias("node"))
-    few = kept.count() <= BROADCAST_IDS
-    same = rows["id"].eqNullSafe(kept["id"]) & (rows["node"] == kept["node"])
-    once = rows.join(F.broadcast(kept) if few else kept, same, "left_semi")
-    if not kept.where("n > 1").isEmpty():  # the kept row has exact copies under the same id
-        once = once.dropDuplicates(["id", "node"])
-    return once.select(*[F.col("d")[c].alias(c) for c in docs.columns])
+    """One document of each class, all columns as they were: that of the least id (nulls last), of equal ids the first in the input."""
+    docs = placed(docs)
+    _, _, found, _ = _found(docs, id_col, text_col)
+    return pick(docs, found.select("file", "at"))

@@ -1,8 +1,9 @@
 """Near-duplicate classes against all pairs."""
 
+import math
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -15,14 +16,23 @@ def words(t):
     return re.findall(r"[^\W_]+", (t or "").lower())
 
 
-def shingle_set(t):
+def weighted(t):
     w = words(t)
-    return {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else {("raw", t or "")}
+    found = Counter(tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))) if w else Counter([("raw", t or "")])
+    return {x: 1 + math.log(n) for x, n in found.items()}
+
+
+def plain_similarity(x, y):
+    """Probability Jaccard by its definition; of plain sets, where all weights are 1, by counting."""
+    both, every = x.keys() & y.keys(), x.keys() | y.keys()
+    if max(*x.values(), *y.values()) == 1:
+        return len(both) / len(every)
+    return sum(1 / sum(max(x.get(j, 0) / x[i], y.get(j, 0) / y[i]) for j in every) for i in both)
 
 
 def plain_classes(docs):
-    """Least id by row; and all similarities near the limit, where hashing could tell otherwise."""
-    sets = [shingle_set(t) for _, t in docs]
+    """Least id by row."""
+    sets = [weighted(t) for _, t in docs]
     holders = defaultdict(list)
     for i, s in enumerate(sets):
         for x in s:
@@ -41,8 +51,8 @@ def plain_classes(docs):
             for j in holders[x]:
                 if j > i:
                     both[j] += 1
-        for j, n in both.items():
-            if n / (len(s) + len(sets[j]) - n) >= 0.8:
+        for j in both:
+            if find(i) != find(j) and (s.keys() == sets[j].keys() and s == sets[j] or plain_similarity(s, sets[j]) >= 0.8 - 1e-9):
                 root[find(i)] = find(j)
     least = {}
     for i, (key, _) in enumerate(docs):
@@ -142,12 +152,49 @@ def test_query(spark):
     assert got == dict(zip([i for i, _ in docs], plain_classes(docs)))
 
 
+def test_exact_similarity():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        x, y = (np.unique(rng.integers(0, 40, rng.integers(1, 40))).astype(np.uint32) for _ in "xy")
+        nx, ny = (rng.choice([1, 1, 2, 30], len(e)) for e in (x, y))
+        a, b = neardup.unpack(neardup.pack(np.repeat(x, nx))), neardup.unpack(neardup.pack(np.repeat(y, ny)))
+        assert (a[0] == x).all() and np.allclose(a[1], 1 + np.log(nx))
+        got = neardup.probability_jaccard(*a, *b)
+        assert abs(got - plain_similarity(dict(zip(x.tolist(), a[1])), dict(zip(y.tolist(), b[1])))) < 1e-12
+        # the bounds that prefixes and references go by
+        i, j = neardup.shared(x, y)
+        p, q = a[1] / a[1].sum(), b[1] / b[1].sum()
+        s, t = p[i].sum(), q[j].sum()
+        assert got <= np.minimum(p[i], q[j]).sum() + 1e-12 and (not len(i) or got <= 1 / (1 / s + 1 / t - 1) + 1e-12)
+
+
 def test_copies_with_other_repeat_counts(spark):
-    """A passage that one text repeats and its copy doesn't keeps no pair from being linked."""
+    """Repeat counts are weights: a passage that one text repeats often tells it from its copy, one repeated a few times doesn't."""
     rows = []
-    for i in range(12):
+    for i, n in enumerate([0, 1, 2, 3, 5, 8, 20, 100, 500]):
         words = [f"w{i}x{j}" for j in range(204)]
-        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words + words[:64] * 500))]
-    found, links = neardup.classes(spark.createDataFrame(rows, "doc_id long, text string"))
-    assert {r["id"]: r["class_id"] for r in found.collect()} == {i: i - i % 2 for i in range(24)}
-    assert all(r["jaccard"] > 0.9 for r in links.collect())
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words + words[:24] * n))]
+    want = same(spark, rows)
+    assert 0 < sum(a == b for a, b in zip(want[::2], want[1::2])) < 9
+
+
+def test_recall_on_planted_copies(spark):
+    """Pairs whose similarity is 0.8 or little more, repeats included."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(300):
+        base = [f"b{i}x{j}" for j in range(120)]
+        base += base[:30] * rng.randrange(3)
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(edit(rng, base, rng.randrange(1, 4))))]
+    same(spark, rows)
+
+
+def test_rows_that_do_not_come_straight_from_a_file(spark, tmp_path):
+    """Rows of a file that are repeated have one place: they are written anew."""
+    docs = corpus(2, 10, 4, 5)
+    spark.createDataFrame([(*d, "m", 2) for d in docs], "doc_id long, text string, _metadata string, file int").repartition(3).write.parquet(str(tmp_path / "d"))
+    df = spark.read.parquet(str(tmp_path / "d"))
+    kept = sorted({c for c in plain_classes(docs)})
+    for rows in (df, df.where("doc_id >= 0").select("file", "text", "doc_id", "_metadata"), df.selectExpr("*", "explode(array(1, 2)) as at"), df.unionByName(df)):
+        found = neardup.keep_one(rows)
+        assert found.columns == rows.columns and sorted(r["doc_id"] for r in found.collect()) == kept

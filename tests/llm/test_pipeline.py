@@ -10,6 +10,7 @@ from tokenizers import Tokenizer
 import __spark_entry__
 import corpus_pipeline
 from blockxwalk.llm import pii, toxicity
+from blockxwalk.session import written_tables
 
 from .test_mixing import plain_copies
 from .test_neardup import plain_classes
@@ -43,6 +44,22 @@ def test_run_equals_plain_steps(spark):
     assert got == +want
 
 
+def test_a_stage_drops_the_tables_of_the_one_before(spark, tmp_path):
+    docs, left = spark.read.parquet(f"{SF}/documents.parquet"), []
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        before = set(written_tables(spark))
+        stage(spark, docs, SF).write.parquet(str(tmp_path / str(k)))
+        docs = spark.read.parquet(str(tmp_path / str(k)))
+        assert not left or not set(left) & set(written_tables(spark))
+        left = [p for p in written_tables(spark) if p not in before]
+    many = spark.createDataFrame([(i, "very long text " * 40_000 if i < 2 else f"text {i} a b c", "en", "s", 1) for i in range(4)], "doc_id long, text string, lang string, source string, n_chars long")
+    deduped = corpus_pipeline.drop_near_duplicates(spark, many, SF)
+    covered = corpus_pipeline.cover_personal_data(spark, deduped, SF)  # reads tables of the stage before
+    assert sorted(r["doc_id"] for r in covered.collect()) == [0, 2, 3]
+    out = corpus_pipeline.encode(spark, covered, SF).collect()
+    assert sorted(r["n_tokens"] > 100_000 for r in out) == [False, False, True]
+
+
 def test_stages_on_odd_rows(spark):
     """Nulls in all columns, empty texts, repeated rows, further columns of clashing names; and no rows at all."""
     odd = [(None, None, None, None, None, 1, "x")] * 2 + [(1, "", "en", "a", 0, 2, "y"), (2, "a b c d e f +1 (668) 555-2281", "en", None, 29, 3, "z"), (2, "a b c d e f +1 (668) 555-2281", "en", None, 29, 3, "z")]
