@@ -31,7 +31,7 @@ from .common import chunks, column, kept, normal_text
 
 #: Labelled documents of each class that the model is fitted on, at most.
 SAMPLE = 4000
-#: Characters of them that the driver takes at most, all classes together; whole texts only.
+#: Characters of them that the driver takes at most, all classes together: whole texts, up to the first that doesn't fit.
 SAMPLE_CHARS = 40_000_000
 BITS, EPOCHS, RATE, LASSO, LEAST_DOCS = 18, 30, 0.2, 0.01, 5
 #: Words that a worker remembers, with their weight or their features.
@@ -92,24 +92,35 @@ class Weights(dict):
         return float(1 / (1 + np.exp(-np.clip(self.scale * log_odds + self.shift, -500, 500))))
 
 
-def _train(bags: list[list[np.ndarray]], y: np.ndarray, fold: np.ndarray) -> dict:
-    """Noisy-or weights by mini-batch Adagrad over the bags that aren't in the fold; scale and shift from the fold."""
+def _usable(flat: np.ndarray, ends: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sentences' features (their last places in ``ends``, the documents' last sentences in ``docs``) that LEAST_DOCS documents have; moved within ``flat``."""
     n = 1 << BITS
     seen = np.zeros(n, np.int32)
-    for bag in bags:
-        if bag:
-            seen[np.unique(np.concatenate(bag))] += 1
+    bounds = np.concatenate([[0], ends[docs - 1] if len(docs) else []]).astype(np.int64)
+    bounds = np.maximum.accumulate(bounds)  # documents without sentences
+    for lo, hi in zip(bounds[:-1], bounds[1:]):
+        seen[np.unique(flat[lo:hi])] += 1
     usable = seen >= LEAST_DOCS
-    flat, ends, owner = [], [0], []
-    for i, bag in enumerate(bags):
-        for s in bag:
-            s = s[usable[s]]
-            flat.append(s)
-            ends.append(ends[-1] + len(s))
-            owner.append(i)
-    flat = np.concatenate(flat) if flat else np.zeros(0, np.int32)
-    ends, owner = np.array(ends), np.array(owner, np.int64)
-    first = np.searchsorted(owner, np.arange(len(bags) + 1))
+    at, kept_ends = 0, np.zeros(len(ends), np.int64)
+    for k, (lo, hi) in enumerate(zip(bounds[:-1], bounds[1:])):
+        keep = usable[flat[lo:hi]]
+        first = docs[k - 1] if k else 0
+        kept_ends[first:docs[k]] = at + np.cumsum(keep)[ends[first:docs[k]] - lo - 1]
+        own = flat[lo:hi][keep]
+        flat[at:at + len(own)] = own
+        at += len(own)
+    return flat[:at], kept_ends
+
+
+def _train(flat: np.ndarray, ends: np.ndarray, docs: np.ndarray, y: np.ndarray, fold: np.ndarray) -> dict:
+    """Noisy-or weights by mini-batch Adagrad over the bags that aren't in the fold; scale and shift from the fold.
+
+    flat: the sentences' features one after the other; ends: each sentence's end in
+    it (no sentence is empty); docs: each document's end among the sentences.
+    """
+    n = 1 << BITS
+    flat, ends = _usable(flat, ends, docs)
+    ends, first = np.concatenate([[0], ends]), np.concatenate([[0], docs])
     w, bias = np.zeros(n), -6.0
     g2, b2 = np.full(n, 1e-3), 1e-3
     rng = np.random.default_rng(7)
@@ -148,7 +159,7 @@ def _train(bags: list[list[np.ndarray]], y: np.ndarray, fold: np.ndarray) -> dic
     model = {"w": w, "bias": bias, "scale": 1.0, "shift": 0.0}
     get = Weights(model)
     raw = []
-    for d in range(len(bags)):
+    for d in range(len(docs)):
         z = odds(first[d], first[d + 1])
         q = get.document(z)
         raw.append(np.log(max(q, 1e-12) / max(1 - q, 1e-12)))
@@ -182,26 +193,34 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         known = _Features()
         for b in batches:
             for part in chunks(b):
-                bags, sizes = [], []
+                flat, ends, sizes = [], [], []
                 for t in part.column(1).to_pylist():
-                    bag = []
+                    bag, stops = [], []
                     for m in SENTENCE.finditer(t):
-                        if found := [f for w in set(m.group().lower().split()) for f in known[w]]:
-                            bag.append(found)
-                    bags.append(bag)
+                        before = len(bag)
+                        for w in set(m.group().lower().split()):
+                            bag += known[w]
+                        if len(bag) > before:
+                            stops.append(len(bag))
+                    flat.append(np.array(bag, np.int32).tobytes())
+                    ends.append(np.array(stops, np.int32).tobytes())
                     sizes.append(len(t))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(sizes, pa.int64()), pa.array(bags, pa.list_(pa.list_(pa.int32())))], ["id", "y", "n", "bag"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(sizes, pa.int64()), pa.array(flat, pa.binary()), pa.array(ends, pa.binary())], ["id", "y", "n", "bag", "ends"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    found = rows.select("id", "t", "y").mapInArrow(extract, f"id {kind}, y int, n long, bag array<array<int>>")
-    # whole documents in the hash's order, as long as the characters together stay in bounds
+    found = rows.select("id", "t", "y").mapInArrow(extract, f"id {kind}, y int, n long, bag binary, ends binary")
+    # whole documents in the hash's order, until the next one would take the characters out of bounds
     found = found.withColumn("h", F.xxhash64("id"))
-    bags, y, fold, chars = [], [], [], 0
-    for r in found.orderBy("h", "id", "n").select("id", "y", "h", "n", "bag").toLocalIterator():
-        if chars + r["n"] > SAMPLE_CHARS:
-            continue
+    flat, ends, docs_, y, fold, chars, sentences = bytearray(), [], [], [], [], 0, 0
+    for r in found.orderBy("h", "id", "n").select("y", "h", "n", "bag", "ends").toLocalIterator():
         chars += r["n"]
-        bags.append([np.array(s, np.int32) for s in r["bag"]])
+        if chars > SAMPLE_CHARS:
+            break
+        own = np.frombuffer(r["ends"], np.int32)
+        ends.append(own.astype(np.int64) + len(flat) // 4)
+        flat += r["bag"]
+        sentences += len(own)
+        docs_.append(sentences)
         y.append(r["y"])
         fold.append(r["h"] % 7 == 0)
     y, fold = np.array(y, int), np.array(fold, bool)
@@ -209,7 +228,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         return None
     if not ((y[~fold] == 1).any() and (y[~fold] == 0).any()):
         fold[:] = False
-    return _train(bags, y, fold)
+    return _train(np.frombuffer(flat, np.int32), np.concatenate(ends), np.array(docs_, np.int64), y, fold)
 
 
 def _weights(shared) -> Weights | None:
