@@ -1,17 +1,18 @@
-"""WKB bytes -> parts of vertices (lines and polygons, single or multi, 2D or with Z/M).
+"""WKB bytes <-> parts of vertices (lines and polygons, single or multi, 2D or with Z/M).
 
 Spark has no function that reads bytes as doubles, so this is the one place of
-the block crosswalk with Python: an Arrow-batched function that a reader
-applies once per row.  A malformed value gives a NULL geometry.
+the block crosswalk with Python: Arrow functions that a reader or writer applies
+once per row.  Coordinates go between the bytes and flat Arrow buffers as they
+are, with offsets of parts and geometries beside them; no vertex becomes a Python
+object.  A malformed value gives a NULL geometry.
 """
 
 from __future__ import annotations
 
 import struct
-from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -58,16 +59,51 @@ def parts_of(data: bytes) -> list[np.ndarray]:
     return out
 
 
-def _geometry(data: bytes | None):
-    try:
-        return None if data is None else [[{"x": float(x), "y": float(y)} for x, y in part] for part in parts_of(bytes(data))]
-    except (ValueError, IndexError, struct.error):
-        return None
+def decode(data: pa.Array) -> pa.Array:
+    """A batch of WKB values as nested lists over flat x and y buffers."""
+    xy, part_ends, geom_ends, missing = [], [0], [0], []
+    for v in data:
+        parts = None
+        if v.is_valid:
+            try:
+                parts = parts_of(v.as_buffer().to_pybytes())
+            except (ValueError, IndexError, struct.error):
+                pass
+        for p in parts or ():
+            xy.append(p)
+            part_ends.append(part_ends[-1] + len(p))
+        geom_ends.append(len(part_ends) - 1)
+        missing.append(parts is None)
+    flat = np.concatenate(xy).astype(np.float64) if xy else np.zeros((0, 2))
+    points = pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(flat[:, k])) for k in (0, 1)], ["x", "y"])
+    parts = pa.ListArray.from_arrays(pa.array(part_ends, pa.int32()), points)
+    return pa.ListArray.from_arrays(pa.array(geom_ends, pa.int32()), parts, mask=pa.array(missing, pa.bool_()))
+
+
+def encode(geoms: pa.Array, rings: bool) -> pa.Array:
+    """A batch of geometries as little-endian WKB: multilines, or polygons whose rings are the parts."""
+    parts = geoms.values
+    points = parts.values
+    xy = np.stack([points.field(k).to_numpy(zero_copy_only=False) for k in (0, 1)], axis=1).astype("<f8") if len(points) else np.zeros((0, 2), "<f8")
+    part_ends, geom_ends, valid = parts.offsets.to_numpy(), geoms.offsets.to_numpy(), geoms.is_valid().to_numpy(zero_copy_only=False)
+    out = []
+    for i in range(len(geoms)):
+        if not valid[i]:
+            out.append(None)
+            continue
+        lo, hi = geom_ends[i], geom_ends[i + 1]
+        body = [struct.pack("<BII", 1, 3 if rings else 5, hi - lo)]
+        for k in range(lo, hi):
+            p = xy[part_ends[k]:part_ends[k + 1]]
+            body += [struct.pack("<I", len(p)) if rings else struct.pack("<BII", 1, 2, len(p)), p.tobytes()]
+        out.append(b"".join(body))
+    return pa.array(out, pa.binary())
 
 
 def from_wkb(data: Column) -> Column:
-    @F.pandas_udf(GEOMETRY_DDL)
-    def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in batches:
-            yield s.map(_geometry, na_action="ignore")
-    return decode(data)
+    return F.arrow_udf(decode, GEOMETRY_DDL)(data)
+
+
+def to_wkb(geom: Column, rings: bool = False) -> Column:
+    """WKB of a vertex-array column: MULTILINESTRING, or with ``rings`` POLYGON."""
+    return F.arrow_udf(lambda g: encode(g, rings), "binary")(geom)

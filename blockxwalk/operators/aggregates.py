@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import ColumnOrName, col, na_text
+from ..session import materialize
+from .quantiles import quantiles
 
 
 def count_by(df: DataFrame, *keys: str, name: str = "n") -> DataFrame:
@@ -140,14 +142,11 @@ def concat_distinct(df: DataFrame, key: str, cols: Sequence[str], order: str, se
 def six_number(df: DataFrame, c: str, prefix: str = "") -> DataFrame:
     """min, 1st quartile, median, mean, 3rd quartile, max (linear interpolation)."""
     x = F.col(c).cast("double")
-    return df.agg(
-        F.min(x).alias(f"{prefix}min"),
-        F.percentile(x, 0.25).alias(f"{prefix}q1"),
-        F.percentile(x, 0.5).alias(f"{prefix}median"),
-        F.round(F.avg(x), 6).alias(f"{prefix}mean"),
-        F.percentile(x, 0.75).alias(f"{prefix}q3"),
-        F.max(x).alias(f"{prefix}max"),
-    )
+    values = materialize(df.select(x.alias("x")), "six-number")
+    q1, median, q3 = (F.lit(v).cast("double") for v in quantiles(values, {"x": [0.25, 0.5, 0.75]})["x"])
+    s = values.agg(F.min("x").alias("lo"), F.round(F.avg("x"), 6).alias("mean"), F.max("x").alias("hi"))
+    return s.select(F.col("lo").alias(f"{prefix}min"), q1.alias(f"{prefix}q1"), median.alias(f"{prefix}median"),
+                    F.col("mean").alias(f"{prefix}mean"), q3.alias(f"{prefix}q3"), F.col("hi").alias(f"{prefix}max"))
 
 
 def share(df: DataFrame, n: str, out: str = "pct", digits: int = 1) -> DataFrame:

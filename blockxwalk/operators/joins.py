@@ -17,6 +17,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 KeySpec = str | Sequence[str] | Mapping[str, str]
 
@@ -55,6 +56,46 @@ def inner(left: DataFrame, right: DataFrame, on: KeySpec, null_safe: bool = True
     return join_keys(left, right, on, "inner", null_safe)
 
 
+#: A key is heavy if it has more than this part of a side's rows, and this many.
+HEAVY_SHARE, HEAVY_ROWS = 1 / 200, 100_000
+
+
+def heavy_keys(df: DataFrame, keys: Sequence[str], share: float | None = None, least: int | None = None) -> list[tuple]:
+    """(key.., rows) of the keys with more than a share of all rows: fewer than 1 / share of them.  NULL is a key."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))  # combined map-side: a heavy key is a row a task
+    s = counts.agg(F.sum("_n").alias("all"), F.max("_n").alias("most")).first()
+    bound = max(HEAVY_ROWS if least is None else least, (s["all"] or 0) * (HEAVY_SHARE if share is None else share))
+    if (s["most"] or 0) <= bound:
+        return []
+    return [tuple(r) for r in counts.where(F.col("_n") > bound).collect()]
+
+
+def inner_heavy(left: DataFrame, right: DataFrame, on: KeySpec, null_safe: bool = True, share: float | None = None, least: int | None = None) -> DataFrame:
+    """``inner`` in which a key with a large part of the left rows is dealt over many tasks.
+
+    One aggregate finds the left side's heavy keys.  Their rows are split over
+    salts by a hash of the row (rows that are equal in all columns stay together), in
+    proportion to the key's rows; the right rows of these keys are replicated to the
+    salts.  Without heavy keys it is the plain join.
+    """
+    pairs = _pairs(on)
+    hot = heavy_keys(left, [lk for lk, _ in pairs], share, least)
+    if not null_safe:
+        hot = [h for h in hot if all(v is not None for v in h[:-1])]
+    if not hot:
+        return inner(left, right, on, null_safe)
+    fewest = min(h[-1] for h in hot)
+    fields = [T.StructField(f"__h{i}", left.schema[lk].dataType) for i, (lk, _) in enumerate(pairs)]
+    # at least as many salts as make a key's part as small as the largest key that isn't heavy
+    salts = left.sparkSession.createDataFrame([(*h[:-1], 8 * -(-h[-1] // fewest)) for h in hot], T.StructType([*fields, T.StructField("__salts", T.IntegerType())]))
+    salts = F.broadcast(salts)  # fewer than 1 / share rows
+    own = left_outer(left, salts, {lk: f"__h{i}" for i, (lk, _) in enumerate(pairs)})
+    own = own.withColumn("__salt", F.when(F.col("__salts").isNotNull(), F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.col("__salts")).cast("int")).otherwise(0)).drop("__salts")
+    other = left_outer(right, salts, {rk: f"__h{i}" for i, (_, rk) in enumerate(pairs)})
+    other = other.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1))).drop("__salts")
+    return join_keys(own, other, {**dict(pairs), "__salt": "__salt"}, "inner", null_safe).drop("__salt")
+
+
 def left_outer(left: DataFrame, right: DataFrame, on: KeySpec, null_safe: bool = True) -> DataFrame:
     return join_keys(left, right, on, "left", null_safe)
 

@@ -10,7 +10,9 @@ from ..functions.geometry import clean_parts
 from ..functions.text import (extract_or_null, feet_to_miles, int_text, is_finite, na_text,
                               to_double, trim_ws, truncate)
 from ..operators.aggregates import concat_distinct_many, count_by, count_if0, first_appearances, n_distinct_na, sum0, top1_by
+from ..operators.chunks import chunked
 from ..operators.joins import left_outer, merge_overrides
+from ..operators.noding import noded
 from ..operators.ordering import sample_n, sort_desc
 
 KEY = "physical_id"
@@ -45,6 +47,11 @@ def dissolve(streets: DataFrame) -> DataFrame:
     return dissolve_parts(streets).groupBy(KEY).agg(F.array_sort(F.collect_list("part")).alias("geom"))
 
 
+def block_lines(streets: DataFrame) -> DataFrame:
+    """physical_id, x1, y1, x2, y2: each block's segments cut at crossings and overlaps, every piece once."""
+    return noded(streets, (KEY,))
+
+
 def physical_blocks(streets: DataFrame, order: str = "segment_id", with_geom: bool = False) -> DataFrame:
     """One row per physical block.
 
@@ -199,6 +206,17 @@ def block_ids(xwalk: DataFrame, lists=tuple(ID_LISTS), order: str = "segment_id"
     return first_appearances(xwalk, KEY, {n: ID_LISTS[n] for n in lists}, order)
 
 
+#: Ids to a row of the chunked id lists.
+CHUNK_IDS = 1000
+
+
+def block_id_chunks(ids: DataFrame, size: int = CHUNK_IDS) -> DataFrame:
+    """The id lists of ``block_id_summary`` in numbered chunks (physical_id, list, chunk, n_values, text) of bounded size.
+
+    ``ids``: the long form.  A block's chunks in order, joined, are its list."""
+    return chunked(ids, (KEY, "list"), ("place", "value"), "value", size)
+
+
 def block_id_summary(xwalk: DataFrame, order: str = "segment_id", lists=tuple(ID_LISTS)) -> DataFrame:
     """Per block: ';'-joined distinct ids in segment order (left values before right)."""
     counts = {"n_segments": "segment_ids"} if "segment_ids" in lists else None

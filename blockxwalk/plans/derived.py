@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 from ..functions.keys import with_bbl_key
 from ..functions.text import paste_na
 from ..operators.aggregates import combine_rows, count_by, count_if0, n_distinct_na, share, six_number
+from ..operators.quantiles import quantiles
 from ..operators.ordering import sort_desc
-from ..operators.joins import inner, join_keys, left_outer, restrict
+from ..operators.joins import inner, inner_heavy, join_keys, left_outer, restrict
+from ..session import materialize
 
 KEY = "physical_id"
 
@@ -85,7 +87,7 @@ def address_summary(addresses: DataFrame) -> DataFrame:
 
 def address_list(pad: DataFrame, b2p: DataFrame) -> DataFrame:
     """Every directory address with its block(s)."""
-    j = inner(bbl_addresses(pad), block_bbl_pairs(b2p), "bbl_chr", null_safe=False)
+    j = inner_heavy(bbl_addresses(pad), block_bbl_pairs(b2p), "bbl_chr", null_safe=False)
     return j.select(KEY, "address", "bin", "bbl_chr", "boro", "zip")
 
 
@@ -117,30 +119,42 @@ def addr_per_block(pad: DataFrame, b2p: DataFrame) -> DataFrame:
     return _per_block_from_bbl(b2p, addresses_per_bbl(pad), "n_addr_bbl", "n_addresses")
 
 
-def bins_per_block(pad: DataFrame, b2p: DataFrame) -> DataFrame:
-    """Rows of ``bin_to_physical`` per block."""
-    return _per_block_from_bbl(b2p, bins_per_bbl(pad), "n_bins_bbl", "n_bins")
-
-
 def addr_per_block_summary(per_block: DataFrame) -> DataFrame:
     return six_number(per_block, "n_addresses")
 
 
+def counts_per_bbl(pad: DataFrame) -> DataFrame:
+    """bbl_chr, n_bins_bbl, n_addr_bbl in one pass over the directory (NULL where a BBL has no BIN).
+
+    Rows are first made distinct in all that the counts look at, so that a BBL with a
+    third of all rows is spread over many tasks, as are its values.
+    """
+    a = bbl_addresses(pad)
+    bins = F.when(F.col("bin") != 0, F.col("bin"))
+    n = a.groupBy("bbl_chr").agg(F.countDistinct(bins).cast("bigint").alias("n_bins_bbl"), F.count(F.lit(1)).cast("bigint").alias("n_addr_bbl"))
+    return n.withColumn("n_bins_bbl", F.when(F.col("n_bins_bbl") > 0, F.col("n_bins_bbl")))
+
+
+def counts_per_block(pad: DataFrame, b2p: DataFrame) -> DataFrame:
+    """physical_id, n_bbls, n_bins, n_addresses: one pass over the pairs and one over the directory."""
+    pairs = b2p.groupBy("bbl_chr", KEY).agg(F.count(F.lit(1)).alias("_n"))
+    j = join_keys(pairs, counts_per_bbl(pad), "bbl_chr", "left", null_safe=False)
+    return j.groupBy(KEY).agg(F.sum("_n").cast("bigint").alias("n_bbls"), F.sum("n_bins_bbl").cast("bigint").alias("n_bins"), F.sum("n_addr_bbl").cast("bigint").alias("n_addresses"))
+
+
 def master_full(master: DataFrame, b2p: DataFrame, pad: DataFrame) -> DataFrame:
     """Master table plus BBL / BIN / address counts (NULL where a block has none)."""
-    m = left_outer(master, count_by(b2p, KEY, name="n_bbls"), KEY)
-    m = left_outer(m, bins_per_block(pad, b2p), KEY)
-    return left_outer(m, addr_per_block(pad, b2p), KEY)
+    return left_outer(master, counts_per_block(pad, b2p), KEY)
 
 
 def master_full_summary(mf: DataFrame) -> DataFrame:
-    return mf.agg(F.count(F.lit(1)).cast("bigint").alias("total_blocks"),
+    counts = materialize(mf.select("n_bbls", "n_bins", "n_addresses"), "block-counts")
+    medians = quantiles(counts, {"n_bbls": [0.5], "n_bins": [0.5], "n_addresses": [0.5]})
+    found = counts.agg(F.count(F.lit(1)).cast("bigint").alias("total_blocks"),
                   count_if0(F.col("n_bbls") > 0).alias("blocks_with_bbls"),
                   count_if0(F.col("n_bins") > 0).alias("blocks_with_bins"),
-                  count_if0(F.col("n_addresses") > 0).alias("blocks_with_addresses"),
-                  F.median("n_bbls").alias("median_bbls"),
-                  F.median("n_bins").alias("median_bins"),
-                  F.median("n_addresses").alias("median_addresses"))
+                  count_if0(F.col("n_addresses") > 0).alias("blocks_with_addresses"))
+    return found.select("*", *[F.lit(medians[c][0]).cast("double").alias(n) for c, n in (("n_bbls", "median_bbls"), ("n_bins", "median_bins"), ("n_addresses", "median_addresses"))])
 
 
 UNMATCHED_COLS = ("bbl_chr", "boro_code", "block", "lot", "address", "land_use", "owner_type", "owner_name")

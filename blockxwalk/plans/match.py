@@ -13,13 +13,16 @@ Each wave only sees BBLs no earlier wave matched.  BBL keys can be NULL
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import bbl_from_number, segid_key, with_bbl_key
 from ..operators.cascade import Cascade, Wave
-from ..operators.joins import inner, restrict
-from ..operators.spatial import nearest_within, within_distance
+from ..operators.joins import inner, inner_heavy, restrict
+from ..session import materialize as write_and_read
+from ..operators.spatial import Edges, nearest_within, within_distance
 
 # Wave tags and radii (feet).
 W1, W2A, W2B, W3, W4 = "W1_PAD", "W2_APPBBL", "W2_BILLING", "W3_BUFFER50", "W4_NEAREST150"
@@ -54,8 +57,9 @@ def pad_keys(pad: DataFrame) -> DataFrame:
     return k.filter(F.col("bbl_chr").isNotNull() & F.col("segid_chr").isNotNull()).distinct()
 
 
-def wave1(pad: DataFrame, lookup: DataFrame) -> DataFrame:
-    return inner(pad_keys(pad), lookup, "segid_chr", null_safe=False).select(*MATCH_COLS).distinct()
+def wave1(keys: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Matches of the directory's keys (``pad_keys``); a default segment id may hold a large part of them."""
+    return inner_heavy(keys, lookup, "segid_chr", null_safe=False).select(*MATCH_COLS).distinct()
 
 
 def wave2a(rem: DataFrame, keyed: DataFrame, w1: DataFrame) -> DataFrame:
@@ -71,47 +75,60 @@ def billing_keys(bill: DataFrame) -> DataFrame:
     return b.select("billbbl", "lobbl").filter(F.col("billbbl").isNotNull() & F.col("lobbl").isNotNull()).distinct()
 
 
-def wave2b(rem: DataFrame, bill: DataFrame, pad: DataFrame, lookup: DataFrame) -> DataFrame:
-    j = inner(rem, billing_keys(bill), {"bbl_chr": "billbbl"})
-    j = inner(j.select("bbl_chr", "lobbl"), pad_keys(pad), {"lobbl": "bbl_chr"}, null_safe=False)
-    return inner(j, lookup, "segid_chr", null_safe=False).select(*MATCH_COLS).distinct()
+def wave2b(rem: DataFrame, bill: DataFrame, keys: DataFrame, lookup: DataFrame) -> DataFrame:
+    j = inner(rem, billing_keys(bill), {"bbl_chr": "billbbl"}).select("bbl_chr", "lobbl")
+    j = inner_heavy(keys.select(F.col("bbl_chr").alias("lobbl"), "segid_chr"), j, "lobbl", null_safe=False).select("bbl_chr", "segid_chr")
+    return inner_heavy(j, lookup, "segid_chr", null_safe=False).select(*MATCH_COLS).distinct()
 
 
 def remaining_parcels(parcels_keyed: DataFrame, rem: DataFrame) -> DataFrame:
     return restrict(parcels_keyed, rem, "bbl_chr").select("bbl_chr", "geom")
 
 
-def wave3(rem: DataFrame, parcels_keyed: DataFrame, lines: DataFrame, radius: float = BUFFER_FT,
-          cell: float | None = None, salt: int = 1) -> DataFrame:
+def wave3(rem: DataFrame, parcels_keyed: DataFrame, lines: DataFrame | Edges, radius: float = BUFFER_FT,
+          cell: float | None = None, salt: int = 1, write: bool = True) -> DataFrame:
     polys = remaining_parcels(parcels_keyed, rem)
-    return within_distance(polys, lines, radius, cell, salt=salt).select(*MATCH_COLS).distinct()
+    return within_distance(polys, lines, radius, cell, salt=salt, write=write).select(*MATCH_COLS).distinct()
 
 
-def wave4_pairs(rem: DataFrame, parcels_keyed: DataFrame, lines: DataFrame, radius: float = NEAREST_FT,
-                cell: float | None = None, salt: int = 1) -> DataFrame:
+def wave4_pairs(rem: DataFrame, parcels_keyed: DataFrame, lines: DataFrame | Edges, radius: float = NEAREST_FT,
+                cell: float | None = None, salt: int = 1, write: bool = True) -> DataFrame:
     """Nearest line per remaining parcel row; one row per (BBL, segment, block)
     with the smallest distance among parcel rows sharing that triple."""
     polys = remaining_parcels(parcels_keyed, rem)
-    near = nearest_within(polys, lines, radius, cell, salt=salt)
+    near = nearest_within(polys, lines, radius, cell, salt=salt, write=write)
     return near.groupBy(*MATCH_COLS).agg(F.min("dist_ft").alias("dist_ft"))
 
 
-def wave4(rem: DataFrame, parcels_keyed: DataFrame, lines: DataFrame, radius: float = NEAREST_FT,
-          cell: float | None = None, salt: int = 1) -> DataFrame:
-    return wave4_pairs(rem, parcels_keyed, lines, radius, cell, salt).select(*MATCH_COLS)
+def wave4(rem: DataFrame, parcels_keyed: DataFrame, lines: DataFrame | Edges, radius: float = NEAREST_FT,
+          cell: float | None = None, salt: int = 1, write: bool = True) -> DataFrame:
+    return wave4_pairs(rem, parcels_keyed, lines, radius, cell, salt, write).select(*MATCH_COLS)
 
 
 def run_cascade(parcels_keyed: DataFrame, pad: DataFrame, bill: DataFrame | None, lookup: DataFrame,
-                lines: DataFrame, *, buffer_ft: float = BUFFER_FT, nearest_ft: float = NEAREST_FT,
+                lines: Callable[[], Edges], *, buffer_ft: float = BUFFER_FT, nearest_ft: float = NEAREST_FT,
                 cell: float | None = None, materialize: bool = True, salt: int = 1) -> Cascade:
+    made: dict[str, DataFrame] = {}
+
+    def keys() -> DataFrame:
+        """The directory's keys, written once for both waves that use them."""
+        if "pad" not in made:
+            made["pad"] = write_and_read(pad_keys(pad), "pad-keys") if materialize else pad_keys(pad)
+        return made["pad"]
+
+    def ids() -> DataFrame:
+        if "lookup" not in made:
+            made["lookup"] = write_and_read(lookup, "segment-lookup") if materialize else lookup
+        return made["lookup"]
+
     waves = [
-        Wave(W1, lambda rem, done: wave1(pad, lookup)),
+        Wave(W1, lambda rem, done: wave1(keys(), ids())),
         Wave(W2A, lambda rem, done: wave2a(rem, parcels_keyed, done[W1])),
     ]
     if bill is not None:  # optional input: the billing wave is skipped without it
-        waves.append(Wave(W2B, lambda rem, done: wave2b(rem, bill, pad, lookup)))
+        waves.append(Wave(W2B, lambda rem, done: wave2b(rem, bill, keys(), ids())))
     waves += [
-        Wave(W3, lambda rem, done: wave3(rem, parcels_keyed, lines, buffer_ft, cell, salt)),
-        Wave(W4, lambda rem, done: wave4(rem, parcels_keyed, lines, nearest_ft, cell, salt)),
+        Wave(W3, lambda rem, done: wave3(rem, parcels_keyed, lines(), buffer_ft, cell, salt, materialize)),
+        Wave(W4, lambda rem, done: wave4(rem, parcels_keyed, lines(), nearest_ft, cell, salt, materialize)),
     ]
     return Cascade(all_bbls(parcels_keyed), waves, "bbl_chr", MATCH_COLS, "source", materialize)

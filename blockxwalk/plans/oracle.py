@@ -319,6 +319,33 @@ CTES += [
 ]
 
 
+# the waves without the billing table: those after it start from what remains before it
+_NO_BILLING = ("r2b", "r2a"), ("p3", "p3n"), ("p3pairs", "p3pairsn"), ("w3", "w3n"), ("r3", "r3n"), ("p4", "p4n"), ("p4pairs", "p4pairsn"), ("w4", "w4n")
+for _name in ("p3", "p3pairs", "w3", "r3", "p4", "p4pairs", "w4", "r4"):
+    _sql = dict(CTES)[_name]
+    for _a, _b in _NO_BILLING:
+        _sql = re.sub(rf"\b{_a}\b", _b, _sql)
+    CTES.append((f"{_name}n", _sql))
+
+# level and upright lines on a small grid, cut by plain interval conditions
+CTES += [
+    ("gl", "SELECT DISTINCT physical_id, CAST(segment_id * 31 % 12 AS DOUBLE) AS y, CAST(segment_id * 17 % 100 AS DOUBLE) AS a, "
+           "CAST(segment_id * 17 % 100 + 5 + segment_id % 50 AS DOUBLE) AS b FROM cs"),
+    ("gu", "SELECT DISTINCT physical_id, CAST(segment_id * 13 % 20 AS DOUBLE) AS x, CAST(segment_id * 7 % 60 AS DOUBLE) AS a, "
+           "CAST(segment_id * 7 % 60 + 5 + segment_id % 40 AS DOUBLE) AS b FROM cs"),
+    ("gcl", "SELECT physical_id, y, a, b, a AS c FROM gl UNION SELECT physical_id, y, a, b, b FROM gl "
+            "UNION SELECT l.physical_id, l.y, l.a, l.b, u.x FROM gl l JOIN gu u ON l.physical_id IS NOT DISTINCT FROM u.physical_id AND u.x BETWEEN l.a AND l.b AND l.y BETWEEN u.a AND u.b "
+            "UNION SELECT l.physical_id, l.y, l.a, l.b, e.c FROM gl l JOIN (SELECT physical_id, y, a AS c FROM gl UNION SELECT physical_id, y, b FROM gl) e "
+            "ON l.physical_id IS NOT DISTINCT FROM e.physical_id AND l.y = e.y AND e.c BETWEEN l.a AND l.b"),
+    ("gcu", "SELECT physical_id, x, a, b, a AS c FROM gu UNION SELECT physical_id, x, a, b, b FROM gu "
+            "UNION SELECT u.physical_id, u.x, u.a, u.b, l.y FROM gu u JOIN gl l ON l.physical_id IS NOT DISTINCT FROM u.physical_id AND u.x BETWEEN l.a AND l.b AND l.y BETWEEN u.a AND u.b "
+            "UNION SELECT u.physical_id, u.x, u.a, u.b, e.c FROM gu u JOIN (SELECT physical_id, x, a AS c FROM gu UNION SELECT physical_id, x, b FROM gu) e "
+            "ON u.physical_id IS NOT DISTINCT FROM e.physical_id AND u.x = e.x AND e.c BETWEEN u.a AND u.b"),
+    ("nod", "SELECT DISTINCT physical_id, c AS x1, y AS y1, d AS x2, y AS y2 FROM (SELECT *, lead(c) OVER (PARTITION BY physical_id, y, a, b ORDER BY c) AS d FROM gcl) WHERE d IS NOT NULL "
+            "UNION SELECT DISTINCT physical_id, x, c, x, d FROM (SELECT *, lead(c) OVER (PARTITION BY physical_id, x, a, b ORDER BY c) AS d FROM gcu) WHERE d IS NOT NULL"),
+]
+
+
 def _vertices(src: str, template: str, cols) -> str:
     """Flat vertex rows of a reprojected layer of lines of one or two parts (oracle of map layers)."""
     lab = label(template, cols)
@@ -373,6 +400,33 @@ QUERIES: dict[str, str] = {
     "block_parts": ("SELECT physical_id, CAST(v AS BIGINT) AS vertex_no, CASE WHEN v = 0 THEN x1 ELSE x2 END AS x, "
                     "CASE WHEN v = 0 THEN y1 ELSE y2 END AS y FROM (SELECT DISTINCT physical_id, x1, y1, x2, y2 FROM ln) "
                     "CROSS JOIN (VALUES (0), (1)) AS vv(v)"),
+    "block_lines": "SELECT * FROM nod",
+    "block_nodes": (f"SELECT physical_id, x, y, {cnt()} AS degree FROM (SELECT physical_id, x1 AS x, y1 AS y FROM nod UNION ALL "
+                    "SELECT physical_id, x2, y2 FROM nod) GROUP BY physical_id, x, y"),
+    "block_id_chunks": (f"SELECT physical_id, list, chunk, {cnt()} AS n_values, string_agg(v, ';' ORDER BY n) AS text FROM ("
+                        "SELECT *, (n - 1) // 4 AS chunk FROM (SELECT physical_id, CASE a WHEN 0 THEN 'segment_ids' WHEN 1 THEN 'generic_ids' "
+                        "WHEN 2 THEN 'fdny_ids' WHEN 3 THEN 'block_face_ids' WHEN 4 THEN 'census_tracts_2020' ELSE 'census_blocks_2020' END AS list, v, "
+                        "row_number() OVER (PARTITION BY physical_id, a ORDER BY f.side, f.k, v) AS n FROM bis_v)) GROUP BY physical_id, list, chunk"),
+    "overrides_round_trip": "SELECT * FROM fx_overrides",
+    "features_round_trip": " UNION ALL ".join(
+        [f"SELECT DISTINCT 'parcels' AS layer, address AS id, CAST({part} AS BIGINT) AS part_no, CAST({v} AS BIGINT) AS vertex_no, "
+         f"CAST({x} AS DOUBLE) AS x, CAST({y} AS DOUBLE) AS y FROM fx_parcels WHERE {x} IS NOT NULL"
+         for part, (x0, y0, x1, y1) in enumerate([("xmin", "ymin", "xmax", "ymax"), ("hx0", "hy0", "hx1", "hy1")])
+         for v, (x, y) in enumerate([(x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0)])]
+        + [f"SELECT DISTINCT '{layer}' AS layer, CAST(segment_id AS VARCHAR) AS id, CAST({part} AS BIGINT) AS part_no, CAST({v} AS BIGINT) AS vertex_no, "
+           f"CAST({x} AS DOUBLE) AS x, CAST({y} AS DOUBLE) AS y FROM fx_segments WHERE {x} IS NOT NULL"
+           for layer in ("lines", "text") for part, v, x, y in [(0, 0, "x1", "y1"), (0, 1, "x2", "y2"), (1, 0, "x3", "y3"), (1, 1, "x4", "y4")]]),
+    "sorted_table": ("SELECT *, row_number() OVER (ORDER BY bbl_chr ASC NULLS LAST, physical_id ASC NULLS LAST, source ASC NULLS LAST) - 1 AS place FROM b2p"),
+    "waves_without_billing": " UNION ALL ".join(
+        f"SELECT {i} AS wave_no, '{tag}' AS wave, (SELECT {cnt()} FROM {w}) AS pairs_added, "
+        f"(SELECT {ndna('bbl_chr')} FROM {w}) AS keys_matched, (SELECT {cnt()} FROM {r}) AS remaining"
+        for i, (tag, w, r) in enumerate([("W1_PAD", "w1", "r1"), ("W2_APPBBL", "w2a", "r2a"), ("W3_BUFFER50", "w3n", "r3n"), ("W4_NEAREST150", "w4n", "r4n")], start=1)),
+    "run_counts": " UNION ALL ".join(
+        [f"SELECT 'wave {tag}' AS stage, 'pairs_added' AS counter, (SELECT {cnt()} FROM {w}) AS n UNION ALL SELECT 'wave {tag}', 'keys_matched', "
+         f"(SELECT {ndna('bbl_chr')} FROM {w}) UNION ALL SELECT 'wave {tag}', 'remaining', (SELECT {cnt()} FROM {r})"
+         for tag, w, r in [("W1_PAD", "w1", "r1"), ("W2_APPBBL", "w2a", "r2a"), ("W2_BILLING", "w2b", "r2b"), ("W3_BUFFER50", "w3", "r3"), ("W4_NEAREST150", "w4", "r4")]]
+        + [f"SELECT 'crosswalk', 'bbl_physical_pairs', (SELECT {cnt()} FROM b2p)", f"SELECT 'crosswalk', 'bbls_matched', (SELECT {ndna('bbl_chr')} FROM b2p)",
+           f"SELECT 'crosswalk', 'physical_ids_with_bbls', (SELECT {ndna('physical_id')} FROM b2p)", f"SELECT 'crosswalk', 'bbls_unmatched', (SELECT {cnt()} FROM r4)"]),
     "street_ranges": "SELECT * FROM sr",
     "names_auto": "SELECT * FROM nauto",
     "names_merged": "SELECT * FROM nm",

@@ -17,6 +17,7 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..functions.geometry import align_srid
 from ..operators.graph import streets_in_zips, zip_cluster, zip_edges, zip_neighbors, zip_pairs
@@ -103,6 +104,13 @@ class BlockCrosswalk:
     def lines(self):
         return S.lines(self.city_streets)
 
+    @cached_property
+    def line_edges(self):
+        """The lines taken apart into edges, written once for all distance joins."""
+        from ..operators.spatial import line_edges
+        e = line_edges(self.lines)
+        return e.write("line-edges") if self.materialize else e
+
     def map_layer(self, which: str = "zip"):
         src = {"zip": (self.streets_in_zips, S.LABEL_ZIP_STREETS),
                "generic": (self.generic_multi_segments, S.LABEL_GENERIC),
@@ -122,6 +130,11 @@ class BlockCrosswalk:
     def block_parts(self):
         return B.dissolve_parts(self.city_streets)
 
+    @cached_property
+    def block_lines(self):
+        """The blocks' lines, noded and without overlaps: the union of their segments."""
+        return B.block_lines(self.city_streets)
+
     @cached_property
     def street_ranges(self):
         return B.street_ranges(self.city_streets)
@@ -166,6 +179,10 @@ class BlockCrosswalk:
     def block_ids(self):
         return B.block_ids(self.id_crosswalk)
 
+    @cached_property
+    def block_id_chunks(self):
+        return B.block_id_chunks(self.block_ids)
+
     @cached_property
     def block_id_summary(self):
         return B.block_id_summary(self.id_crosswalk)
@@ -199,7 +216,7 @@ class BlockCrosswalk:
     @cached_property
     def cascade(self):
         return M.run_cascade(self.parcels_keyed, self.pad_addr, self.pad_bill, self.segment_lookup,
-                             self.lines, buffer_ft=self.buffer_ft, nearest_ft=self.nearest_ft,
+                             lambda: self.line_edges, buffer_ft=self.buffer_ft, nearest_ft=self.nearest_ft,
                              cell=self.cell, materialize=self.materialize, salt=self.salt)
 
     def wave(self, name: str) -> DataFrame:
@@ -209,18 +226,27 @@ class BlockCrosswalk:
     def wave_qa(self):
         return self.cascade.qa()
 
+    @cached_property
+    def run_counts(self):
+        """The counters that a run reports, as one table (stage, counter, n)."""
+        waves = self.wave_qa.select(F.concat(F.lit("wave "), "wave").alias("stage"), F.inline(F.array(*[
+            F.struct(F.lit(c).alias("counter"), F.col(c).alias("n")) for c in ("pairs_added", "keys_matched", "remaining")])))
+        final = self.bbl_summary
+        final = final.select(F.lit("crosswalk").alias("stage"), F.inline(F.array(*[F.struct(F.lit(c).alias("counter"), F.col(c).alias("n")) for c in final.columns])))
+        return waves.unionByName(final)
+
     @cached_property
     def within_buffer(self):
         """All parcel-line pairs within the buffer radius, over all parcels."""
         from ..operators.spatial import within_distance
-        return within_distance(self.parcels_keyed.select("bbl_chr", "geom"), self.lines, self.buffer_ft, self.cell,
-                               salt=self.salt)
+        return within_distance(self.parcels_keyed.select("bbl_chr", "geom"), self.line_edges, self.buffer_ft, self.cell,
+                               salt=self.salt, write=self.materialize)
 
     @cached_property
     def nearest(self):
         """Nearest line within the nearest radius for every parcel row."""
-        return M.wave4_pairs(M.all_bbls(self.parcels_keyed), self.parcels_keyed, self.lines,
-                             self.nearest_ft, self.cell, self.salt)
+        return M.wave4_pairs(M.all_bbls(self.parcels_keyed), self.parcels_keyed, self.line_edges,
+                             self.nearest_ft, self.cell, self.salt, self.materialize)
 
     @cached_property
     def bbl_segment_physical(self):

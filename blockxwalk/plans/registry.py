@@ -16,10 +16,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.geometry import to_srid
-from ..schemas import PAD_ADDR, SRID_WGS84
+from ..operators.chunks import ranked
+from ..operators.noding import noded, nodes
+from ..schemas import PAD_ADDR, SRID_NY_FT, SRID_WGS84
 from ..session import ensure_checkpoint_dir
 from ..sources.fixtures import Inputs
-from ..sources.readers import read_delimited
+from ..sources.readers import read_delimited, read_features, read_overrides
+from ..sources.sinks import write_features, write_table
+from . import blocks as B
 from . import match as M
 from . import streets as S
 from .pipeline import BlockCrosswalk
@@ -62,15 +66,76 @@ def within_50_lonlat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.where("dist_ft < 49.9 and (dist_ft = 0 or dist_ft > 0.1)").groupBy("bbl_chr", "segment_id", "physical_id").agg(F.min(F.floor(F.col("dist_ft") / 10)).alias("tens_ft"))
 
 
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
+def _once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
+    """The path of files that a round trip reads back: written on first use by a session, for a folder's tables."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _WRITTEN:
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+        write(path)
+        _WRITTEN[key] = path
+    return _WRITTEN[key]
+
+
 def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The address directory written as padded text and read back."""
     pad = Inputs(spark, sf_dir).pad_addr
     text = pad.select(*[F.rpad(F.coalesce(F.col(c).cast("string"), F.lit("NA" if c == "stname" else "")), 24, " ").alias(c) for c in pad.columns])
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/directory-{uuid.uuid4().hex}"
-    text.write.option("header", True).option("ignoreTrailingWhiteSpace", False).csv(path)
+    path = _once(spark, sf_dir, "directory", text.write.option("header", True).option("ignoreTrailingWhiteSpace", False).csv)
     return read_delimited(spark, path, PAD_ADDR)
 
 
+
+
+def overrides_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The survey file written as text and read back, after the template that a first run writes (no rows)."""
+    survey = Inputs(spark, sf_dir).overrides
+    empty = _once(spark, sf_dir, "survey-template", lambda path: None)
+    first = read_overrides(spark, empty)  # nothing is there, so the template is written
+    full = _once(spark, sf_dir, "survey", survey.write.option("header", True).option("nullValue", "NA").csv)
+    return first.unionByName(read_overrides(spark, full))
+
+
+def features_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parcels written as WKB polygons, lines as WKB and as WKT, read back as layers; a row for each vertex."""
+    i = Inputs(spark, sf_dir)
+    out = None
+    for name, df, key, kind, wkb in (("parcels", i.parcels.withColumn("id", F.col("address")), "id", "POLYGON", True),
+                                     ("lines", i.segments.withColumn("id", F.col("segment_id").cast("string")), "id", "MULTILINESTRING", True),
+                                     ("text", i.segments.withColumn("id", F.col("segment_id").cast("string")), "id", "MULTILINESTRING", False)):
+        path = _once(spark, sf_dir, f"layer-{name}", lambda p: write_features(df.select(key, "geom"), p, kind, wkb=wkb))  # noqa: B023 (called at once)
+        read = read_features(spark, path, SRID_NY_FT, geom_col="geom" if wkb else "wkt")
+        v = read.distinct().select(F.lit(name).alias("layer"), key, F.posexplode("geom").alias("part_no", "part"))
+        v = v.select("layer", key, F.col("part_no").cast("bigint").alias("part_no"), F.posexplode("part").alias("vertex_no", "p"))
+        v = v.select("layer", key, "part_no", F.col("vertex_no").cast("bigint").alias("vertex_no"), F.col("p.x").alias("x"), F.col("p.y").alias("y"))
+        out = v if out is None else out.unionByName(v)
+    return out
+
+
+def sorted_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The BBL crosswalk written as a sorted table; each row's place in the files that were written."""
+    path = _once(spark, sf_dir, "sorted", lambda p: write_table(crosswalk(spark, sf_dir).bbl_to_physical, p, sort=["bbl_chr", "physical_id", "source"]))
+    rows = spark.read.parquet(path).select("*", F.col("_metadata.file_name").alias("_f"), F.col("_metadata.row_index").alias("_i"))
+    return ranked(rows, (), ("_f", "_i"), "place").drop("_f", "_i")
+
+
+def waves_without_billing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts of all waves where the optional billing table is missing."""
+    i = Inputs(spark, sf_dir)
+    return BlockCrosswalk(i.segments, i.parcels, i.pad_addr, None, i.overrides).wave_qa
+
+
+def _grid_streets(x: BlockCrosswalk) -> DataFrame:
+    """City streets drawn as a level and an upright line each, on a small grid, so that those of a block cross and overlap."""
+    point = lambda a, b: F.struct(a.cast("double").alias("x"), b.cast("double").alias("y"))
+    at = lambda k, n: (F.col("segment_id") * k) % n
+    level = F.array(point(at(17, 100), at(31, 12)), point(at(17, 100) + 5 + at(1, 50), at(31, 12)))
+    upright = F.array(point(at(13, 20), at(7, 60) + 5 + at(1, 40)), point(at(13, 20), at(7, 60)))
+    return x.city_streets.select("physical_id", F.array(level, upright).alias("geom"))
+
+
 def _no_geom(df: DataFrame) -> DataFrame:
     return df.drop("geom")
 
@@ -110,6 +175,10 @@ QUERIES: dict[str, Callable[[BlockCrosswalk], DataFrame]] = {
     "map_layer_nypd": lambda x: S.map_layer_vertices(x.map_layer("nypd")),
     # blocks
     "physical_blocks": lambda x: x.physical_blocks,
+    "block_lines": lambda x: noded(_grid_streets(x)),
+    "block_nodes": lambda x: nodes(noded(_grid_streets(x))),
+    "block_id_chunks": lambda x: B.block_id_chunks(x.block_ids, 4),
+    "run_counts": lambda x: x.run_counts,
     "block_parts": lambda x: _parts_as_rows(x.block_parts),
     "street_ranges": lambda x: x.street_ranges,
     "names_auto": lambda x: x.names_auto,
@@ -159,4 +228,6 @@ QUERIES: dict[str, Callable[[BlockCrosswalk], DataFrame]] = {
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _q(fn) for name, fn in QUERIES.items()} | {"within_50_lonlat": within_50_lonlat, "csv_round_trip": csv_round_trip}
+    return {name: _q(fn) for name, fn in QUERIES.items()} | {"within_50_lonlat": within_50_lonlat, "csv_round_trip": csv_round_trip,
+                                                                  "overrides_round_trip": overrides_round_trip, "features_round_trip": features_round_trip,
+                                                                  "sorted_table": sorted_table, "waves_without_billing": waves_without_billing}

@@ -2,8 +2,8 @@
 
 * ``write_table``: Parquet (default) or CSV.  CSV writes NULL as ``NA`` and
   array columns joined with ``;`` (CSV has no array type).
-* ``write_features``: geometry kept as vertex arrays plus a WKT text column,
-  so any GIS tool can read it back.
+* ``write_features``: geometry kept as vertex arrays plus a WKT text column (or
+  as WKB bytes), so any GIS tool can read it back.
 * ``write_map_layer``: one GeoJSON Feature per line (``.write.text``), built
   with ``to_json`` on the executors -- the distributed form of a web-map
   layer; the browser widget itself is not part of this library.
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.geometry import to_wkt
+from ..functions.wkb import to_wkb
 from ..operators.ordering import sort_na_last
 
 
@@ -51,9 +52,13 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", sort: list[str]
     w.format(fmt).save(path)
 
 
-def write_features(df: DataFrame, path: str, kind: str = "MULTILINESTRING", geom: str = "geom") -> None:
-    """Feature layer: attributes, vertex-array geometry and its WKT text."""
-    df.withColumn("wkt", to_wkt(geom, kind)).write.mode("overwrite").parquet(path)
+def write_features(df: DataFrame, path: str, kind: str = "MULTILINESTRING", geom: str = "geom", wkb: bool = False) -> None:
+    """Feature layer: attributes, vertex-array geometry and its WKT text; with ``wkb`` the geometry as WKB bytes instead of both."""
+    if wkb:
+        out = df.withColumn(geom, to_wkb(df[geom], rings=kind == "POLYGON"))
+    else:
+        out = df.withColumn("wkt", to_wkt(geom, kind))
+    out.write.mode("overwrite").parquet(path)
 
 
 def geojson_lines(df: DataFrame, geom: str = "geom", props: list[str] | None = None,
@@ -85,6 +90,9 @@ OUTPUTS = {
     "block_address_list": ("address_list", ["physical_id", "address"]),
     "master_block_list_full": ("master_full", None),
     "unmatched_bbls": ("unmatched", None),
+    "physical_block_lines": ("block_lines", None),
+    "block_id_chunks": ("block_id_chunks", None),
+    "run_counts": ("run_counts", None),
 }
 
 
