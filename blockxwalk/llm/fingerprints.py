@@ -6,8 +6,9 @@ number of its digests, their xor and the xor of their checks.  Two versions'
 cells subtract; peeling then takes digests from cells that hold a single one,
 until the difference is empty and all differing digests are recovered.  If
 peeling gets stuck, a sketch of four times the cells is tried: digests are
-dealt into 4, 16, ... blocks by their low bits, each block a sketch of its own.
-A difference too large for the last size is taken from the digests themselves.
+dealt into four blocks by two of their bits, each block a sketch of its own; blocks
+that can't be peeled are dealt again, by the next bits, until all are.  That ends at
+any size: by their 64 bits different digests come to lie in different blocks.
 
 Likeness = shared / all paragraph digests = (a + b - d) / (a + b + d) for a and b
 digests and d recovered differences; 1 for two texts without paragraphs.
@@ -26,8 +27,8 @@ from pyspark.sql import functions as F
 
 from .common import column, let, normal_text
 
-#: Cells of each of the three subtables; blocks of the sizes that are tried in turn; rounds of peeling.
-CELLS, SIZES, ROUNDS = 8, (1, 4, 16, 64, 256), 14
+#: Cells of each of the three subtables; larger sketches that are tried in turn, by two bits of a digest each; rounds of peeling.
+CELLS, LEVELS, ROUNDS = 8, 32, 14
 #: Rows of a range of neighbouring ids, about; ranges at most (their bounds go through the driver).
 RANGE_ROWS, MAX_RANGES = 256, 1 << 16
 LOWEST = -(1 << 63)
@@ -99,22 +100,36 @@ def _peel(difference: Column) -> Column:
         F.forall(s["cells"], lambda c: (c["n"] == 0) & (c["k"] == 0) & (c["c"] == 0)), s["got"]))
 
 
-def _in_blocks(a: Column, b: Column, blocks: int) -> Column:
-    """The differing digests by sketches of ``blocks`` blocks, or null if one can't be peeled."""
-    def own(digests: Column, block: Column) -> Column:
-        return F.filter(digests, lambda d: d.bitwiseAND(F.lit(blocks - 1).cast("long")) == block)
+def _deal(block: Column, level: Column) -> Column:
+    """A block (struct a, b) dealt into four by two bits of the digests."""
+    def own(side: Column, q: Column) -> Column:
+        return F.filter(side, lambda d: F.call_function("shiftrightunsigned", d, level * 2).bitwiseAND(F.lit(3).cast("long")) == q)
 
-    parts = F.transform(F.sequence(F.lit(0), F.lit(blocks - 1)), lambda block: _peel(_subtract(sketch(own(a, block)), sketch(own(b, block)))))
-    return let(parts, lambda found: F.when(~F.exists(found, lambda p: p.isNull()), F.flatten(found)))
+    fourths = F.array(*[F.lit(q).cast("long") for q in range(4)])
+    return F.transform(fourths, lambda q: F.struct(own(block["a"], q).alias("a"), own(block["b"], q).alias("b")))
+
+
+def _larger(state: Column, level: Column) -> Column:
+    """One retry: each block that couldn't be peeled (todo) as four blocks, each a sketch of its own."""
+    blocks = F.flatten(F.transform(state["todo"], lambda x: _deal(x, level)))
+    # a difference that is larger than the cells can't be peeled: such a block need not be tried
+    tried = F.transform(blocks, lambda x: F.struct(x["a"].alias("a"), x["b"].alias("b"), F.when(
+        F.abs(F.size(x["a"]) - F.size(x["b"])) <= 3 * CELLS, _peel(_subtract(sketch(x["a"]), sketch(x["b"])))).alias("got")))
+    return let(tried, lambda t: F.struct(
+        F.transform(F.filter(t, lambda x: x["got"].isNull()), lambda x: F.struct(x["a"].alias("a"), x["b"].alias("b"))).alias("todo"),
+        F.concat(state["got"], F.flatten(F.transform(F.filter(t, lambda x: x["got"].isNotNull()), lambda x: x["got"]))).alias("got")))
+
+
+def recovered(a: Column, b: Column) -> Column:
+    """The digests of one list but not the other, peeled from ever larger sketches; those parts grow that couldn't be peeled."""
+    start = F.struct(F.array(F.struct(a.alias("a"), b.alias("b"))).alias("todo"), F.array().cast("array<bigint>").alias("got"))
+    return F.aggregate(F.sequence(F.lit(0), F.lit(LEVELS - 1)), start, lambda s, level: F.when(F.size(s["todo"]) == 0, s).otherwise(_larger(s, level)), lambda s: s["got"])
 
 
 def differing(a: Column, b: Column, cells_a: Column, cells_b: Column) -> Column:
     """The digests of one text but not the other: their fingerprints' difference peeled, larger sketches on failure."""
-    # a difference that is larger than the cells can't be peeled: such a size need not be tried
     gap = F.abs(F.size(a) - F.size(b))
-    tries = [F.when(gap <= 3 * CELLS, _peel(_subtract(cells_a, cells_b)))]
-    tries += [F.when(gap <= 3 * CELLS * n, _in_blocks(a, b, n)) for n in SIZES[1:]]
-    return F.coalesce(*tries, F.concat(F.array_except(a, b), F.array_except(b, a)))
+    return F.coalesce(F.when(gap <= 3 * CELLS, _peel(_subtract(cells_a, cells_b))), recovered(a, b))
 
 
 def likeness(a: Column, b: Column, d: Column) -> Column:

@@ -58,10 +58,24 @@ def test_peeling_recovers_the_digests(spark):
     a, b = [f"x{i}" for i in range(200)], [f"x{i}" for i in range(150, 230)]
     df = spark.createDataFrame([("\n".join(a), "\n".join(b))], "a string, b string").select(fp.paragraphs(F.col("a")).alias("a"), fp.paragraphs(F.col("b")).alias("b"))
     df = df.select("a", "b", fp.sketch(F.col("a")).alias("sa"), fp.sketch(F.col("b")).alias("sb"))
-    r = df.select("a", "b", fp._peel(fp._subtract(F.col("sa"), F.col("sb"))).alias("small"), fp._in_blocks(F.col("a"), F.col("b"), 64).alias("large"),
+    r = df.select("a", "b", fp._peel(fp._subtract(F.col("sa"), F.col("sb"))).alias("small"), fp.recovered(F.col("a"), F.col("b")).alias("large"),
                   fp.differing(F.col("a"), F.col("b"), F.col("sa"), F.col("sb")).alias("d")).collect()[0]
     assert r["small"] is None
-    assert set(r["large"]) == set(r["d"]) == set(r["a"]) ^ set(r["b"])
+    assert set(r["large"]) == set(r["d"]) == set(r["a"]) ^ set(r["b"]) and len(r["d"]) == len(set(r["d"]))
+
+
+def test_a_hundred_thousand_differing_lines_are_peeled(spark):
+    df = spark.range(1).select(F.transform(F.sequence(F.lit(1), F.lit(80_000)), lambda i: F.xxhash64(i)).alias("a"), F.transform(F.sequence(F.lit(30_001), F.lit(130_000)), lambda i: F.xxhash64(i)).alias("b"))
+    df = df.select("a", "b", fp.recovered(F.col("a"), F.col("b")).alias("d"))
+    r = df.select(F.size("d").alias("n"), F.size(F.array_except(F.concat(F.array_except("a", "b"), F.array_except("b", "a")), "d")).alias("missing")).first()
+    assert (r["n"], r["missing"]) == (80_000, 0)
+
+
+def test_digests_of_equal_low_bits_are_told_apart(spark):
+    """Digests that go to the same blocks up to the last bits."""
+    df = spark.createDataFrame([([(i << 40) | 5 for i in range(-40, 40)] + [5 + (1 << 63) - (1 << 64)], [(3 << 62) - (1 << 64) + 5, 5])], "a array<bigint>, b array<bigint>")
+    r = df.select("a", "b", fp.recovered(F.col("a"), F.col("b")).alias("d")).first()
+    assert set(r["d"]) == set(r["a"]) ^ set(r["b"])
 
 
 def test_one_document_and_none(spark):
