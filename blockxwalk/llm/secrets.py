@@ -39,8 +39,7 @@ CLASSES = (
     ("entropy_hex", "0-9a-f", "0123456789abcdef", 16, 3.0, ("[0-9]", "[a-f]")),
     ("entropy_base64", "A-Za-z0-9+/_-", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-", 20, 3.7, ("[0-9]", "[A-Za-z]")),
 )
-#: Upper-case hexadecimal keys, whose 16 symbols rarely reach the threshold of the base64 class.  ``scan_sql`` has CLASSES only
-#: and doesn't know these spans; it also drops a candidate as a whole where an allow-list pattern matches.
+#: Upper-case hexadecimal keys, whose 16 symbols rarely reach the threshold of the base64 class.
 UPPER_HEX = ("entropy_upper_hex", "0-9A-F", "0123456789ABCDEF", 16, 3.0, ("[0-9]", "[A-F]"))
 SCANNED = (*CLASSES, UPPER_HEX)
 #: What these patterns find is no secret: UUIDs, rows of the alphabet, dummies, paths of words.
@@ -52,21 +51,40 @@ ALLOW = (
 )
 
 
-def spans_of(text: Column, pattern: str) -> Column:
-    """array<struct<s, e, m>>: start, end (code points, end exclusive) and text of the leftmost non-overlapping matches."""
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pieces = F.split(text, pattern, -1)
+#: Items, or places of a candidate, that one aggregate goes through: it copies what it holds at every step.
+RUN = 128
+
+
+def _runs(n: Column) -> Column:
+    """array<int>: the numbers of the runs of n items (one at least)."""
+    return F.sequence(F.lit(0), F.floor(F.greatest(n - 1, F.lit(0)) / RUN).cast("int"))
+
+
+def _place(pairs: Column) -> Column:
+    """Start and end of each match, of pairs of the piece before it and the match: sums over runs first, then inside each run."""
+    none, item = F.array().cast("array<struct<s:int,e:int,m:string>>"), lambda k: F.slice(pairs, k * RUN + 1, F.lit(RUN))
+    long = F.transform(_runs(F.size(pairs)), lambda k: F.aggregate(item(k), F.lit(0), lambda n, x: n + F.length(x["p"]) + F.length(x["m"])))
+    # a number for each run: where it starts
+    starts = let(long, lambda own: F.aggregate(own, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("all")), lambda st, n: F.struct(
+        (st["at"] + n).alias("at"), F.concat(st["all"], F.array(st["at"])).alias("all")), lambda st: st["all"]))
 
     def place(state: Column, pair: Column) -> Column:
         start = state["at"] + F.length(pair["p"])
         end = start + F.length(pair["m"])
         return F.struct(end.alias("at"), F.concat(state["out"], F.array(F.struct(start.alias("s"), end.alias("e"), pair["m"].alias("m")))).alias("out"))
 
+    return let(starts, lambda at: F.flatten(F.transform(at, lambda first, k: F.aggregate(
+        item(k), F.struct(first.alias("at"), none.alias("out")), place, lambda st: st["out"]))))
+
+
+def spans_of(text: Column, pattern: str) -> Column:
+    """array<struct<s, e, m>>: start, end (code points, end exclusive) and text of the leftmost non-overlapping matches."""
+    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    pieces = F.split(text, pattern, -1)
     none = F.array().cast("array<struct<s:int,e:int,m:string>>")
     pairs = F.zip_with(F.slice(pieces, 1, F.size(matches)), matches, lambda p, m: F.struct(p.alias("p"), m.alias("m")))
-    found = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("out")), place, lambda s: s["out"])
     # the second pass over the text only where the first has found something
-    return F.when(F.size(matches) > 0, found).otherwise(none)
+    return F.when(F.size(matches) > 0, let(pairs, _place)).otherwise(none)
 
 
 def _weights(window: int) -> Column:
@@ -83,32 +101,54 @@ def high_entropy(candidate: Column, alphabet: str, window: int, bits: float) ->
     weigh = _weights(window)
     most = round(1e6 * window * (math.log2(window) - bits))
     codes = F.transform(F.split(candidate, ""), lambda c: F.instr(F.lit(alphabet), c))
-    zero = F.array_repeat(F.lit(0), len(alphabet))
+    # a character for each symbol's count, from "0" on
+    zero = F.lit("0" * len(alphabet))
     none = F.array().cast("array<struct<s:int,e:int>>")
 
-    def step(state: Column, x: Column) -> Column:
-        def change(counts: Column) -> Column:  # one character enters at i, one leaves behind the window
-            return F.transform(counts, lambda c, k: c + F.when(k + 1 == x["new"], 1).otherwise(0) - F.when(k + 1 == x["old"], 1).otherwise(0))
+    def count(counts: Column, at: Column) -> Column:
+        return F.ascii(F.substring(counts, at, F.lit(1))) - 48
+
+    def put(counts: Column, at: Column, n: Column) -> Column:
+        return F.overlay(counts, F.char(n + 48), at, F.lit(1))
+
+    def step(state: Column, new: Column, old: Column) -> Column:
+        """One character enters and one (0: none) leaves behind the window: two counts change, if they aren't the same symbol."""
+        enters, leaves = count(state["counts"], new), count(state["counts"], old)
+        enter = F.element_at(weigh, enters + 2) - F.element_at(weigh, enters + 1)
+        leave = F.element_at(weigh, leaves) - F.element_at(weigh, leaves + 1)
+        entered = put(state["counts"], new, enters + 1)
+        counts = F.when(old == new, state["counts"]).when(old > 0, put(entered, old, leaves - 1)).otherwise(entered)
+        delta = F.when(old == new, F.lit(0).cast("long")).when(old > 0, enter + leave).otherwise(enter)
+        return F.struct(counts.alias("counts"), (state["sum"] + delta).alias("sum"), state["hits"].alias("hits"))
+
+    def mark(state: Column, start: Column, counts: Column) -> Column:
+        """A window that counts prolongs the last span, or opens one."""
+        last = F.element_at(state["hits"], -1)
+        here = F.struct(start.alias("s"), (start + window).alias("e"))
+        longer = F.concat(F.slice(state["hits"], 1, F.size(state["hits"]) - 1), F.array(F.struct(last["s"].alias("s"), here["e"].alias("e"))))
+        joined = F.when(F.size(state["hits"]) == 0, F.array(here)).when(last["e"] >= start, longer).otherwise(F.concat(state["hits"], F.array(here)))
+        return F.struct(state["counts"].alias("counts"), state["sum"].alias("sum"), F.when(counts & (state["sum"] <= most), joined).otherwise(state["hits"]).alias("hits"))
+
+    empty = F.struct(zero.alias("counts"), F.lit(0).cast("long").alias("sum"), none.alias("hits"))
+
+    def run(all_: Column, k: Column) -> Column:
+        """The spans of the windows that end in one run of places; the counts start with the window before it."""
+        first = F.greatest(k * RUN - (window - 1), F.lit(0))
+
+        def at(state: Column, i: Column) -> Column:
+            old = F.when(i - window >= first, F.element_at(all_, F.greatest(i - window + 1, F.lit(1)))).otherwise(F.lit(0))
+            entered = let(old, lambda o: step(state, F.element_at(all_, i + 1), o))
+            return let(entered, lambda st: mark(st, i + 1 - window, (i >= k * RUN) & (i + 1 >= window)))
 
-        # counts before the change, of the two characters concerned
-        enters, leaves = F.element_at(state["counts"], x["new"]), F.when(x["old"] > 0, F.element_at(state["counts"], F.greatest(x["old"], F.lit(1)))).otherwise(F.lit(0))
-        delta = F.when(x["old"] == x["new"], F.lit(0)).otherwise(
-            F.element_at(weigh, enters + 2) - F.element_at(weigh, enters + 1)
-            + F.when(x["old"] > 0, F.element_at(weigh, leaves) - F.element_at(weigh, leaves + 1)).otherwise(F.lit(0))).cast("long")
-        return F.struct(change(state["counts"]).alias("counts"), (state["sum"] + delta).alias("sum"), state["hits"].alias("hits"), x["i"].alias("i"))
+        return F.aggregate(F.sequence(first, F.least((k + 1) * RUN, F.size(all_)) - 1), empty, at, lambda st: st["hits"])
 
-    def mark(state: Column) -> Column:
-        start, last = state["i"] + 1 - window, F.element_at(state["hits"], -1)
-        here = F.struct(start.cast("int").alias("s"), (state["i"] + 1).cast("int").alias("e"))
-        joined = F.concat(F.slice(state["hits"], 1, F.size(state["hits"]) - 1), F.array(F.struct(last["s"].alias("s"), here["e"].alias("e"))))
-        hits = F.when(F.size(state["hits"]) == 0, F.array(here)).when(last["e"] >= start, joined).otherwise(F.concat(state["hits"], F.array(here)))
-        return F.struct(state["counts"].alias("counts"), state["sum"].alias("sum"),
-                        F.when((start >= 0) & (state["sum"] <= most), hits).otherwise(state["hits"]).alias("hits"), state["i"].alias("i"))
+    def merged(hits: Column) -> Column:
+        """Spans of different runs that meet are one; all ascend."""
+        opens = F.filter(hits, lambda x, i: (i == 0) | (F.get(hits, i - 1)["e"] < x["s"]))
+        ends = F.filter(hits, lambda x, i: (i == F.size(hits) - 1) | (F.get(hits, i + 1)["s"] > x["e"]))
+        return F.zip_with(opens, ends, lambda a, b: F.struct(a["s"].alias("s"), b["e"].alias("e")))
 
-    # what enters at each place and what leaves (0: nothing yet)
-    moves = let(codes, lambda all: F.transform(all, lambda c, i: F.struct(c.alias("new"), F.when(i >= window, F.element_at(all, F.greatest(i - window + 1, F.lit(1)))).otherwise(F.lit(0)).alias("old"), i.alias("i"))))
-    start = F.struct(zero.alias("counts"), F.lit(0).cast("long").alias("sum"), none.alias("hits"), F.lit(-1).alias("i"))
-    return F.aggregate(moves, start, lambda s, x: let(step(s, x), mark), lambda s: s["hits"])
+    return let(let(codes, lambda all_: F.flatten(F.transform(_runs(F.size(all_)), lambda k: run(all_, k)))), merged)
 
 
 def _rest(run: Column, pattern: str) -> Column:
@@ -173,21 +213,27 @@ def scan_sql() -> str:
     """DuckDB: the rows of the registered query; every window's characters are counted anew."""
     q = lambda s: "'" + s.replace("'", "''") + "'"
     space = lambda s: s.replace(r"\x20", " ")
-    kinds = [(0, "assign", space(ASSIGN)), (1, "access", ACCESS), (2, "hex", HEX)] + [(3 + i, c[0], f"[{c[1]}]{{{c[3]},}}") for i, c in enumerate(CLASSES)]
+    kinds = [(0, "assign", space(ASSIGN)), (1, "access", ACCESS), (2, "hex", HEX)] + [(3 + i, c[0], f"[{c[1]}]{{{c[3]},}}") for i, c in enumerate(SCANNED)]
     found = " UNION ALL ".join(
-        f"SELECT doc_id, t, {k} AS k, {q(kind)} AS kind, regexp_extract_all(t, {q(p)}) AS ms, string_split_regex(t, {q(p)}) AS ps FROM d" for k, kind, p in kinds)
-    suspicious = " OR ".join(
-        f"(k = {3 + i} AND " + " AND ".join([f"regexp_matches(m, {q(n)})" for n in c[5]] + [f"NOT regexp_matches(m, {q(a)})" for a in ALLOW]) + ")" for i, c in enumerate(CLASSES))
-    window = "CASE k " + " ".join(f"WHEN {3 + i} THEN {c[3]}" for i, c in enumerate(CLASSES)) + " END"
-    most = "CASE k " + " ".join(f"WHEN {3 + i} THEN {round(1e6 * c[3] * (math.log2(c[3]) - c[4]))}" for i, c in enumerate(CLASSES)) + " END"
+        f"SELECT n, t, {k} AS k, {q(kind)} AS kind, regexp_extract_all(t, {q(p)}) AS ms, string_split_regex(t, {q(p)}) AS ps FROM d" for k, kind, p in kinds)
+    holds = " OR ".join(f"(k = {3 + i} AND length(m) >= {c[3]} AND " + " AND ".join(f"regexp_matches(m, {q(n)})" for n in c[5]) + ")" for i, c in enumerate(SCANNED))
+    harmless = q("|".join(f"(?:{a})" for a in ALLOW))
+    none = " AND ".join(f"NOT regexp_matches(m, {q(a)})" for a in ALLOW)
+    window = "CASE k " + " ".join(f"WHEN {3 + i} THEN {c[3]}" for i, c in enumerate(SCANNED)) + " END"
+    most = "CASE k " + " ".join(f"WHEN {3 + i} THEN {round(1e6 * c[3] * (math.log2(c[3]) - c[4]))}" for i, c in enumerate(SCANNED)) + " END"
     return f"""
 WITH d AS (SELECT row_number() OVER () AS n, doc_id, coalesce(text, '') AS t FROM documents),
-found AS (SELECT * FROM ({found.replace('SELECT doc_id,', 'SELECT n, doc_id,')}) WHERE len(ms) > 0),
+found AS (SELECT * FROM ({found}) WHERE len(ms) > 0),
 numbered AS (SELECT n, k, kind, ms, ps, unnest(range(1, len(ms) + 1)) AS i FROM found),
 placed AS (SELECT n, k, kind, ms[i] AS m,
   list_sum(list_transform(ps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS s FROM numbered),
 base AS (SELECT n, k, kind, s, s + length(m) AS e FROM placed WHERE k IN (1, 2) OR k = 0 AND length(regexp_extract(m, {q(space(ASSIGN))}, 2)) >= {LEAST_SECRET}),
-candidate AS (SELECT n, k, kind, s, m, {window} AS w, {most} AS most FROM placed WHERE {suspicious}),
+run AS (SELECT n, k, kind, s, m FROM placed WHERE {holds}),
+cut AS (SELECT n, k, kind, s, string_split_regex(m, {harmless}) AS ps, regexp_extract_all(m, {harmless}) AS ms FROM run WHERE regexp_matches(m, {harmless})),
+piece AS (SELECT n, k, kind, s, ps, ms, unnest(range(1, len(ps) + 1)) AS i FROM cut),
+part AS (SELECT n, k, kind, s, m FROM run WHERE NOT regexp_matches(m, {harmless}) UNION ALL
+  SELECT n, k, kind, s + coalesce(list_sum(list_transform(ps[1:i - 1], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0), ps[i] FROM piece),
+candidate AS (SELECT n, k, kind, s, m, {window} AS w, {most} AS most FROM part WHERE ({holds}) AND {none}),
 windows AS (SELECT *, unnest(range(0, length(m) - w + 1)) AS j FROM candidate),
 letters AS (SELECT n, k, kind, s, w, most, j, unnest(string_split(substr(m, (j + 1)::BIGINT, w), '')) AS letter FROM windows),
 counted AS (SELECT n, k, kind, s, w, most, j, letter, count(*) AS c FROM letters GROUP BY ALL),

@@ -4,8 +4,10 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter
 
+import duckdb
 import pytest
 
 from blockxwalk.llm import secrets
@@ -110,6 +112,34 @@ def test_allow_list_spares_the_rest_of_a_run(spark):
     assert got[4] == got[5] == got[6] == got[7] == []
 
 
+def test_a_long_text_of_keys_takes_linear_time(spark):
+    """1 MB of hexadecimal runs in one text; spans that fill many lists."""
+    rng = random.Random(3)
+    runs = ["".join(rng.choice("0123456789abcdef") for _ in range(31)) for _ in range(32_000)]
+    df = spark.createDataFrame([(1, " ".join(runs))], "doc_id long, text string")
+    start = time.time()
+    spans = [tuple(s) for s in secrets.scan(df).collect()[0]["spans"]]
+    assert time.time() - start < 40  # 15 s on a free machine
+    assert spans == plain(" ".join(runs)) and len(spans) > 20_000
+
+
+def test_one_long_run_of_many_spans(spark):
+    rng = random.Random(4)
+    t = "".join("".join(rng.choice("0123456789abcdef") for _ in range(20)) + "a" * 25 for _ in range(3000))
+    got = secrets.scan(spark.createDataFrame([(1, t)], "doc_id long, text string")).collect()[0]["spans"]
+    assert [tuple(s) for s in got] == plain(t) and len(got) > 1000
+
+
+def test_the_sql_knows_upper_case_keys_and_parts_of_runs(spark, tmp_path):
+    key = "9f8Hj2Kq7LmZ3xWv5Tb1NcRy4PdG6sQe"
+    texts = [f"v1/example/{key} and {key}xxxxxxxx", "TOKEN = \" 9233A8ECF7C5B09FE5949719B6B82BC439E9329B`", f"/{key}/example/{key}", "0123456789abcdef" * 3, "9c3f1a7be24d8065xxxxxxxx9c3f1a7be24d8065", None, "é " + key]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    want = con.execute(secrets.scan_sql()).fetchall()
+    assert sorted(want) == sorted(map(tuple, op1_secrets(spark, str(tmp_path)).collect())) and sum("entropy_upper_hex" in r[-1] for r in want) == 1
+
+
 @pytest.mark.parametrize("sf", ["sf0.001"])
 def test_query(spark, sf):
     rows = op1_secrets(spark, f"/root/testdata/{sf}").collect()
