@@ -7,10 +7,14 @@ each by its format and its context; a threshold for each kind of proposal,
 calibrated on held-out proposals to ``PRECISION``, selects redactions.  Selected
 spans never overlap base spans, and of overlapping ones the likeliest stays.
 
-No table labels personal data, so the trees learn from the base rules: a
-proposal is positive if it covers a base span and little else.  They are fitted on a
-bounded sample: at most ``SAMPLE_DOCS`` documents that hold a digit or ``@``, in
-the order of a hash of the id, and ``SAMPLE`` of their proposals.
+No table labels personal data, so positives are made: in a copy of each sampled
+text the base spans are rewritten, in their own context, to forms that no rule finds
+(several copies) -- addresses spelled out, phone numbers without the country's code, cards of 15
+digits or grouped otherwise, account numbers with valid check digits -- and a
+proposal there is positive if it covers a rewritten span and little else.  What the
+generators propose in the texts as they are, clear of base spans, is negative.  The
+sample is bounded: at most ``SAMPLE_DOCS`` documents that hold a digit or ``@``, in
+the order of a hash of the id, and ``SAMPLE`` of the proposals.
 
 Every search is linear in the text: runs are cut once, from left to right, and
 the rules are applied to the runs.
@@ -23,6 +27,7 @@ repeated result; an empty table an empty one; other columns are ignored.
 from __future__ import annotations
 
 import bisect
+import random
 import re
 from collections.abc import Iterator
 
@@ -38,6 +43,8 @@ EXTRA = ("contact", "number", "account")
 KINDS = BASE + EXTRA
 SAMPLE_DOCS, SAMPLE, PRECISION = 6000, 20_000, 0.98
 TREES, DEPTH, RATE, BINS = 40, 3, 0.2, 32
+#: Rewritten copies of a sampled text that holds base spans.
+COPIES = 4
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -98,7 +105,8 @@ def base_spans(t: str) -> list[tuple[int, int, int]]:
 _RUN = re.compile(r"[+(]{0,3}[0-9](?:[ ()./-]{0,3}[0-9])*")
 _PART = re.compile(r"[0-9](?:[./-]?[0-9])*")
 _TOKEN = re.compile(r"\S+")
-_SPELLED = re.compile(r"[A-Za-z0-9._%+-]{1,64} ?[\[(] ?at ?[\])] ?[A-Za-z0-9.-]{1,255}", re.I)
+_AT = re.compile(r" ?[\[(] ?at ?[\])] ?", re.I)
+_HOST = re.compile(r"[A-Za-z0-9-]+(?:(?:\.| ?[\[(] ?dot ?[\])] ?)[A-Za-z0-9-]+)*", re.I)
 _ACCOUNT = re.compile(r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{2,4}){3,8}\b")
 _HINT = re.compile(r"(?i)\b(?:tel|phone|call|mail|contact|card|visa|ip|host|server|account|iban|ssn|fax|mobile|address)")
 
@@ -115,8 +123,15 @@ def proposals(t: str) -> list[tuple[int, int, int]]:
             if own and len(own) < len(m[0]):
                 s = m.start() + m[0].find(own)
                 out.append((0, s, s + len(own)))
-    if "at" in t and ("(" in t or "[" in t):
-        out += [(0, *m.span()) for m in _SPELLED.finditer(t)]
+    if "(" in t or "[" in t:
+        last = 0
+        for m in _AT.finditer(t):
+            s, host = m.start(), _HOST.match(t, m.end())
+            while s > last and t[s - 1] in _LOCAL:
+                s -= 1
+            last = m.end()
+            if s < m.start() and host:
+                out.append((0, s, host.end()))
     for m in _RUN.finditer(t):
         if m.end() - m.start() < 7:
             continue
@@ -127,12 +142,9 @@ def proposals(t: str) -> list[tuple[int, int, int]]:
     return sorted(set(out))
 
 
-FEATURES = 26
-
-
 def features(t: str, kind: int, s: int, e: int) -> list[float]:
     """Format and context of a proposal."""
-    own = t[s:e] if e - s <= 400 else t[s:s + 400]
+    own = t[s:e]
     digits = "".join(filter(str.isdigit, own))
     ascii_digits = digits if digits.isascii() else ""
     groups = [len(g) for g in _DIGIT.findall(own)] or [0]
@@ -145,9 +157,57 @@ def features(t: str, kind: int, s: int, e: int) -> list[float]:
         own.startswith("+"), own.count("@"), "." in host.strip("."), len(host), len(own) - len(host), len(groups), max(groups), min(groups), groups[0], groups[-1],
         bool(ascii_digits) and luhn(ascii_digits), len(dots) == 4 and all(x.isascii() and x.isdigit() and _octet(x) for x in dots),
         before.isspace() or not before, before.isalnum(), after.isalnum(), after in ("", " ", "\n", ".", ","), bool(_HINT.search(left)),
+        _checked(own), bool(_AT.search(own)),
     ]
 
 
+def _checked(account: str) -> bool:
+    """Whether an account number's check digits are right (remainder 1 by 97)."""
+    own = account.replace(" ", "").upper()
+    return own.isascii() and own.isalnum() and 15 <= len(own) <= 34 and own[:2].isalpha() and int("".join(str(int(c, 36)) for c in own[4:] + own[:4])) % 97 == 1
+
+
+# --- positives -------------------------------------------------------------------
+
+def _rewritten(kind: int, own: str, rng: random.Random) -> str:
+    """A base span in a form that isn't one."""
+    digits = "".join(c for c in own if c.isascii() and c.isdigit())
+    if kind == 0 and rng.random() < 0.8:
+        at, dot = rng.choice([" (at) ", "(at)", " [at] ", "[at]", " (AT) "]), rng.choice([".", ".", " (dot) ", "[dot]"])
+        local, _, host = own.partition("@")
+        return local + at + host.replace(".", dot)
+    if kind == 3 and rng.random() < 0.8 or kind == 1 and rng.random() < 0.5:
+        d = (digits + "".join(rng.choice("0123456789") for _ in range(10)))[-10:] if kind == 3 else "".join(rng.choice("0123456789") for _ in range(10))
+        d = rng.choice("23456789") + d[1:]
+        return rng.choice([f"({d[:3]}) {d[3:6]}-{d[6:]}", f"{d[:3]}-{d[3:6]}-{d[6:]}", f"{d[:3]}.{d[3:6]}.{d[6:]}", f"{d[:3]} {d[3:6]} {d[6:]}", f"{d[:3]} {d[3:6]} {d[6:]}", f"(0{d[:2]}) {d[2:6]} {d[6:]}", f"0{d[:3]} {d[3:]}", f"0{d[:2]}/{d[2:]}"])
+    if kind == 2 and rng.random() < 0.8:
+        if rng.random() < 0.4:
+            return rng.choice([".", "/"]).join(digits[i:i + 4] for i in range(0, len(digits), 4))
+        d = rng.choice(["34", "37", "30", "36"]) + "".join(rng.choice("0123456789") for _ in range(12))
+        d = next(d + c for c in "0123456789" if luhn(d + c))
+        return rng.choice([d, f"{d[:4]} {d[4:10]} {d[10:]}", f"{d[:4]}-{d[4:10]}-{d[10:]}"])
+    country, n, letters = rng.choice([("GB", 22, 4), ("DE", 22, 0), ("FR", 27, 0), ("ES", 24, 0), ("NL", 18, 4), ("IT", 27, 1), ("PL", 28, 0), ("AT", 20, 0)])
+    body = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(letters)) + "".join(rng.choice("0123456789") for _ in range(n - 4 - letters))
+    check = 98 - int("".join(str(int(c, 36)) for c in body + country) + "00") % 97
+    own = f"{country}{check:02d}{body}"
+    return own if rng.random() < 0.4 else " ".join(own[i:i + 4] for i in range(0, n, 4))
+
+
+def rewrite(t: str, base: list[tuple[int, int, int]], seed: int) -> tuple[str, list[tuple[int, int]]]:
+    """The text with its base spans (of overlapping ones the first) rewritten, and where they are."""
+    rng, out, spans, at, size = random.Random(seed), [], [], 0, 0
+    for k, s, e in sorted(base, key=lambda x: x[1]):
+        if s < at:
+            continue
+        new = _rewritten(k, t[s:e], rng)
+        out += [t[at:s], new]
+        size += s - at
+        spans.append((size, size + len(new)))
+        size += len(new)
+        at = e
+    return "".join([*out, t[at:]]), spans
+
+
 # --- boosted trees -----------------------------------------------------------------
 
 def boost(x: np.ndarray, y: np.ndarray) -> dict:
@@ -195,13 +255,30 @@ def predict(model: dict, x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-z))
 
 
-def _taught(base: list[tuple[int, int, int]], s: int, e: int) -> bool:
-    """Whether a proposal covers a base span and little else."""
-    return any(min(e, b) - max(s, a) >= 0.8 * (max(e, b) - min(s, a)) for _, a, b in base)
+def _taught(spans: list[tuple[int, int]], s: int, e: int) -> bool:
+    """Whether a proposal covers one of the spans (disjoint, in order) and little else."""
+    k = bisect.bisect_left(spans, (s, s))
+    return any(min(e, b) - max(s, a) >= 0.8 * (max(e, b) - min(s, a)) for a, b in spans[max(0, k - 1):k + 2])
+
+
+def examples(t: str, seed: int) -> list[tuple[int, int, bool, list[float]]]:
+    """(start, end, positive, features) of a text's proposals: those clear of base spans, and those in its rewritten copies."""
+    base = base_spans(t)
+    taken = _merged(base)
+    found = [(s, e, False, features(t, k, s, e)) for k, s, e in proposals(t) if _free(taken, s, e)]
+    for copy in range(COPIES if base else 0):
+        new, spans = rewrite(t, base, seed + copy)
+        others = _merged(base_spans(new))  # a rewritten form may hold a base span after all
+        for k, s, e in proposals(new):
+            if _free(others, s, e):
+                near = _taught(spans, s, e)
+                if near or not _free([[0, a, b] for a, b in spans], s, e):  # else it has been taken from the text as it is
+                    found.append((s, e, near, features(new, k, s, e)))
+    return found
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> dict | None:
-    """Trees and thresholds (by kind of proposal) learned from the base rules on a bounded sample; None without both classes."""
+    """Trees and thresholds (by kind of proposal) learned from rewritten spans on a bounded sample; None without both classes."""
     rows = docs.select(column(id_col).alias("id"), normal_text(text_col).alias("t")).where(F.col("t").rlike("[0-9@]"))
     picked = rows.select(F.xxhash64("id", "t").alias("h")).distinct().orderBy("h").limit(SAMPLE_DOCS)
     rows = rows.withColumn("h", F.xxhash64("id", "t")).join(F.broadcast(picked), "h", "left_semi")
@@ -209,17 +286,14 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> dict
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for h, t in zip(b.column("h").to_pylist(), b.column("t").to_pylist()):
-                found = proposals(t)
-                if not found:
-                    continue
-                base = base_spans(t)
-                x = [[float(v) for v in features(t, *p)] for p in found]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([h] * len(found), pa.int64()), pa.array([s for _, s, _ in found], pa.int64()), pa.array([e for _, _, e in found], pa.int64()),
-                    pa.array([_taught(base, s, e) for _, s, e in found]), pa.array(x, pa.list_(pa.float32()))], ["h", "s", "e", "y", "x"])
-
-    found = rows.select("h", "t").mapInArrow(extract, "h long, s long, e long, y boolean, x array<float>").distinct()
-    taken = found.orderBy(F.xxhash64("h", "s", "e"), "h", "s", "e").limit(SAMPLE).toArrow()
+                found = examples(t, h)
+                if found:
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([h] * len(found), pa.int64()), pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64()),
+                        pa.array([f[2] for f in found]), pa.array([[float(v) for v in f[3]] for f in found], pa.list_(pa.float32()))], ["h", "s", "e", "y", "x"])
+
+    found = rows.select("h", "t").distinct().mapInArrow(extract, "h long, s long, e long, y boolean, x array<float>").distinct()
+    taken = found.orderBy(F.xxhash64("h", "s", "e", "y"), "h", "s", "e", "y", "x").limit(SAMPLE).toArrow()
     if not taken.num_rows:
         return None
     x = np.array(taken.column("x").to_pylist(), np.float64)
@@ -233,8 +307,9 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> dict
         own = x[fold][:, 0] == kind
         order = np.argsort(-p[own], kind="stable")
         right = np.cumsum(y[fold][own][order]) / (np.arange(own.sum()) + 2)  # one miss is always expected
-        good = np.flatnonzero(right >= PRECISION)
-        limits.append(max(0.5, float(p[own][order][good[-1]])) if len(good) else 2.0)
+        good, sure = np.flatnonzero(right >= PRECISION), p[own][order]
+        # between the last good proposal and the next one
+        limits.append(max(0.5, float(sure[good[-1]:good[-1] + 2].mean()) if good[-1] + 1 < len(sure) else 0.5) if len(good) else 2.0)
     return model | {"limits": np.array(limits)}
 
 
@@ -242,7 +317,7 @@ def all_spans(texts: list[str], model: dict | None) -> list[list[tuple[int, int,
     """(place in KINDS, start, end) of base and selected spans of each text, by kind, then start."""
     out, waiting = [], []
     for i, t in enumerate(texts):
-        if not _ANY.search(t) and "(" not in t and "[" not in t:
+        if not _ANY.search(t) and "(" not in t and "[" not in t:  # no proposal without one of these
             out.append([])
             continue
         base = base_spans(t)

@@ -61,6 +61,71 @@ def test_trees_learn():
     assert ((pii.predict(m, x[3000:]) > 0.5) == y[3000:]).mean() > 0.97
 
 
+def people(n, seed):
+    """Texts with base data in some context, beside harmless numbers."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice(["lo", "ra", "mi", "te", "nu", "sa", "ko"]) for _ in range(rng.randrange(1, 4)))
+    digits = lambda k: "".join(rng.choice("0123456789") for _ in range(k))
+
+    def card():
+        d = "4" + digits(14)
+        d = next(d + c for c in "0123456789" if luhn(d + c))
+        return rng.choice([d, " ".join(d[i:i + 4] for i in range(0, 16, 4))])
+
+    kinds = {"email": lambda: f"{word()}.{word()}@{word()}.com", "ip": lambda: ".".join(str(rng.randrange(256)) for _ in range(4)), "card": card, "phone": lambda: f"+{rng.randrange(1, 99)} {digits(3)} {digits(3)} {digits(4)}"}
+    said = {"email": ["write to", "mail", "contact"], "ip": ["host", "server"], "card": ["card", "paid with"], "phone": ["call", "phone", "tel."]}
+    harmless = [lambda: f"20{digits(2)}-{rng.randrange(10, 13)}-{rng.randrange(10, 29)}", lambda: f"order {digits(9)}", lambda: f"{digits(3)}.{digits(2)} euro", lambda: f"page {digits(2)}", lambda: f"part {digits(5)}-{digits(6)}", lambda: f"id {digits(15)}"]
+    out = []
+    for _ in range(n):
+        bits = [word() for _ in range(rng.randrange(5, 30))]
+        for k, make in kinds.items():
+            if rng.random() < 0.4:
+                bits.insert(rng.randrange(len(bits)), f"{rng.choice(said[k])} {make()}")
+        for make in harmless:
+            if rng.random() < 0.5:
+                bits.insert(rng.randrange(len(bits)), make())
+        out.append(" ".join(bits))
+    return out
+
+
+def test_forms_that_no_rule_finds(spark):
+    """Recall on planted forms, precision on texts without; base spans stay."""
+    docs = people(3000, 1)
+    model = pii.fit(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string"))
+    planted = {"contact": ["bob (at) example.com", "ann.lee [at] mail.example (dot) org", "k.o(at)host.net"], "number": ["212 555 0187", "(030) 1234 5678", "212-555-0187", "3782 822463 10005", "371449635398431"],
+               "account": ["GB29 NWBK 6016 1331 9268 19", "DE89370400440532013000", "FR14 2004 1010 0505 0001 3M02 606"]}
+    found = total = 0
+    for kind, forms in planted.items():
+        for form in forms:
+            assert not plain(form)
+            for before in ("please call ", "card ", "mail ", "account ", "nura sami ", "contact "):
+                t = f"lora temi {before}{form} and kola"
+                spans = pii.all_spans([t], model)[0]
+                total += 1
+                found += any(pii.KINDS[k] == kind and s <= t.index(form) + 1 and e >= t.index(form) + len(form) - 1 for k, s, e in spans)
+    assert found >= 0.9 * total, (found, total)
+    others = people(1500, 2)
+    got = pii.all_spans(others, model)
+    assert all([s for s in g if s[0] < 4] == plain(t) for g, t in zip(got, others))
+    assert sum(k >= 4 for g in got for k, _, _ in g) <= 0.02 * len(others)
+
+
+def test_rewritten_spans_are_no_base_spans():
+    for i, t in enumerate(people(400, 3)):
+        new, spans = pii.rewrite(t, pii.base_spans(t), i)
+        base = pii.base_spans(new)
+        assert sum(any(a < e and s < b for _, a, b in base) for s, e in spans) <= 1
+    assert pii._checked("GB29 NWBK 6016 1331 9268 19") and not pii._checked("GB29 NWBK 6016 1331 9268 18")
+
+
+def test_whole_proposals_count():
+    """Features of a long proposal are those of all of it; a long spelled-out address is proposed whole."""
+    t = "x" * 5000 + " (at) " + "y" * 900 + ".com"
+    assert (0, 0, len(t)) in pii.proposals(t)
+    f = pii.features("1" * 3000 + "a", 1, 0, 3000)
+    assert f[1] == f[2] == 3000
+
+
 def test_find_and_redact(spark):
     rows = [(i, t, "x", 5) for i, t in enumerate([*FIXED[:1], *FIXED[8:], *texts(3, 300)])] + [(None, None, None, None), (1, "call +1 (668) 555-2281 or a@b.cc", "x", 31)] * 2
     df = spark.createDataFrame(rows, "doc_id long, text string, spans string, n_chars long")
