@@ -102,6 +102,18 @@ def test_any_texts(texts):
         assert dict(zip(got["pairs"][k].as_py(), got["times"][k].as_py())) == want and got["n_links"][k].as_py() == sum(want.values())
 
 
+def test_the_quick_encoder_is_the_library(monkeypatch):
+    """On every code point, in places that tell letters, numbers, spaces and the rest apart."""
+    texts = [f"a{chr(c)}1{chr(c)}. {chr(c)}{chr(c)} {chr(c)}'s  {chr(c)}  x" for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for i in range(0, len(texts), 50_000):
+        some = texts[i:i + 50_000]
+        assert list(OWN.a(some)) == [e.ids for e in A.encode_batch_fast(some, add_special_tokens=False)]
+    monkeypatch.setattr(align.Tokenizers, "_ranked", staticmethod(lambda spec, strings: None))
+    other = align.Tokenizers(align.read_vocabularies())
+    texts = [t or "" for t in TEXTS]
+    assert align.align_texts(other, texts) == align.align_texts(OWN, texts)
+
+
 def test_large_groups_are_counted_by_ids(monkeypatch):
     texts = [t or "" for t in TEXTS[:9]] + ["肑é" * 50]
     usual = align.align_texts(OWN, texts)
