@@ -157,7 +157,7 @@ def features(t: str, kind: int, s: int, e: int) -> list[float]:
         own.startswith("+"), own.count("@"), "." in host.strip("."), len(host), len(own) - len(host), len(groups), max(groups), min(groups), groups[0], groups[-1],
         bool(ascii_digits) and luhn(ascii_digits), len(dots) == 4 and all(x.isascii() and x.isdigit() and _octet(x) for x in dots),
         before.isspace() or not before, before.isalnum(), after.isalnum(), after in ("", " ", "\n", ".", ","), bool(_HINT.search(left)),
-        _checked(own), bool(_AT.search(own)),
+        _checked(own), bool(_AT.search(own)), int(ascii_digits[:2] or -1),
     ]
 
 

@@ -107,7 +107,9 @@ def test_forms_that_no_rule_finds(spark):
     others = people(1500, 2)
     got = pii.all_spans(others, model)
     assert all([s for s in g if s[0] < 4] == plain(t) for g, t in zip(got, others))
-    assert sum(k >= 4 for g in got for k, _, _ in g) <= 0.02 * len(others)
+    # numbers of 15 digits with a right check digit and a card's first digits pass; a card that runs into other digits is one
+    wrong = [t[s:e] for t, g in zip(others, got) for k, s, e in g if k >= 4 and not luhn(re.sub("[^0-9]", "", t[s:e]))]
+    assert len(wrong) <= 0.005 * len(others) and sum(k >= 4 for g in got for k, _, _ in g) <= 0.03 * len(others)
 
 
 def test_rewritten_spans_are_no_base_spans():
