@@ -26,8 +26,9 @@ that add up to 1 in each node, let s and t be the parts of u's and v's weight in
 Which pairs u, v of the group can still be links follows from them:
 
 * if they share no shingle outside R, J <= 1 / (1/s + 1/t - 1), as each summand of J
-  is at most p q / (q + (1 - t) p), which is concave; the pairs for which that is
-  enough are joined by s and t;
+  is at most p q / (q + (1 - t) p), which is concave; and s can be no more than the
+  shingles of v in R, weighed as in u, are of u's weight, so that sizes must fit; the
+  pairs for which that is enough are joined by size;
 * else, as J is at most the sum of the lesser weights, the shared shingles outside R
   hold 0.8 - s of u's weight or more, and so one of them is among the first ones
   of u outside R, those after which less than that is left (prefix filter), and the
@@ -64,8 +65,8 @@ REGISTERS = BANDS * ROWS
 #: Agreeing registers that a candidate needs; a pair of similarity 0.8 agrees in 64 of 80, fewer than 44 are 5.6 deviations off.
 LEAST_AGREEING = 44
 SMALL, DEPTH = 64, 8
-#: Bins of the weight outside a reference.
-BINS = 16
+#: A bin of sizes reaches so far.
+BIN = 1.05
 #: Nodes of a group that its reference is made of, about.
 REFERENCE_NODES = 48
 #: Most that rounding moves a similarity or a sum of weights.
@@ -310,11 +311,12 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _inside(groups: DataFrame, sets: DataFrame, references: DataFrame) -> DataFrame:
-    """(a, b, likeness, inside, added) of a node a and its group's reference: the similarity of the plain sets, the part of
-    a's weight in the reference, and the first shingles outside of which a partner shares one."""
+    """(a, b, likeness, inside, total, held, extra, added) of a node a and its group's reference: the similarity of the plain
+    sets; the part of a's weight in the reference; its whole weight, the number of its shingles in the reference, and how
+    much more than that they weigh; and the first shingles outside of which a partner shares one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            like, inside, added = [], [], []
+            like, inside, total, held, extra, added = [], [], [], [], [], []
             for x, y in zip(b.column("sa"), b.column("sb")):
                 (x, w), (y, _) = unpack(x.as_buffer()), unpack(y.as_buffer())
                 here, _ = shared(x, y)
@@ -323,14 +325,17 @@ def _inside(groups: DataFrame, sets: DataFrame, references: DataFrame) -> DataFr
                 p = w / w.sum() if len(w) else w
                 like.append(len(here) / max(1, len(x) + len(y) - len(here)))
                 inside.append(float(p[here].sum()))
+                total.append(float(w.sum()))
+                held.append(len(here))
+                extra.append(float(w[here].sum()) - len(here))
                 left = np.cumsum(p[outside][::-1])[::-1]  # from each shingle on
                 added.append(x[outside][left >= SIMILARITY - inside[-1] - ROUNDING].view(np.int32))
             ends = np.cumsum([0, *map(len, added)]).astype(np.int32)
             values = np.concatenate(added) if added else np.zeros(0, np.int32)
-            yield pa.RecordBatch.from_arrays([*b.select(["a", "b"]).columns, pa.array(like, pa.float64()), pa.array(inside, pa.float64()),
-                                              pa.ListArray.from_arrays(pa.array(ends), pa.array(values))], ["a", "b", "likeness", "inside", "added"])
+            yield pa.RecordBatch.from_arrays([*b.select(["a", "b"]).columns, *(pa.array(v, pa.float64()) for v in (like, inside, total, held, extra)),
+                                              pa.ListArray.from_arrays(pa.array(ends), pa.array(values))], ["a", "b", "likeness", "inside", "total", "held", "extra", "added"])
 
-    return _joined(groups, sets, references).mapInArrow(run, "a binary, b binary, likeness double, inside double, added array<int>")
+    return _joined(groups, sets, references).mapInArrow(run, "a binary, b binary, likeness double, inside double, total double, held double, extra double, added array<int>")
 
 
 def _sets(docs: DataFrame, places: DataFrame, text_col: str) -> DataFrame:
@@ -427,19 +432,30 @@ def _references(groups: DataFrame, sets: DataFrame) -> DataFrame:
 def _near_reference(star: DataFrame, comps: DataFrame | None) -> DataFrame:
     """Pairs of different components that can be links though they share nothing outside their group's reference.
 
-    That needs 1/s + 1/t - 1 <= 1 / SIMILARITY, which bins of 1/s - 1 make a join.
+    That needs 1/s + 1/t - 1 <= 1 / SIMILARITY, where the shared part s of u's weight is
+    at most what lies in the reference, and at most that of as many of its shingles
+    there as v has (each weighs 1, and all of them together ``extra`` more); the same
+    for t.  So v's ``held`` is 0.8 of u's ``total`` less its ``extra`` at least, and 0.8 of v's
+    ``total`` at most u's ``held`` and v's ``extra``: ranges of sizes, joined in bins.
     Nodes in the largest component of a group meet the others only.
     """
     rows = _with_components(star.withColumnRenamed("a", "node"), comps)
     sizes = _table(rows.groupBy("b", "comp").agg(F.count("*").alias("m")).groupBy("b").agg(F.sum("m").alias("n"), F.max(F.struct("m", "comp")).alias("main")), "group-components")
     rows = attach(rows, sizes.select("b", "n", F.col("main.comp").alias("main")), "b", "n")
-    room = 1 / SIMILARITY - 1
-    rows = rows.where(F.col("inside") >= SIMILARITY - ROUNDING).withColumn("z", F.greatest(1 / F.col("inside") - 1, F.lit(0.0)))
-    rows = _table(rows.select("b", "node", "z", F.floor(F.col("z") * BINS / room).cast("int").alias("bin"), "comp", (F.col("comp") == F.col("main")).alias("inside")), "near-reference")
-    u = rows.where(~F.col("inside")).select("b", F.col("node").alias("u"), F.col("comp").alias("cu"), F.col("z").alias("zu"), F.explode(F.sequence(F.lit(0), F.greatest(BINS - F.col("bin"), F.lit(0)))).alias("bin"))
-    v = rows.select("b", F.col("node").alias("v"), F.col("comp").alias("cv"), F.col("z").alias("zv"), "bin")
-    found = u.join(v, ["b", "bin"]).where((F.col("cu") != F.col("cv")) & (F.col("zu") + F.col("zv") <= room + 4 * ROUNDING))
-    return found.select(F.col("u").alias("a"), F.col("v").alias("b"))
+    rows = rows.where(F.col("inside") >= SIMILARITY - ROUNDING)
+    rows = _table(rows.select("b", "node", "inside", "total", "held", "extra", "comp", (F.col("comp") == F.col("main")).alias("main")), "near-reference")
+
+    def bins(least: Column, most: Column) -> Column:
+        at = lambda x: F.floor(F.log(x) / F.log(F.lit(BIN))).cast("int")
+        return F.explode(F.sequence(at(F.greatest(least * (1 - ROUNDING), F.lit(1.0))), at(F.greatest(most * (1 + ROUNDING), least, F.lit(1.0)))))
+
+    names = ("node", "comp", "inside", "total", "held", "extra")
+    u = rows.where(~F.col("main")).select("b", *[F.col(c).alias(f"u_{c}") for c in names], bins(SIMILARITY * F.col("total") - F.col("extra"), F.col("held") / SIMILARITY).alias("bin"))
+    v = rows.select("b", *[F.col(c).alias(f"v_{c}") for c in names], bins(F.col("held") - (1 / SIMILARITY - 1) * F.col("extra"), F.col("held")).alias("bin"))
+    part = lambda x, y: F.least(F.col(f"{x}_inside"), (F.col(f"{y}_held") + F.col(f"{x}_extra")) / F.col(f"{x}_total"))
+    fits = 1 / part("u", "v") + 1 / part("v", "u") - 1 <= 1 / SIMILARITY + 8 * ROUNDING
+    found = u.join(v, ["b", "bin"]).where((F.col("u_comp") != F.col("v_comp")) & fits)
+    return found.select(F.col("u_node").alias("a"), F.col("v_node").alias("b"))
 
 
 def link(nodes: DataFrame, sets_of) -> tuple[DataFrame | None, DataFrame | None]:

@@ -168,6 +168,26 @@ def test_exact_similarity():
         assert got <= np.minimum(p[i], q[j]).sum() + 1e-12 and (not len(i) or got <= 1 / (1 / s + 1 / t - 1) + 1e-12)
 
 
+def test_bound_of_pairs_that_share_inside_a_reference_only():
+    rng = np.random.default_rng(4)
+    high = 0
+    for _ in range(3000):
+        r, least = rng.choice(60, rng.integers(20, 60), replace=False), rng.choice([0.5, 0.95])
+        x, y = (np.unique(np.r_[rng.choice(r, rng.integers(int(len(r) * least), len(r) + 1), replace=False), base + np.arange(rng.integers(0, 3))]) for base in (100, 200))
+        counts = rng.choice([1, 1, 1, 2, 9], 300)
+        a, b = (neardup.weights(np.where(rng.random(len(v)) < least, counts[v], 1)) for v in (x, y))
+        inside = [np.isin(v, r) for v in (x, y)]
+        held, extra = [i.sum() for i in inside], [w[i].sum() - i.sum() for w, i in zip((a, b), inside)]
+        s = min(a[inside[0]].sum(), held[1] + extra[0]) / a.sum()
+        t = min(b[inside[1]].sum(), held[0] + extra[1]) / b.sum()
+        got = neardup.probability_jaccard(x, a, y, b)
+        assert got <= 1 / (1 / s + 1 / t - 1) + 1e-12
+        if got >= 0.8:
+            high += 1
+            assert held[1] >= 0.8 * a.sum() - extra[0] - 1e-9 and held[1] - 0.25 * extra[1] <= held[0] / 0.8 + 1e-9
+    assert high > 20
+
+
 def test_copies_with_other_repeat_counts(spark):
     """Repeat counts are weights: a passage that one text repeats often tells it from its copy, one repeated a few times doesn't."""
     rows = []
