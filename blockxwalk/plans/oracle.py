@@ -16,6 +16,7 @@ from __future__ import annotations
 import re
 
 from ..functions import geosql
+from ..operators.tiles import EXTENT, ZOOMS
 from ..sources import fixtures
 from .match import BUFFER_FT, NEAREST_FT
 from .streets import LABEL_GENERIC, LABEL_NYPD, LABEL_ZIP_STREETS
@@ -369,6 +370,36 @@ def _vertices(src: str, template: str, cols) -> str:
             f"round(degrees({prev}), 6) AS lat FROM ({cur})")
 
 
+def _tiles(src: str, zooms=ZOOMS) -> str:
+    """What each tile of a layer of lines holds, an edge at a time."""
+    first = "NOT (x1 = x2 AND y1 = y2)"
+    ends = " UNION ALL ".join(f"SELECT segment_id, {xs} FROM {src} WHERE {w}" for xs, w in (
+        ("CAST(x1 AS DOUBLE) AS xa, CAST(y1 AS DOUBLE) AS ya, CAST(x2 AS DOUBLE) AS xb, CAST(y2 AS DOUBLE) AS yb", first),
+        ("CAST(x3 AS DOUBLE), CAST(y3 AS DOUBLE), CAST(x4 AS DOUBLE), CAST(y4 AS DOUBLE)", "x3 IS NOT NULL")))
+    cols = []
+    for p in "ab":
+        lon, t, phi = geosql.lcc_inverse_parts(f"x{p}", f"y{p}")
+        cols += [f"{lon} AS lon{p}", f"{t} AS t{p}", f"{phi} AS {p}0"]
+    cur = f"SELECT segment_id, {', '.join(cols)} FROM ({ends})"
+    for k in range(1, geosql.LAT_ITERATIONS + 1):
+        cur = f"SELECT *, {geosql.lat_step('ta', f'a{k - 1}')} AS a{k}, {geosql.lat_step('tb', f'b{k - 1}')} AS b{k} FROM ({cur})"
+    n = geosql.LAT_ITERATIONS
+    merc = lambda p: f"0.5 - ln((1 + sin(radians(degrees({p}{n})))) / (1 - sin(radians(degrees({p}{n}))))) / (4 * pi())"
+    world = f"SELECT segment_id, (lona + 180) / 360 AS xa, {merc('a')} AS ya, (lonb + 180) / 360 AS xb, {merc('b')} AS yb FROM ({cur})"
+    zoomed = f"SELECT segment_id, zoom, xa * pow(2, zoom) AS xa, ya * pow(2, zoom) AS ya, xb * pow(2, zoom) AS xb, yb * pow(2, zoom) AS yb FROM ({world}), (VALUES {', '.join(f'({z})' for z in zooms)}) AS z(zoom)"
+    # every tile of the edge's box, clipped by all four borders at once
+    boxed = ("SELECT *, unnest(range(CAST(floor(least(ya, yb)) AS BIGINT), CAST(floor(greatest(ya, yb)) AS BIGINT) + 1)) AS ty FROM (SELECT *, xb - xa AS dx, yb - ya AS dy, "
+             f"unnest(range(CAST(floor(least(xa, xb)) AS BIGINT), CAST(floor(greatest(xa, xb)) AS BIGINT) + 1)) AS tx FROM ({zoomed}))")
+    side = lambda a, d, t, f, z: f"CASE WHEN {d} = 0 THEN {z} ELSE {f}(({t} - {a}) / {d}, ({t} + 1 - {a}) / {d}) END"
+    clipped = (f"SELECT *, greatest(0, {side('xa', 'dx', 'tx', 'least', 0)}, {side('ya', 'dy', 'ty', 'least', 0)}) AS u0, "
+               f"least(1, {side('xa', 'dx', 'tx', 'greatest', 1)}, {side('ya', 'dy', 'ty', 'greatest', 1)}) AS u1 FROM ({boxed})")
+    at = lambda a, u: f"CAST(floor(({a}a + {u} * d{a} - t{a}) * {EXTENT} + 0.5) AS BIGINT)"
+    pieces = f"SELECT segment_id, zoom, tx, ty, {at('x', 'u0')} AS x1, {at('y', 'u0')} AS y1, {at('x', 'u1')} AS x2, {at('y', 'u1')} AS y2 FROM ({clipped}) WHERE u0 <= u1"
+    key = "array_to_string(list_transform(range(zoom - 1, -1, -1), lambda i: ((tx >> i) & 1) + 2 * ((ty >> i) & 1)), '')"
+    return (f"SELECT zoom, tx, ty, {key} AS quadkey, n_lines, n_pieces FROM (SELECT zoom, tx, ty, CAST(count(DISTINCT segment_id) AS BIGINT) AS n_lines, {cnt()} AS n_pieces "
+            f"FROM ({pieces}) WHERE x1 <> x2 OR y1 <> y2 GROUP BY zoom, tx, ty)")
+
+
 _ALL_NEAR = f"(SELECT * FROM ({_pairs_within('pk', NEAREST_FT)}) WHERE dist_ft <= {float(NEAREST_FT)})"
 
 # --- final queries --------------------------------------------------------------------
@@ -396,6 +427,7 @@ QUERIES: dict[str, str] = {
     "map_layer_generic": _vertices("(SELECT * FROM cs WHERE generic_id IN (SELECT generic_id FROM gm))", LABEL_GENERIC,
                                    ("street", "generic_id", "physical_id", "segment_id")),
     "map_layer_nypd": _vertices("nypd", LABEL_NYPD, ("street", "nypdid", "physical_id", "segment_id", "generic_id")),
+    "map_tiles": _tiles("nypd"),
     "physical_blocks": "SELECT * FROM pb",
     "block_parts": ("SELECT physical_id, CAST(v AS BIGINT) AS vertex_no, CASE WHEN v = 0 THEN x1 ELSE x2 END AS x, "
                     "CASE WHEN v = 0 THEN y1 ELSE y2 END AS y FROM (SELECT DISTINCT physical_id, x1, y1, x2, y2 FROM ln) "

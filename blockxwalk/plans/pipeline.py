@@ -117,6 +117,12 @@ class BlockCrosswalk:
                "nypd": (self.nypd_streets, S.LABEL_NYPD)}[which]
         return S.map_layer(*src)
 
+    def map_tiles(self, which: str = "zip", zooms=None):
+        """A map layer cut into tiles (``operators.tiles``)."""
+        from ..operators.tiles import ZOOMS, tile_pieces
+        layer = self.map_layer(which)
+        return tile_pieces(layer, [c for c in layer.columns if c != "geom"], zooms or ZOOMS)
+
     # --- blocks -------------------------------------------------------------------
     @cached_property
     def physical_blocks(self):

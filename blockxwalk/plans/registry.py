@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.geometry import to_srid
 from ..operators.chunks import ranked
 from ..operators.noding import noded, nodes
+from ..operators.tiles import tile_counts, tile_pieces
 from ..schemas import PAD_ADDR, SRID_NY_FT, SRID_WGS84
 from ..session import ensure_checkpoint_dir
 from ..sources.fixtures import Inputs
@@ -173,6 +174,7 @@ QUERIES: dict[str, Callable[[BlockCrosswalk], DataFrame]] = {
     "map_layer": lambda x: S.map_layer_vertices(x.map_layer("zip")),
     "map_layer_generic": lambda x: S.map_layer_vertices(x.map_layer("generic")),
     "map_layer_nypd": lambda x: S.map_layer_vertices(x.map_layer("nypd")),
+    "map_tiles": lambda x: tile_counts(tile_pieces(x.map_layer("nypd"), ("segment_id",))),
     # blocks
     "physical_blocks": lambda x: x.physical_blocks,
     "block_lines": lambda x: noded(_grid_streets(x)),
