@@ -49,6 +49,8 @@ SIMILARITY = 0.9
 CELLS, SAMPLE_NUMBERS, SAMPLE_ROWS = 256, 4_000_000, 8192
 #: Nodes of a block: at least, at most; between them it grows with the root of their number, so that what is sent does, too.
 LEAST_BLOCK, MOST_BLOCK = 2048, 16_384
+#: Components of a block's vectors, at most (32 MB as doubles).
+BLOCK_NUMBERS = 1 << 22
 #: Pairs of a tile that are looked at together.
 TOGETHER = 1 << 21
 #: Products of so many int8 components are below 2 ** 24.
@@ -211,7 +213,7 @@ def _tiles(nodes: DataFrame, n: int, dim: int, kind: type, pivots: np.ndarray) -
     routed = nodes.select("node", "x", "copies", "cell", "angle").mapInArrow(route, "node binary, x binary, copies long, cell int, angle double, to array<int>")
     routed = materialize(routed.drop("angle"), "vector-routes")
     visits = {r["q"]: r["n"] for r in routed.select(F.explode("to").alias("q")).groupBy("q").agg(F.count("*").alias("n")).collect()}  # CELLS rows at most
-    block = int(min(MOST_BLOCK, max(LEAST_BLOCK, 8 * math.sqrt(n))))
+    block = int(max(64, min(MOST_BLOCK, max(LEAST_BLOCK, 8 * math.sqrt(n)), BLOCK_NUMBERS // dim)))
     per_cell = lambda sizes: F.array(*[F.lit(-(-s // block)) for s in sizes])
     own_blocks, visit_blocks = per_cell([found[c]["n"] if c in found else 0 for c in range(cells)]), per_cell([visits.get(c, 0) for c in range(cells)])
     counted = routed.withColumn("own", own_blocks[F.col("cell")]).withColumn("come", visit_blocks[F.col("cell")])
@@ -242,8 +244,7 @@ def _tiles(nodes: DataFrame, n: int, dim: int, kind: type, pivots: np.ndarray) -
 def classes(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """(id, n_links, component_id, kept) of every row: its linked vectors, the least id that links lead to, and whether that is its own."""
     spark = vectors.sparkSession
-    double = "double" in vectors.schema[vec_col].dataType.simpleString()
-    kind = np.float64 if double else np.float32
+    kind = np.float32 if vectors.schema[vec_col].dataType.simpleString() == "array<float>" else np.float64
     rows = vectors.select(column(id_col).cast("long").alias("id"), column(vec_col).cast("array<double>").alias("v"))
     good = F.col("id").isNotNull() & _valid(F.col("v"))
     dims = rows.where(good).groupBy(F.size("v").alias("dim")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dim").first()
