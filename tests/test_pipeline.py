@@ -158,3 +158,14 @@ def test_no_cluster_is_an_error(spark):
     lonely = spark.createDataFrame([("10001", ["10002"], 1)], "zip1 string, neighbors array<string>, degree bigint")
     with pytest.raises(ValueError):
         zip_cluster(lonely, 4, 1, check=True)
+
+
+def test_later_waves_need_the_keys_of_wave_3_only(spark):
+    """Wave 4 and the unmatched keys are the same whether the pairs of wave 3 are built before or not at all."""
+    i = Inputs(spark, SF_SMALL)
+    a, b = (BlockCrosswalk(i.segments, i.parcels, i.pad_addr, i.pad_bill, i.overrides) for _ in range(2))
+    rows = lambda df: sorted(map(str, df.collect()))
+    late = rows(a.wave(M.W4)), rows(a.unmatched)
+    assert M.W3 not in a.cascade._built
+    whole = rows(b.wave(M.W3))
+    assert (rows(b.wave(M.W4)), rows(b.unmatched)) == late and rows(a.wave(M.W3)) == whole and M.W3 not in b.cascade._matched
