@@ -169,3 +169,16 @@ def test_later_waves_need_the_keys_of_wave_3_only(spark):
     assert M.W3 not in a.cascade._built
     whole = rows(b.wave(M.W3))
     assert (rows(b.wave(M.W4)), rows(b.unmatched)) == late and rows(a.wave(M.W3)) == whole and M.W3 not in b.cascade._matched
+
+
+def test_address_summary_without_the_list(spark):
+    """Counts of the address list, from a count by BBL: no address meets a block."""
+    from blockxwalk.plans import derived as D
+    pad = spark.createDataFrame([(1, 1, 1, "5", None, "A ST", 7, "10001"), (1, 1, 1, "5", None, "A ST", 7, "10001"), (1, 1, 1, None, "6", None, 8, "10001"),
+                                 (1, 2, 1, "5", None, "B ST", 0, None), (1, 3, 1, "9", None, "C ST", 1, None), (1, None, 1, "9", None, "C ST", 1, None)],
+                                "boro int, block int, lot int, lhnd string, hhnd string, stname string, bin int, zipcode string")
+    b2p = spark.createDataFrame([("1000010001", 10, "x"), ("1000010001", 10, "y"), ("1000010001", None, "x"), ("1000020001", 10, "x"), (None, 11, "x")], "bbl_chr string, physical_id int, source string")
+    got = D.address_summary(pad, b2p)
+    rows = D.address_list(pad, b2p)
+    assert [tuple(r) for r in got.collect()] == [(rows.count(), rows.select("physical_id").distinct().count())] == [(5, 2)]
+    assert "n_addr_bbl" in got._jdf.queryExecution().optimizedPlan().toString()
