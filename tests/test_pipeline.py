@@ -182,3 +182,16 @@ def test_address_summary_without_the_list(spark):
     rows = D.address_list(pad, b2p)
     assert [tuple(r) for r in got.collect()] == [(rows.count(), rows.select("physical_id").distinct().count())] == [(5, 2)]
     assert "n_addr_bbl" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_pairs_of_wave_3_are_not_written(spark):
+    """The crosswalk's counts come from wave 3's plan: its pairs are no table, and are grouped where they are found."""
+    from blockxwalk.session import written_tables
+    i = Inputs(spark, SF_SMALL)
+    x = BlockCrosswalk(i.segments, i.parcels, i.pad_addr, i.pad_bill, i.overrides)
+    before = set(written_tables(spark))
+    qa = {r.wave: r.pairs_added for r in x.wave_qa.collect()}
+    assert qa[M.W3] == x.wave(M.W3).count() > 0
+    n = x.bbl_summary.first()
+    assert n.bbl_physical_pairs == x.bbl_segment_physical.select("bbl_chr", "physical_id").distinct().count() == x.master_full.agg({"n_bbls": "sum"}).first()[0]
+    assert not [t for t in set(written_tables(spark)) - before if M.W3 in t and "keys" not in t]
