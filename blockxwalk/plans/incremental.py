@@ -129,7 +129,7 @@ class IncrementalMatch:
         out[M.W2A] = self._whole(M.W2A, d, lambda: M.wave2a(left(), keyed, out[M.W1]))
         if x.pad_bill is not None:
             d = _combined(d, content_digest(M.billing_keys(x.pad_bill)))
-            out[M.W2B] = self._whole(M.W2B, d, lambda: M.wave2b(left(), x.pad_bill, pad, lookup))
+            out[M.W2B] = self._whole(M.W2B, d, lambda: M.wave2b(left(), x.pad_bill, out[M.W1]))
         out[M.W3] = self._near(M.W3, left(), x.buffer_ft, lambda rem: M.wave3(rem, keyed, x.line_edges, x.buffer_ft, x.cell, x.salt))
         out[M.W4] = self._near(M.W4, left(), x.nearest_ft, lambda rem: M.wave4(rem, keyed, x.line_edges, x.nearest_ft, x.cell, x.salt))
         return out

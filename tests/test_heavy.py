@@ -148,3 +148,34 @@ def test_noded_random_lines_meet_at_nodes_only(spark):
             a, b, c, d = p[:2], p[2:], q[:2], q[2:]
             assert not (side(a, b, c) * side(a, b, d) < 0 and side(c, d, a) * side(c, d, b) < 0)
     assert noded(df.limit(0)).collect() == []
+
+
+def test_no_key_is_shuffled_to_be_counted_without_a_full_bucket(spark):
+    """Keys are counted by bucket first; those of a bucket with too many rows by themselves."""
+    df = spark.createDataFrame([(f"k{i}",) for i in range(5000)] + [("hot",)] * 900 + [(None,)] * 800, "k string")
+    assert sorted(joins.heavy_keys(df, ["k"], 0.1, 10), key=str) == [("hot", 900), (None, 800)]
+    assert joins.heavy_keys(df.where("k like 'k%'"), ["k"], 0.01, 50) == []
+
+
+def test_the_directory_is_shuffled_once_for_wave_1(spark):
+    """Repeated rows of the directory and of the segments meet behind one shuffle of each; the billing wave joins wave 1, not the directory."""
+    streets = spark.createDataFrame([(1, 10, None), (1, 10, None), (2, 20, 8), (3, None, 8), (None, 30, 1)], "segment_id bigint, physical_id bigint, legacy_id bigint")
+    pad = spark.createDataFrame([(1, 1, 1, "1"), (1, 1, 1, "1"), (1, 1, 2, "8"), (1, 1, 2, "2"), (1, None, 2, "2"), (1, 1, 3, None)], "boro int, block int, lot int, segid string")
+    w1 = M.wave1(M.directory_keys(pad), M.segment_ids(streets))
+    plan = w1._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("+- Exchange") + plan.count(":- Exchange") == 3  # of the keys, of the segments, of the matches
+    want = {("1000010001", 1, 10), ("1000010002", 2, 20), ("1000010002", 3, None)}
+    assert sorted(map(str, map(tuple, w1.collect()))) == sorted(map(str, want))
+    bill = spark.createDataFrame([(2, 1, 1, 1, 1, 2), (2, 1, 1, 1, 1, 2), (2, 1, 2, 1, 1, 9), (2, 1, 3, 1, 1, 1)],
+                                 "billboro int, billblock int, billlot int, loboro int, loblock int, lolot int")
+    rem = spark.createDataFrame([("2000010001",), ("2000010002",), (None,)], "bbl_chr string")
+    assert sorted(map(str, map(tuple, M.wave2b(rem, bill, w1).collect()))) == sorted(map(str, [("2000010001", 2, 20), ("2000010001", 3, None)]))
+
+
+def test_rows_that_lie_in_order_are_not_dealt_again(spark):
+    df = spark.createDataFrame([("b", 0, "x"), ("a", 1, "y"), ("a", 0, "z"), ("c", 0, "w"), ("c", 1, "v")], "f string, i bigint, v string")
+    out = ranked(df, (), ("f", "i"), "place", lying=True)
+    assert {r.v: r.place for r in out.collect()} == {"z": 0, "y": 1, "x": 2, "w": 3, "v": 4} and out.columns == ["f", "i", "v", "place"]
+    assert {r.v: r.place for r in ranked(df, (), ("f", "i"), "place").collect()} == {r.v: r.place for r in out.collect()}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "BroadcastHashJoin" in plan
