@@ -195,3 +195,17 @@ def test_pairs_of_wave_3_are_not_written(spark):
     n = x.bbl_summary.first()
     assert n.bbl_physical_pairs == x.bbl_segment_physical.select("bbl_chr", "physical_id").distinct().count() == x.master_full.agg({"n_bbls": "sum"}).first()[0]
     assert not [t for t in set(written_tables(spark)) - before if M.W3 in t and "keys" not in t]
+
+
+def test_one_nearest_join_serves_waves_3_and_4(spark):
+    """The keys of wave 3 and wave 4 come from one join: it is written once, and wave 4 is as by a join of its own."""
+    from blockxwalk.session import written_tables
+    i = Inputs(spark, SF_SMALL)
+    x = BlockCrosswalk(i.segments, i.parcels, i.pad_addr, i.pad_bill, i.overrides)
+    before = set(written_tables(spark))
+    got = sorted(map(tuple, x.wave(M.W4).select(*M.MATCH_COLS).collect()), key=str)
+    joins = [t for t in set(written_tables(spark)) - before if "nearest-so-far" in t]
+    assert len(joins) == 1
+    left = x.cascade.left_before(M.W4)
+    assert got == sorted(map(tuple, M.wave4(left, x.parcels_keyed, x.line_edges).collect()), key=str) and got
+    assert {r[0] for r in x.cascade.keys_of(M.W3).collect()} == {r[0] for r in M.wave3(x.cascade.left_before(M.W3), x.parcels_keyed, x.line_edges).select("bbl_chr").collect()}
